@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import chat, packing, secrets, token_counts
+from siltstone.llm import chat, nbsvm, packing, secrets, stream_dedup, token_counts
 from siltstone.llm.common import table
 
 
@@ -24,6 +24,11 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(rows))
 
 
+def op4_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stream_dedup.groups(table(spark, sf_dir, "documents"))
+    return rows.select(F.col("key").alias("doc_id"), F.col("keep.key").alias("keep_id"), F.col("n").alias("group_size"), stream_dedup.kept().alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_spans(table(spark, sf_dir, "documents"))
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
@@ -41,6 +46,12 @@ def op6_pow2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = nbsvm.train(docs, table(spark, sf_dir, "labels"))
+    return nbsvm.scored(docs, model).select("doc_id", nbsvm.in_fold(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -50,4 +61,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    texts = """SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS same FROM documents"""
+    return {
+        "op4_stream_dedup": f"""
+            SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(same) AS text_sha256
+            FROM ({texts}) WINDOW g AS (PARTITION BY same)"""
+    }
