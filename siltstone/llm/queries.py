@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import chat, nbsvm, packing, secrets, stream_dedup, token_counts
+from siltstone.llm import chat, jaccard, nbsvm, packing, secrets, stream_dedup, token_counts
 from siltstone.llm.common import table
 
 
@@ -46,6 +46,10 @@ def op6_pow2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = nbsvm.train(docs, table(spark, sf_dir, "labels"))

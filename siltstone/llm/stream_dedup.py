@@ -11,11 +11,10 @@ count as smallest; of rows with equal text and identifier the last by locator st
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import ascii_lower, shared_dir, stored, text_of
+from siltstone.llm.common import ascii_lower, located, shared_dir, stored, text_of
 
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -25,18 +24,6 @@ STATE = {
 }
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """``docs`` with __file and __row, where each row's content stands; rows that don't come straight from files are stored first."""
-    try:
-        if "_metadata" in docs.columns:
-            raise AnalysisException("the rows have a column of that name")
-        return docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-    except AnalysisException:
-        plain = docs.withColumnRenamed("_metadata", "__own_metadata")
-        kept = stored(plain, "dedup-content")
-        return kept.select(*[F.col(f"`{c}`").alias("_metadata" if c == "__own_metadata" else c) for c in kept.columns], F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-
-
 def row_order(key: str = "key") -> Column:
     return F.struct(F.col(key).alias("key"), F.col("__file").alias("file"), F.col("__row").alias("row"))
 
