@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from siltstone.llm.common import slices, text_of
 from siltstone.llm.words import PLACES, WordHashes, grams, mixed
@@ -175,4 +176,4 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             scores = pa.array([own.score(features(t, own.buckets)) for t in texts], pa.float64())
             yield pa.RecordBatch.from_arrays([*part.columns[:place], scores], names=[*part.schema.names[:place], "__score"])
 
-    return docs.withColumn("__text", text_of(text)).mapInArrow(judged, docs.schema.add("__score", "double"))
+    return docs.withColumn("__text", text_of(text)).mapInArrow(judged, StructType([*docs.schema, StructField("__score", DoubleType())]))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import chat, jaccard, nbsvm, packing, secrets, stream_dedup, token_counts
+from siltstone.llm import ann, chat, jaccard, nbsvm, packing, secrets, stream_dedup, token_counts
 from siltstone.llm.common import table
 
 
@@ -60,6 +60,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op10_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
