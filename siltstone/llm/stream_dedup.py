@@ -21,6 +21,7 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each partition's store takes some MB of disk however few rows it holds
 }
 
 
