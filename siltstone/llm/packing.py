@@ -11,19 +11,22 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
+from sys import byteorder
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import slices, text_of
 
-#: How byte-level vocabularies cut texts into words before merging, and characters whose classes every library and Unicode version has alike.
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: How byte-level vocabularies cut texts into words before merging, with letters, numbers and white space listed for
+#: the characters outside UNUSUAL, whose classes every library and Unicode version has alike.
 UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e¡-¬®-ȳ–—‘-”…€]")
+LETTERS, NUMBERS, SPACES = "A-Za-zªµºÀ-ÖØ-öø-ȳ", "0-9²³¹¼-¾", r"\t\n\r\x20"
+WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 
 
 class Encoder:
@@ -41,8 +44,7 @@ class Encoder:
         self.tokenizer.no_padding()
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.by_word = isinstance(self.tokenizer.pre_tokenizer, ByteLevel) and self.tokenizer.normalizer is None
-        self.find = regex.compile(WORDS).findall
+        self.by_word = isinstance(self.tokenizer.pre_tokenizer, ByteLevel) and byteorder == "little" and array("I").itemsize == 4 and self.tokenizer.normalizer is None
 
     @classmethod
     def at(cls, path: str) -> Encoder:
@@ -54,16 +56,14 @@ class Encoder:
         """Little-endian unsigned 32-bit ids."""
         if not self.by_word or UNUSUAL.search(text) or self.special and self.special.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        found, known = self.find(text), self.words
-        try:
-            return b"".join(map(known.__getitem__, found))
-        except KeyError:
-            pass
-        if len(known) > self.most:
-            known.clear()
-        new = list({w for w in found if w not in known})
-        for word, encoded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[word] = np.array(encoded.ids, "<u4").tobytes()
+        found, known = WORDS.findall(text), self.words
+        new = list(set(found).difference(known))
+        if new:
+            if len(known) + len(new) > self.most:
+                known.clear()
+                new = list(set(found))
+            for word, encoded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+                known[word] = array("I", encoded.ids).tobytes()
         return b"".join(map(known.__getitem__, found))
 
 
