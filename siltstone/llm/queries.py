@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import ann, chat, jaccard, nbsvm, packing, secrets, stream_dedup, token_counts
+from siltstone.llm import ann, chat, html, jaccard, nbsvm, packing, sampling, secrets, stream_dedup, token_counts
 from siltstone.llm.common import table
 
 
@@ -17,6 +17,15 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two distinct segmentations of every document."""
+    return sampling.sampled(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), k=2)
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one whose texts look like a template's own marks."""
     hard = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
