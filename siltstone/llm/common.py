@@ -32,15 +32,33 @@ def stored(df: DataFrame, what: str) -> DataFrame:
 
 
 def located(docs: DataFrame) -> DataFrame:
-    """``docs`` with __file and __row, where each row's content stands; rows that don't come straight from files are stored first."""
+    """all (a struct of the row's columns, whatever their names), file and row: where each row's content stands.
+
+    Rows that don't come straight from files are stored in the shared folder first.
+    """
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all"))
+    if "_metadata" not in docs.columns and docs.inputFiles() and from_files(docs):
+        return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return stored(packed, "content").select("all", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+
+
+def from_files(docs: DataFrame) -> bool:
+    """Whether the rows are those of files as they stand, so that their places are known."""
     try:
-        if "_metadata" in docs.columns:
-            raise AnalysisException("the rows have a column of that name")
-        return docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+        docs.select("_metadata.row_index").schema  # noqa: B018
     except AnalysisException:
-        plain = docs.withColumnRenamed("_metadata", "__own_metadata")
-        kept = stored(plain, "content")
-        return kept.select(*[F.col(f"`{c}`").alias("_metadata" if c == "__own_metadata" else c) for c in kept.columns], F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+        return False
+    return True
+
+
+def keyed(source: DataFrame, key: str, text: str) -> DataFrame:
+    """key, text (never null), file and row of located rows."""
+    return source.select(F.col("all").getField(key).alias("key"), F.coalesce(F.col("all").getField(text).cast("string"), F.lit("")).alias("text"), "file", "row")
+
+
+def original(source: DataFrame) -> DataFrame:
+    """The located rows as they were."""
+    return source.select("all.*")
 
 
 def text_of(name: str = "text") -> Column:

@@ -10,7 +10,7 @@ their first n - ceil(t n) + l shingles (and m likewise) share at least l. That i
    lists, but asks for more matches and so verifies fewer candidates. Two classes are candidates if they share at least the
    smaller of their l prefix shingles.
 
-Candidates are verified on whole sets. Each shingle's list is first compared with its first class only (a star); components
+Candidates are verified on whole sets. Each shingle's list is first compared with its most central class only (a star); components
 found thereby are taken as done, and only pairs from different components are enumerated, until nothing is left: a group of
 near copies costs a link for each member, not for each pair, and no link between components is lost.
 
@@ -25,14 +25,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import located, slices, stored, text_of
+from siltstone.llm.common import keyed, located, original, slices, stored
 from siltstone.llm.words import WordHashes, grams
 
 WORDS = WordHashes()
 U = np.uint64
+#: 64-bit words of a set's sketch.
+SKETCH = 16
 
 
 def shingles(text: str, width: int = 5) -> np.ndarray:
@@ -57,7 +59,7 @@ def first_length(n: int, percent: int) -> tuple[int, int]:
     return matches, min(n, n - needed(n, percent) + matches)
 
 
-def choose(listed: np.ndarray, n: int, percent: int, most: int = 16, verify: float = 0.2) -> int:
+def choose(listed: np.ndarray, n: int, percent: int, most: int = 32, verify: float = 0.2) -> int:
     """The l of least estimated cost, from the list lengths of a set's shingles, rarest first (those of one class count 1)."""
     base = n - needed(n, percent)
     most = min(most, needed(n, percent))
@@ -117,8 +119,8 @@ def list_lengths(tokens: np.ndarray) -> np.ndarray:
 # ---- steps ----
 
 
-def signatures(docs: DataFrame, text: str, key: str, width: int, percent: int) -> DataFrame:
-    """key, __file, __row, n (set size), owner (hash of the set; null without one), prefix (step 1's shingles)."""
+def signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """key, file, row, n (set size), owner (hash of the set; null without one), prefix (step 1's shingles)."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches, 3):
@@ -128,10 +130,10 @@ def signatures(docs: DataFrame, text: str, key: str, width: int, percent: int) -
                 n.append(len(own))
                 owner.append(xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63) if len(own) else None)
                 prefix.append(own[: first_length(len(own), percent)[1]].tobytes() if len(own) else None)
-            yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(n, pa.int64()), pa.array(owner, pa.int64()), pa.array(prefix, pa.binary())], names=["key", "__file", "__row", "n", "owner", "prefix"])
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(n, pa.int64()), pa.array(owner, pa.int64()), pa.array(prefix, pa.binary())], names=["key", "file", "row", "n", "owner", "prefix"])
 
-    rows = docs.select(F.col(f"`{key}`").alias("key"), "__file", "__row", text_of(text).alias("__text"))
-    return rows.mapInArrow(signed, f"key {rows.schema[0].dataType.simpleString()}, __file string, __row long, n long, owner long, prefix binary")
+    rows = docs.select("key", "file", "row", "text")
+    return rows.mapInArrow(signed, f"key {rows.schema[0].dataType.simpleString()}, file string, row long, n long, owner long, prefix binary")
 
 
 def packed(rows: DataFrame, column: str, ranges: int, pieces: int = 2048) -> DataFrame:
@@ -174,10 +176,9 @@ def survivors(signed: DataFrame, percent: int, ranges: int) -> DataFrame:
     return classes.join(shared_counts(packed(signed, "prefix", ranges)), "owner").filter(F.col("shared") >= least).select("owner", "key")
 
 
-def whole_sets(docs: DataFrame, chosen: DataFrame, text: str, key: str, width: int) -> DataFrame:
+def whole_sets(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
     """owner, set (sorted shingles) of the chosen classes, from one of their rows each."""
-    rows = docs.select(F.col(f"`{key}`").alias("key"), text_of(text).alias("__text"))
-    left = rows.join(chosen.select(F.col("key").alias("wanted"), "owner").hint("shuffle_hash"), F.col("key").eqNullSafe(F.col("wanted")))
+    left = docs.select("key", "text").join(chosen.select(F.col("key").alias("wanted"), "owner").hint("shuffle_hash"), F.col("key").eqNullSafe(F.col("wanted")))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
@@ -192,51 +193,60 @@ def whole_sets(docs: DataFrame, chosen: DataFrame, text: str, key: str, width: i
                         data.append(own.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(owners, pa.int64()), pa.array(data, pa.binary())], names=["owner", "set"])
 
-    return left.select("owner", "__text").mapInArrow(sets, "owner long, set binary")
+    return left.select("owner", "text").mapInArrow(sets, "owner long, set binary")
 
 
 def prefixes(sets: DataFrame, percent: int, ranges: int) -> DataFrame:
-    """token, owner, n, l: the shared shingles in each class's chosen prefix (step 2)."""
+    """token, owner, n, l, m (shingles that other classes have too), c (mean list length): each class's shared prefix shingles (step 2)."""
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, owners = unpacked(batches)
-        lengths = list_lengths(tokens)
-        some = lengths > 1
-        tokens, owners, lengths = tokens[some], owners[some], lengths[some]
-        order = np.argsort(owners, kind="stable")
-        tokens, owners, lengths = tokens[order], owners[order], lengths[order].astype(np.int64)
-        starts = np.flatnonzero(np.r_[True, owners[1:] != owners[:-1]]) if len(owners) else np.zeros(0, int)
-        ends = np.r_[starts[1:], len(owners)] if len(owners) else starts
-        for a in range(0, len(starts), 4096):
-            own = range(a, min(a + 4096, len(starts)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(owners[starts[k]]) for k in own], pa.int64()), *(pa.array([x[starts[k] : ends[k]].tobytes() for k in own], pa.binary()) for x in (tokens, lengths))],
-                names=["owner", "tokens", "lengths"],
-            )
+        lengths = list_lengths(tokens).astype(np.int64)
+        place = owners.view(U) % U(ranges)
+        order = np.lexsort((owners, place))
+        tokens, owners, lengths, place = tokens[order], owners[order], lengths[order], place[order]
+        cuts = np.r_[0, np.flatnonzero(np.diff(place)) + 1, len(place)] if len(place) else [0]
+        out: list[list] = [[], [], [], [], [], []]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):  # one row for each range of owners, however many they are
+            some = lengths[a:b] > 1
+            who, start = np.unique(owners[a:b], return_index=True)
+            shared = np.add.reduceat(some, start).astype(np.uint32)
+            total = np.diff(np.r_[start, b - a]).astype(np.uint32)
+            for column, value in zip(out, (int(place[a]), who.tobytes(), shared.tobytes(), total.tobytes(), tokens[a:b][some].tobytes(), lengths[a:b][some].tobytes()), strict=True):
+                column.append(value)
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], names=["range", "owners", "shared", "total", "tokens", "lengths"])
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owners, sizes, token_owner, tokens, lengths = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, U)], [np.zeros(0, np.int64)]
         for batch in batches:
-            token, owner, sizes, matches = [np.zeros(0, U)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
-            for key, n, own, lengths in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                own, lengths = (np.frombuffer(b"".join(x), kind) for x, kind in ((own, U), (lengths, np.int64)))
-                alone = n - len(own)
-                if len(own) < needed(n, percent):
-                    continue
-                order = np.lexsort((own, lengths))
-                own, lengths = own[order], lengths[order]
-                best = choose(np.r_[np.ones(alone, np.int64), lengths], n, percent)
-                taken = own[: n - needed(n, percent) + best - alone]
-                token.append(taken)
-                owner.append(np.full(len(taken), key, np.int64))
-                sizes.append(np.full(len(taken), n, np.int64))
-                matches.append(np.full(len(taken), best, np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(token).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (owner, sizes, matches))], names=["token", "owner", "n", "l"])
-
-    listed = packed(sets, "set", ranges).mapInArrow(lists, "owner long, tokens binary, lengths binary")
-    # A set's parts come in one row for each range, so at most ``ranges`` to a class.
-    gathered = listed.groupBy("owner").agg(F.collect_list("tokens").alias("tokens"), F.collect_list("lengths").alias("lengths"))
-    sized = gathered.join(sets.select("owner", (F.length("set") / 8).cast("long").alias("n")), "owner").select("owner", "n", "tokens", "lengths")
-    return sized.mapInArrow(pick, "token long, owner long, n long, l int")
+            for o, shared, total, t, k in zip(*(batch.column(c).to_pylist() for c in range(1, 6)), strict=True):
+                owners.append(np.frombuffer(o, np.int64))
+                sizes.append(np.frombuffer(total, np.uint32).astype(np.int64))
+                token_owner.append(np.repeat(owners[-1], np.frombuffer(shared, np.uint32)))
+                tokens.append(np.frombuffer(t, U))
+                lengths.append(np.frombuffer(k, np.int64))
+        who, back = np.unique(np.concatenate(owners), return_inverse=True)
+        n = np.bincount(back, np.concatenate(sizes), len(who)).astype(np.int64)
+        token_owner, tokens, lengths = np.concatenate(token_owner), np.concatenate(tokens), np.concatenate(lengths)
+        order = np.lexsort((tokens, lengths, token_owner))
+        token_owner, tokens, lengths = token_owner[order], tokens[order], lengths[order]
+        starts, ends = np.searchsorted(token_owner, who, "left"), np.searchsorted(token_owner, who, "right")
+        rows: list[list] = [[np.zeros(0, U)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0)]]
+        for key, size, a, b in zip(who, n, starts, ends, strict=True):
+            alone = size - (b - a)
+            if b - a < needed(size, percent):
+                continue
+            own = lengths[a:b]
+            best = choose(np.r_[np.ones(alone, np.int64), own], size, percent)
+            taken = tokens[a:b][: size - needed(size, percent) + best - alone]
+            for column, value in zip(rows, (taken, key, size, best, b - a, (own.sum() + alone) / size), strict=True):
+                column.append(value if column is rows[0] else np.full(len(taken), value, column[0].dtype))
+        columns = [np.concatenate(x) for x in rows]
+        for a in range(0, max(1, len(columns[0])), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0][a : a + (1 << 16)].view(np.int64)), *(pa.array(x[a : a + (1 << 16)]) for x in columns[1:])], names=["token", "owner", "n", "l", "m", "c"])
+
+    listed = packed(sets, "set", ranges).mapInArrow(lists, "range int, owners binary, shared binary, total binary, tokens binary, lengths binary")
+    return listed.repartition(ranges, "range").mapInArrow(pick, "token long, owner long, n long, l int, m long, c double")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -258,81 +268,120 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "set_a", "set_b").mapInArrow(judge, "a long, b long")
 
 
+def are_stars(edges: DataFrame) -> bool:
+    """Whether each u of the edges (u, v) has one v, which is no other edge's u."""
+    ends = edges.groupBy("u").agg(F.count(F.lit(1)).alias("k")).unionByName(edges.select(F.col("v").alias("u")).distinct().withColumn("k", F.lit(1).cast("long")))
+    return ends.groupBy("u").agg(F.sum("k").alias("k")).filter("k > 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root (its component's smallest node) for the nodes of links (a, b), by alternating large and small stars.
 
-    Links to a node's smallest neighbour replace its links until none changes. Each round's links are written to the shared
-    folder; only their number and a checksum come to the driver.
+    Links to a node's smallest neighbour replace its links until all are stars. Each round's links are written to the shared
+    folder; only whether one is left to do comes to the driver.
     """
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "links")
-    state = None
-    while True:
+    while not are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.filter("m < u").select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
         edges = stored(small, "links")
-        now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum((F.xxhash64("u", "v") % 1_000_000_007).cast("decimal(38,0)")).alias("s")).first()
-        if now == state:
-            break
-        state = now
-    return edges.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
 def rooted(prefix: DataFrame, roots: DataFrame) -> DataFrame:
     return prefix.join(roots.withColumnRenamed("node", "owner"), "owner", "left").withColumn("root", F.coalesce("root", "owner"))
 
 
-def star_pairs(rows: DataFrame) -> DataFrame:
-    """Each shingle's classes against the list's first one, where their components differ."""
-    first = rows.groupBy("token").agg(F.min(F.struct("owner", "root")).alias("first"))
-    pairs = rows.join(first, "token").filter("root <> first.root").select(F.col("first.owner").alias("a"), F.col("owner").alias("b"))
-    return pairs.distinct()
+def enough(both: Column, percent: int) -> Column:
+    """Whether sets of n and n2 shingles that share ``both`` are similar enough."""
+    return (100 + percent) * both >= percent * (F.col("n") + F.col("n2"))
+
+
+def may_link(percent: int) -> Column:
+    """Whether two classes can be similar enough if they share all shingles that any others share with them."""
+    return enough(F.col("m"), percent) & enough(F.col("m2"), percent)
+
+
+def central(rows: DataFrame) -> DataFrame:
+    """For each shingle's list its most central class: the one whose shingles most others have. The text that copies were made from is."""
+    return rows.groupBy("token").agg(F.min(F.struct((-F.col("c")).alias("c"), "owner", "root", "n", "m")).alias("first"))
+
+
+def star_pairs(rows: DataFrame, percent: int, sets: DataFrame) -> DataFrame:
+    """Each shingle's classes against the list's most central one, where their components differ."""
+    first = central(rows).select("token", F.col("first.owner").alias("a"), F.col("first.root").alias("root2"), F.col("first.n").alias("n2"), F.col("first.m").alias("m2"))
+    return rows.join(first, "token").filter((F.col("root") != F.col("root2")) & may_link(percent)).select("a", F.col("owner").alias("b")).distinct()
 
 
-def other_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """All pairs of classes from different components that share enough prefix shingles."""
-    mixed_lists = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
-    left = rows.join(mixed_lists, "token", "left_semi")
-    right = left.select("token", *[F.col(c).alias(f"{c}2") for c in ("owner", "n", "l", "root")])
-    near = (F.col("root") != F.col("root2")) & (F.col("owner") < F.col("owner2")) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
-    joined = left.join(right, (left.token == right.token) & near)
-    counts = joined.groupBy(F.col("owner").alias("a"), F.col("owner2").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("l", "l2")).alias("least"))
+def sketches(sets: DataFrame) -> DataFrame:
+    """owner and SKETCH words of 64 bits: a bit is set where a shingle of the set falls."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = np.zeros((batch.num_rows, 64 * SKETCH), np.uint8)
+            for k, data in enumerate(batch.column(1).to_pylist()):
+                marks[k, np.frombuffer(data, U) % U(64 * SKETCH)] = 1
+            words = np.packbits(marks, axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(words[:, k]) for k in range(SKETCH))], names=["owner", *(f"bits{k}_" for k in range(SKETCH))])
+
+    return sets.select("owner", "set").mapInArrow(mark, "owner long, " + ", ".join(f"bits{k}_ long" for k in range(SKETCH)))
+
+
+def sketches_allow(percent: int) -> Column:
+    """A bit that one sketch alone has stands for a shingle at least that the other set lacks, which bounds what both share."""
+    first, second = (sum((F.bit_count(F.col(f"bits{k}_{x}").bitwiseAND(F.bitwise_not(F.col(f"bits{k}_{y}")))) for k in range(SKETCH)), F.lit(0)) for x, y in (("", "2"), ("2", "")))
+    return enough(F.col("n") - first, percent) & enough(F.col("n2") - second, percent)
+
+
+def other_pairs(rows: DataFrame, percent: int, sets: DataFrame) -> DataFrame:
+    """All pairs of classes from different components that share enough prefix shingles: those outside the central class's component with all.
+
+    Bounds from list lengths and from the sets' sketches are held against each pair before it leaves the join.
+    """
+    lists = rows.groupBy("token").agg(F.min(F.struct((-F.col("c")).alias("c"), "owner", "root")).alias("first"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    known = rows.join(lists.filter("lo < hi").select("token", F.col("first.root").alias("main")), "token").join(sketches(sets), "owner")
+    left = known.filter("root <> main")
+    right = known.select([F.col(c).alias(f"{c}2") for c in known.columns])
+    once = (F.col("root2") == F.col("main2")) | (F.col("owner") < F.col("owner2"))
+    joined = left.join(right, (F.col("token") == F.col("token2")) & (F.col("root") != F.col("root2")) & once & may_link(percent) & sketches_allow(percent))
+    counts = joined.groupBy(F.least("owner", "owner2").alias("a"), F.greatest("owner", "owner2").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("l", "l2")).alias("least"))
     return counts.filter("shared >= least").select("a", "b")
 
 
-def found(docs: DataFrame, text: str, key: str, width: int, percent: int, star_rounds: int) -> DataFrame:
-    """Per row of ``docs``, which are located: key, __file, __row, n, owner, root (null without a set)."""
+def found(docs: DataFrame, width: int, percent: int, star_rounds: int) -> DataFrame:
+    """Per row of ``docs`` (key, text, file, row): key, file, row, n, owner, root (null without a set)."""
     spark = docs.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    signed = stored(signatures(docs, text, key, width, percent), "signatures")
-    sets = stored(whole_sets(docs, survivors(signed, percent, ranges), text, key, width), "sets")
+    signed = stored(signatures(docs, width, percent), "signatures")
+    sets = stored(whole_sets(docs, survivors(signed, percent, ranges), width), "sets")
     prefix = stored(prefixes(sets, percent, ranges), "prefixes")
     roots = spark.createDataFrame([], "node long, root long")
     links = spark.createDataFrame([], "a long, b long")
-    for find in [star_pairs] * star_rounds + [lambda rows: other_pairs(rows, percent)]:
-        pairs = stored(find(rooted(prefix, roots)), "pairs")
+    for find in [star_pairs] * star_rounds + [other_pairs]:
+        pairs = stored(find(rooted(prefix, roots), percent, sets), "pairs")
         if pairs.isEmpty():
             continue
         links = links.unionByName(stored(verified(pairs, sets, percent), "verified"))
         roots = stored(components(links), "roots")
-    rows = signed.select("key", "__file", "__row", "n", "owner")
+    rows = signed.select("key", "file", "row", "n", "owner")
     return rows.join(roots.withColumnRenamed("node", "owner"), "owner", "left").withColumn("root", F.coalesce("root", "owner"))
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, percent: int = 80, star_rounds: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, percent: int = 80, star_rounds: int = 1) -> DataFrame:
     """key, n_shingles, component_id of every row."""
-    rows = found(located(docs), text, key, width, percent, star_rounds)
+    rows = found(keyed(located(docs), key, text), width, percent, star_rounds)
     named = rows.filter("root is not null").groupBy("root").agg(F.min("key").alias("component"))
     return rows.join(named, "root", "left").select(F.col("key"), F.col("n").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("key")).otherwise(F.col("component")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, percent: int = 80, star_rounds: int = 2) -> DataFrame:
+def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, percent: int = 80, star_rounds: int = 1) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one of smallest key (nulls last), then locator. Rows without a set stay."""
     source = located(docs)
-    rows = found(source, text, key, width, percent, star_rounds)
-    order = F.struct(F.col("key").isNull().alias("without"), F.col("key").alias("key"), F.col("__file").alias("file"), F.col("__row").alias("row"))
+    rows = found(keyed(source, key, text), width, percent, star_rounds)
+    order = F.struct(F.col("key").isNull().alias("without"), F.col("key").alias("key"), "file", "row")
     first = rows.filter("root is not null").groupBy("root").agg(F.min(order).alias("first"))
-    gone = rows.join(first, "root").filter(~order.eqNullSafe(F.col("first"))).select("__file", "__row").hint("shuffle_hash")
-    return source.join(gone, ["__file", "__row"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = rows.join(first, "root").filter(~order.eqNullSafe(F.col("first"))).select("file", "row").hint("shuffle_hash")
+    return original(source.join(gone, ["file", "row"], "left_anti"))

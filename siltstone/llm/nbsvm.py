@@ -165,8 +165,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
     return fit([np.frombuffer(r.places, np.uint32) for r in got], [r.label for r in got], buckets)
 
 
-def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with the column ``__score`` (0 to 1, higher: label 1 likelier)."""
+def scored(docs: DataFrame, model: Model, text: str = "text", out: str = "quality_score") -> DataFrame:
+    """``docs`` with the column ``out`` (0 to 1, higher: label 1 likelier); a column of that name is replaced."""
+    docs = docs.drop(out)
     held = docs.sparkSession.sparkContext.broadcast(model)
     place = len(docs.columns)
 
@@ -174,6 +175,6 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         own = held.value
         for part, texts in slices(batches, place):
             scores = pa.array([own.score(features(t, own.buckets)) for t in texts], pa.float64())
-            yield pa.RecordBatch.from_arrays([*part.columns[:place], scores], names=[*part.schema.names[:place], "__score"])
+            yield pa.RecordBatch.from_arrays([*part.columns[:place], scores], names=[*part.schema.names[:place], out])
 
-    return docs.withColumn("__text", text_of(text)).mapInArrow(judged, StructType([*docs.schema, StructField("__score", DoubleType())]))
+    return docs.select("*", text_of(text).alias("its text")).mapInArrow(judged, StructType([*docs.schema, StructField(out, DoubleType())]))

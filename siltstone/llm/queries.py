@@ -62,7 +62,7 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = nbsvm.train(docs, table(spark, sf_dir, "labels"))
-    return nbsvm.scored(docs, model).select("doc_id", nbsvm.in_fold(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= 0.3).cast("int").alias("predicted"))
+    return nbsvm.scored(docs, model).select("doc_id", nbsvm.in_fold(F.col("doc_id")).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import ascii_lower, located, shared_dir, stored, text_of
+from siltstone.llm.common import ascii_lower, keyed, located, original, shared_dir, stored
 
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -26,7 +26,7 @@ STATE = {
 
 
 def row_order(key: str = "key") -> Column:
-    return F.struct(F.col(key).alias("key"), F.col("__file").alias("file"), F.col("__row").alias("row"))
+    return F.struct(F.col(key).alias("key"), "file", "row")
 
 
 def run_stream(arrivals: DataFrame, files_per_batch: int | None = None) -> DataFrame:
@@ -57,11 +57,14 @@ def run_stream(arrivals: DataFrame, files_per_batch: int | None = None) -> DataF
 
 
 def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", files_per_batch: int | None = None) -> DataFrame:
-    """One row per row of ``docs``: key, __file, __row, digest, keep (key, file, row of the row that stays) and n (rows of equal text)."""
-    same = ascii_lower(text_of(text))
-    rows = located(docs).select(F.col(f"`{key}`").alias("key"), "__file", "__row", same.alias("same"))
+    """One row per row of ``docs``: key, file, row, digest, keep (key, file, row of the row that stays) and n (rows of equal text)."""
+    return grouped(keyed(located(docs), key, text), files_per_batch)
+
+
+def grouped(docs: DataFrame, files_per_batch: int | None = None) -> DataFrame:
+    rows = docs.select("key", "file", "row", ascii_lower(F.col("text")).alias("same"))
     rows = rows.withColumn("digest", F.unhex(F.sha2("same", 256)))
-    arrivals = stored(rows.select("key", "__file", "__row", "digest"), "dedup-rows")
+    arrivals = stored(rows.select("key", "file", "row", "digest"), "dedup-rows")
     held = run_stream(arrivals, files_per_batch)
     hit = held.filter("n > 1").select("digest").hint("shuffle_hash")
     exact = rows.join(hit, "digest", "left_semi").groupBy("digest", "same").agg(F.max(row_order()).alias("keep"), F.count(F.lit(1)).alias("n"))
@@ -79,6 +82,6 @@ def kept() -> Column:
 
 def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stay, with its own columns."""
-    rows = located(docs)
-    stay = groups(docs, text, key).filter(kept()).select("__file", "__row").hint("shuffle_hash")
-    return rows.join(stay, ["__file", "__row"], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    source = located(docs)
+    stay = grouped(keyed(source, key, text)).filter(kept()).select("file", "row").hint("shuffle_hash")
+    return original(source.join(stay, ["file", "row"], "left_semi"))

@@ -37,7 +37,7 @@ def corpus(seed, n=150):
 
 
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("stars", [0, 2])
+@pytest.mark.parametrize("stars", [0, 1])
 def test_near_duplicates(spark, seed, stars):
     rows = corpus(seed)
     got = jaccard.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3), star_rounds=stars).collect()
