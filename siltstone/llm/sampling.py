@@ -20,6 +20,7 @@ Null or empty texts have one segmentation, without pieces. A text of fewer than
 from __future__ import annotations
 
 import heapq
+import math
 import re
 from collections.abc import Iterator
 
@@ -35,6 +36,7 @@ from siltstone.llm.words import PLACES, mixed
 
 SPACE = "▁"
 LONG = 48
+STEPS = np.arange(4096, dtype=np.uint64)
 
 
 class Model:
@@ -128,40 +130,45 @@ class Lattice:
         codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         begins = np.cumsum(sizes) - sizes
-        word = np.repeat(np.arange(len(words)), sizes)
-        stop = (begins + sizes)[word]
+        word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
         self.first = begins + np.arange(len(words))  # node of each word's beginning
         self.last = self.first + sizes
-        src, size, piece, logw = [], [], [], []
-        at, state = np.arange(len(codes)), np.zeros(len(codes), np.int64)
-        alone = np.ones(len(codes), bool)
+        far = (begins + sizes)[word] - np.arange(len(codes))  # from a place to its word's end
+        level = []
+        at, state, count = np.arange(len(codes)), np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
         for length in range(1, model.longest + 1):
-            good = at + length <= stop[at]
+            good = far[at] >= length
             at, state = at[good], state[good]
             good, state = model.step(state << 21 | codes[at + length - 1])
             at = at[good]
+            own = model.piece[state]
+            good = np.flatnonzero(own >= 0)
+            level.append((length, at[good], own[good], model.score[state[good]]))
+            if length == 1:  # characters without a piece of their own
+                alone = np.ones(len(codes), bool)
+                alone[level[0][1]] = False
+                lost = np.flatnonzero(alone)
+                level.append((1, lost, model.lost[np.minimum(codes[lost], 128)], np.full(len(lost), model.unknown_score)))
+            for _, src, *_ in level[-2:] if length == 1 else level[-1:]:
+                count[src] += 1
             if not len(at):
                 break
-            own = model.piece[state]
-            good = own >= 0
-            if length == 1:
-                alone[at[good]] = False
-            src.append(at[good])
-            size.append(np.full(good.sum(), length))
-            piece.append(own[good])
-            logw.append(model.score[state[good]])
-        lost = np.flatnonzero(alone)  # characters without a piece of their own
-        src.append(lost)
-        size.append(np.ones(len(lost), np.int64))
-        piece.append(model.lost[np.minimum(codes[lost], 128)])
-        logw.append(np.full(len(lost), model.unknown_score))
-        src, size, piece, logw = (np.concatenate(x) for x in (src, size, piece, logw))
-        away = (stop - np.arange(len(codes)))[src]
-        order = np.argsort((away * (len(codes) + 1) + src) * (model.longest + 1) + size)
-        src, size, self.piece, logw, away = src[order], size[order], piece[order], logw[order], away[order]
-        node = src + word[src]
-        self.dst = node + size
-        self.char = codes[src]
+        # Places by their distance from the word's end; a place's edges stand together, shortest first.
+        order = np.argsort(far.astype(np.uint16) if len(far) and far.max() < 1 << 16 else far, kind="stable")
+        after = np.cumsum(count[order])
+        slot = np.empty(len(codes), np.int64)
+        slot[order] = after - count[order]
+        total = int(after[-1]) if len(after) else 0
+        node, self.dst, away = np.empty(total, np.int32), np.empty(total, np.int32), np.empty(total, np.int32)
+        self.piece, logw, self.char = np.empty(total, np.int32), np.empty(total), np.empty(total, np.int32)
+        for length, src, own, score in level:
+            to = slot[src]
+            slot[src] += 1
+            at = src + word[src]
+            node[to], self.dst[to], away[to] = at, at + length, far[src]
+            self.piece[to], logw[to], self.char[to] = own, score, codes[src]
+        size = self.dst - node
+        del level, order, after, slot, count
         starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
         own = node[starts]
         self.begin = np.zeros(len(codes) + len(words), np.int64)
@@ -180,6 +187,7 @@ class Lattice:
         self.logq = logw + beta[self.dst] - beta[node]  # of an edge, given its node
         self.q = np.exp(self.logq)
         self.source = node
+        self.rest = np.where((self.end - self.begin)[node] > 1, np.maximum(1 - self.q, 0), 0.0)  # chance to take another edge
         self.ends = away[: len(node)] == size  # edges to a word's end
         # A node's likeliest edge is tried first; the others stand in one running sum.
         counts = np.diff(np.r_[starts, len(node)])
@@ -208,8 +216,9 @@ class Lattice:
 def uniform(seed: np.ndarray | int, path: int, place: np.ndarray | int, use: int = 0) -> np.ndarray:
     """Numbers in (0, 1) that hang on their arguments alone."""
     salt = np.uint64((path << 8 | use) * int(PLACES[9]) & 0xFFFFFFFFFFFFFFFF)
-    x = mixed((np.atleast_1d(seed).astype(np.uint64) ^ salt) + np.atleast_1d(place).astype(np.uint64) * PLACES[10])
-    return ((x >> np.uint64(12)).astype(np.float64) + 0.5) / 2.0**52
+    place = place.astype(np.uint64, copy=False) if isinstance(place, np.ndarray) else np.array([place], np.uint64)
+    x = mixed((seed ^ salt) + place * PLACES[10]) >> np.uint64(12)
+    return (x + 0.5) * 2.0**-52
 
 
 class Batch:
@@ -262,19 +271,17 @@ class Batch:
         def split(edges: np.ndarray, logq: np.ndarray, depth: int, time: float, before: float, taken: tuple[int, ...]) -> None:
             """Queues the paths that leave ``edges`` at ``depth`` (by other edges than ``taken`` and its own) or later."""
             path = len(found) - 1
-            reach = before + np.r_[0.0, np.cumsum(logq[depth:])[:-1]]
+            reach = np.empty(len(edges) - depth)
+            reach[0] = before
+            np.cumsum(logq[depth:-1], out=reach[1:])
+            reach[1:] += before
             # Where the walk so far has a chance below e^-100, waiting times exceed any that a head of all mass can give at 52 random bits.
             some = len(reach) if reach[-1] > -100 else int(np.searchsorted(-reach, 100))
-            own = edges[depth : depth + some]
-            rest = 1 - lattice.q[own]
-            node = lattice.source[own]
-            others = lattice.end[node] - lattice.begin[node] > 1
+            rest = lattice.rest[edges[depth : depth + some]]
             if taken:
-                rest[0] -= lattice.q[list(taken)].sum()
-                others[0] = lattice.end[node[0]] - lattice.begin[node[0]] > 1 + len(taken)
-            rest = np.where(others, np.maximum(rest, 0), 0)
-            with np.errstate(divide="ignore", over="ignore"):
-                wait = -np.log(uniform(seed, path, np.arange(depth, depth + some), 1)) / (np.exp(reach[:some]) * rest)
+                node = lattice.source[edges[depth]]
+                rest[0] = max(rest[0] - lattice.q[list(taken)].sum(), 0) if lattice.end[node] - lattice.begin[node] > 1 + len(taken) else 0
+            wait = -np.log(uniform(seed, path, STEPS[depth : depth + some] if depth + some <= len(STEPS) else np.arange(depth, depth + some, dtype=np.uint64), 1)) / (np.exp(reach[:some]) * rest)
             for j in np.argsort(wait)[: k + 1 - len(found)]:
                 if np.isfinite(wait[j]):
                     heapq.heappush(queue, (time + wait[j], path, depth + int(j), float(reach[j]), (*taken, int(edges[depth])) if j == 0 else (int(edges[depth + j]),)))
@@ -328,19 +335,21 @@ def sample(model: Model, texts: list[str], keys: list[object], k: int) -> list[l
     """For each text its drawn segmentations: (ids, log probability, Gumbel value, log inclusion probability)."""
     some = [n for n, t in enumerate(texts) if t]
     out = [[(np.zeros(0, np.int32), 0.0, float("inf"), 0.0)] for _ in texts]
-    if some:
+    if not some:
+        return out
+    with np.errstate(divide="ignore", over="ignore"):  # a path without other edges is never left
         batch = Batch(model, [texts[n] for n in some], [seed_of(keys[n]) for n in some], k)
         for at, n in enumerate(some):
             found, threshold = batch.top(at, k)
             out[n] = []
             for edges, logp, time in found:
-                rate = logp + np.log(threshold)
-                inclusion = 0.0 if np.isinf(threshold) else rate if rate < -30 else float(np.log(-np.expm1(-np.exp(rate))))
-                out[n].append((ids_of(model, batch.lattice, edges), logp, float(-np.log(time)), float(inclusion)))
+                rate = logp + math.log(threshold)
+                inclusion = 0.0 if math.isinf(threshold) else rate if rate < -30 else math.log(-math.expm1(-math.exp(rate)))
+                out[n].append((ids_of(model, batch.lattice, edges), logp, -math.log(time), inclusion))
     return out
 
 
-def sampled(df: DataFrame, model_path: str, k: int = 2, alpha: float = 1.0, text: str = "text", key: str = "doc_id", batch_bytes: int = 4 << 20) -> DataFrame:
+def sampled(df: DataFrame, model_path: str, k: int = 2, alpha: float = 1.0, text: str = "text", key: str = "doc_id", batch_bytes: int = 1 << 20) -> DataFrame:
     """key, sample (from 1), log_prob, gumbel, log_inclusion, n_pieces and ids: ``k`` distinct segmentations of each row's whole text."""
     names = [key, "sample", "log_prob", "gumbel", "log_inclusion", "n_pieces", "ids"]
 
