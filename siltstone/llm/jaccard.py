@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import keyed, located, original, slices, stored
-from siltstone.llm.words import WordHashes, grams
+from siltstone.llm.words import WordHashes, grams, hold
 
 WORDS = WordHashes()
 U = np.uint64
@@ -123,6 +123,7 @@ def signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """key, file, row, n (set size), owner (hash of the set; null without one), prefix (step 1's shingles)."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold(WORDS)
         for part, texts in slices(batches, 3):
             n, owner, prefix = [], [], []
             for t in texts:
@@ -158,22 +159,38 @@ def packed(rows: DataFrame, column: str, ranges: int, pieces: int = 2048) -> Dat
     return rows.select("owner", column).filter("owner is not null").mapInArrow(pack, PACKED).repartition(ranges, "range")
 
 
-def shared_counts(lists: DataFrame) -> DataFrame:
+def shared_counts(lists: DataFrame, ranges: int) -> DataFrame:
     """owner, shared: how many of its sent shingles another owner has too."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, owners = unpacked(batches)
         found, times = np.unique(owners[list_lengths(tokens) > 1], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(times)], names=["owner", "shared"])
+        place = found.view(U) % U(ranges)
+        order = np.argsort(place, kind="stable")
+        cuts = np.flatnonzero(np.diff(place[order])) + 1
+        parts = [x for x in np.split(order, cuts) if len(x)]  # one row for each range of owners
+        columns = [pa.array([int(place[x[0]]) for x in parts], pa.int32()), *(pa.array([v[x].astype(np.int64).tobytes() for x in parts], pa.binary()) for v in (found, times))]
+        yield pa.RecordBatch.from_arrays(columns, names=["range", "owners", "shared"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owners, shared = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for batch in batches:
+            for o, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                owners.append(np.frombuffer(o, np.int64))
+                shared.append(np.frombuffer(s, np.int64))
+        who, back = np.unique(np.concatenate(owners), return_inverse=True)
+        total = np.bincount(back, np.concatenate(shared), len(who)).astype(np.int64)
+        for k in range(0, max(1, len(who)), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(who[k : k + (1 << 16)]), pa.array(total[k : k + (1 << 16)])], names=["owner", "shared"])
 
-    return lists.mapInArrow(count, "owner long, shared long").groupBy("owner").agg(F.sum("shared").alias("shared"))
+    return lists.mapInArrow(count, "range int, owners binary, shared binary").repartition(ranges, "range").mapInArrow(add, "owner long, shared long")
 
 
 def survivors(signed: DataFrame, percent: int, ranges: int) -> DataFrame:
     """owner and key (of one row) of the classes that step 1 leaves."""
     classes = signed.filter("owner is not null").groupBy("owner").agg(F.min("key").alias("key"), F.min("n").alias("n"))
     least = F.greatest(F.lit(1), F.floor(F.col("n") / 10))
-    return classes.join(shared_counts(packed(signed, "prefix", ranges)), "owner").filter(F.col("shared") >= least).select("owner", "key")
+    return classes.join(shared_counts(packed(signed, "prefix", ranges), ranges), "owner").filter(F.col("shared") >= least).select("owner", "key")
 
 
 def whole_sets(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
@@ -181,6 +198,7 @@ def whole_sets(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
     left = docs.select("key", "text").join(chosen.select(F.col("key").alias("wanted"), "owner").hint("shuffle_hash"), F.col("key").eqNullSafe(F.col("wanted")))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold(WORDS)
         sent: set[int] = set()
         for part, texts in slices(batches, 1):
             owners, data = [], []
