@@ -128,7 +128,7 @@ def string_literal(text: str, begin: int) -> str | None:
 
 def assigned(text: str, name: str):
     """The JSON value that a page assigns to ``name``: an object or list, JSON.parse("...") or a string of JSON; null if there is none."""
-    for m in re.finditer(rf"{re.escape(name)}\s*=\s*(JSON\.parse\(\s*)?", text):
+    for m in re.finditer(rf"{re.escape(name)}\w*\s*=\s*(JSON\.parse\(\s*)?", text):
         at = m.end()
         raw = string_literal(text, at) if text[at : at + 1] in ("'", '"') else balanced(text, at) if text[at : at + 1] in ("{", "[") else None
         try:

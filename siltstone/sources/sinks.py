@@ -19,7 +19,7 @@ def parquet(df: DataFrame, path: str, compression: str = "zstd", by: list[str] |
 def csv(df: DataFrame, path: str, mode: str = "overwrite", one_file: bool = False) -> None:
     """Null as '', nested cells as JSON text."""
     flat = df.select(*[F.coalesce(F.to_json(f.name), F.lit("")).alias(f.name) if f.dataType.typeName() in ("array", "map", "struct") else F.col(f"`{f.name}`") for f in df.schema])
-    (flat.coalesce(1) if one_file else flat).write.mode(mode).options(header=True, quote='"', escape='"', nullValue="", emptyValue="").csv(path)
+    (flat.coalesce(1) if one_file else flat).write.mode(mode).options(header=True, quote='"', escape='"', nullValue="", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def csv_by_key(df: DataFrame, path: str, key: str) -> None:

@@ -75,5 +75,7 @@ def crawl(links: DataFrame, start: list[str], most_pages: int, keep: Column | No
 
 def windowed_counts(events: DataFrame, at: str, kind: str, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Counts and sums by time window and kind, on a stream or a table. An extension: the scripts this replaces had no windows."""
-    base = events.withWatermark(at, late) if events.isStreaming else events
-    return base.groupBy(F.window(at, width).alias("w"), kind).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("window_start"), kind, "n", "total")
+    own = events.schema[at].dataType
+    timed = events.withColumn(at, F.col(at).cast("timestamp"))  # watermarks want a time with zone; the result has the column's own type
+    base = timed.withWatermark(at, late) if events.isStreaming else timed
+    return base.groupBy(F.window(at, width).alias("w"), kind).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")).select(F.col("w.start").cast(own).alias("window_start"), kind, "n", "total")
