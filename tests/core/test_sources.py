@@ -165,7 +165,7 @@ def test_crawl(spark):
 
 def test_windows_on_a_stream(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    counts = ingest.windowed_counts(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet"), "ts", "event_type")
+    counts = ingest.windowed_counts(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir), "ts", "event_type")
     query = counts.writeStream.outputMode("complete").format("memory").queryName("windows").trigger(availableNow=True).start()
     query.awaitTermination()
     batch = ingest.windowed_counts(spark.read.parquet(f"{sf_dir}/events.parquet"), "ts", "event_type")
