@@ -77,10 +77,34 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
+#: SQL for the queries that it can express; the others are tested against plain versions.
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SQL = {
+    "op3_chat_formatting": r"""
+        WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+             f AS (SELECT *, 24 + length(role) + length(text) + length(text) - length(replace(text, '\', ''))
+                          + len(regexp_extract_all(text, '<\||</?s>|<</?SYS>>|\[/?INST\]')) AS chars FROM t)
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(chars)::BIGINT AS formatted_chars, 0::BIGINT AS n_rewrites
+        FROM f GROUP BY conv_id""",
+    "op4_stream_dedup": f"""
+        SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(same) AS text_sha256
+        FROM (SELECT doc_id, {LOWER} AS same FROM documents) WINDOW g AS (PARTITION BY same)""",
+    "op7_jaccard_join": rf"""
+        WITH RECURSIVE d AS (SELECT doc_id, [w for w in string_split_regex({LOWER}, '[\x20\x09-\x0D]+') if w <> ''] AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        l AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 80 * (x.n + y.n - c)),
+        e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        r AS (SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node)
+        SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.root) AS component_id
+        FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN r ON d.doc_id = r.node GROUP BY 1""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    texts = """SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS same FROM documents"""
-    return {
-        "op4_stream_dedup": f"""
-            SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(same) AS text_sha256
-            FROM ({texts}) WINDOW g AS (PARTITION BY same)"""
-    }
+    return dict(SQL)
