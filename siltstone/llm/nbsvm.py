@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from siltstone.llm.common import slices, text_of
-from siltstone.llm.words import PLACES, WordHashes, grams, mixed
+from siltstone.llm.words import PLACES, WordHashes, grams, hold, mixed
 
 
 def shape(word: str) -> str:
@@ -100,7 +100,7 @@ def dual_descent(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray, cost
     norms = np.array([max(np.sqrt((ratios[r] ** 2).sum()), 1e-12) for r in rows])
     w, bias, alpha, rng = np.zeros(len(ratios)), 0.0, np.zeros(len(rows)), np.random.default_rng(seed)
     costs = np.where(y > 0, cost, cost * min(10.0, max(1.0, (y > 0).sum() / max(1, (y <= 0).sum()))))
-    scaled = [ratios[r] / n for r, n in zip(rows, norms, strict=True)]
+    scaled = [(ratios[r] / n).astype(np.float32) for r, n in zip(rows, norms, strict=True)]
     for _ in range(epochs):
         most = 0.0
         for i in rng.permutation(len(rows)):
@@ -157,6 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
     rows = texts.join(F.broadcast(chosen), "key").orderBy(*order, F.xxhash64("text")).limit(most_rows)
 
     def indicators(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold(WORDS)
         for part, own in slices(batches, 1):
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([features(t, buckets).tobytes() for t in own], pa.binary())], names=["key", "label", "places"])
 
@@ -173,6 +174,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text", out: str = "qualit
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
+        hold(WORDS)
         for part, texts in slices(batches, place):
             scores = pa.array([own.score(features(t, own.buckets)) for t in texts], pa.float64())
             yield pa.RecordBatch.from_arrays([*part.columns[:place], scores], names=[*part.schema.names[:place], out])

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import slices, text_of
+from siltstone.llm.words import hold
 
 #: How byte-level vocabularies cut texts into words before merging, with letters, numbers and white space listed for
 #: the characters outside UNUSUAL, whose classes every library and Unicode version has alike.
@@ -34,7 +35,7 @@ class Encoder:
 
     _made: dict[str, Encoder] = {}
 
-    def __init__(self, path: str, most_words: int = 1 << 20) -> None:
+    def __init__(self, path: str, most_words: int = 3 << 18) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
@@ -88,6 +89,7 @@ def pack(df: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id",
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.at(tokenizer)
+        hold(encoder.words)
         for part, texts in slices(batches, 1):
             row, start, length, ids, total = [], [], [], [], []
             for k, content in enumerate(texts):

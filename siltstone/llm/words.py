@@ -9,10 +9,22 @@ import xxhash
 PLACES = np.array([xxhash.xxh3_64_intdigest(f"place {k}") | 1 for k in range(16)], np.uint64)
 
 
+_held: list[dict] = []
+
+
+def hold(cache: dict) -> dict:
+    """``cache``, after any other that was held is emptied: a worker that runs one operator after another keeps one large cache."""
+    for other in _held:
+        if other is not cache:
+            other.clear()
+    _held[:] = [cache]
+    return cache
+
+
 class WordHashes(dict):
     """64-bit hashes of words (bytes or str); forgets all when it holds ``most``."""
 
-    def __init__(self, most: int = 1 << 20) -> None:
+    def __init__(self, most: int = 1 << 19) -> None:
         super().__init__()
         self.most = most
 
