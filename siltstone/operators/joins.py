@@ -92,6 +92,12 @@ def fuzzy_slugs(df: DataFrame, key: str, slug: str, files: DataFrame, file: str,
     return df.select(key, F.col(slug).alias("a")).join(best, "a").select(key, F.col("best.file").alias(file), (-F.col("best.far")).alias("score"))
 
 
+def with_defaults(df: DataFrame, lookup: DataFrame, key: str, defaults: dict[str, object]) -> DataFrame:
+    """The look-up's columns for each row, or their defaults. The look-up's keys are unique (else ``NotUnique``)."""
+    there = check_unique(lookup.select(key, *defaults), [key])
+    return df.join(there, key, "left").withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
+
+
 def compare_runs(before: DataFrame, after: DataFrame, keys: Cols, value: str) -> DataFrame:
     """Both runs' values by key, 0 where one lacks it, and the difference."""
     a, b = before.select(*keys, F.col(value).alias("before")), after.select(*keys, F.col(value).alias("after"))

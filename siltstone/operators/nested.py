@@ -135,6 +135,19 @@ def unknown_fields(document: Column, legal: dict[str, list[str]], items: str = "
     return on_json(find, "array<string>")(document)
 
 
+def legal_names(schema) -> set[str]:
+    """All field names of a struct type, at any depth."""
+    out: set[str] = set()
+    waiting = [schema]
+    while waiting:
+        kind = waiting.pop()
+        kind = getattr(kind, "elementType", kind)
+        for f in getattr(kind, "fields", ()):
+            out.add(f.name)
+            waiting.append(f.dataType)
+    return out
+
+
 def enum_violations(df: DataFrame, key: str, document: str, domain: DataFrame) -> DataFrame:
     """key, path, value of the values that ``domain`` (path, value) names the path of, but not the value."""
     found = df.select(key, F.explode(path_values(F.col(document))).alias("pv")).select(key, "pv.path", "pv.value")

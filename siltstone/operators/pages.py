@@ -221,7 +221,7 @@ def card_fields(text: Column, junk_users: tuple[str, ...] = ()) -> Column:
     after = F.when(end > mode + 1, F.slice(rows, (mode + 1).cast("int"), (end - mode - 1).cast("int"))).otherwise(F.array().cast("array<string>"))
     user = F.get(F.filter(before, lambda s: ~s.rlike(r"^\d") & ~s.isin(*junk_users) if junk_users else ~s.rlike(r"^\d")), F.lit(0))
     is_rating = lambda s: s.rlike(r"^[1-5](?:\.\d)?$")
-    is_date = lambda s: s.rlike(r"(?i)^(?:\d+|one|an?|yesterday|today).*(?:ago|yesterday|today)$|^[A-Z][a-z]{2} \d{1,2}, \d{4}$")
+    is_date = lambda s: s.rlike(r"(?i)^(?:yesterday|today)$|^(?:\d+|one|an?)\b.*\bago$|^[A-Z][a-z]{2} \d{1,2}, \d{4}$")
     both = F.concat(before, after)
     said = F.filter(after, lambda s: ~is_rating(s) & ~is_date(s))
     return F.struct(user.alias("user"), F.get(F.filter(both, is_rating), F.lit(0)).alias("rating"), F.get(F.filter(both, is_date), F.lit(0)).alias("date"), F.array_join(said, "\n").alias("text"))

@@ -524,6 +524,102 @@ def c7_coverage_status(spark, sf):
     return Tables(spark, sf).orders.groupBy(status.alias("status")).agg(counted())
 
 
+# ---- addresses, cells and pages made of the tables' rows ----
+
+
+@query("""SELECT o_orderkey, 'https://h.org/x/reviews?page=' || o_orderkey || '&sort=dd&filter=reviews-dd' AS listing, 'https://h.org/x?a=1&b=' || o_orderkey || '&sort=new' AS merged,
+    CASE WHEN o_orderkey % 3 = 0 THEN 'https://h.org/resources/s' || o_orderkey END AS article, 'https://h.org/forum/t-t' || o_orderkey || '-20.html' AS topic_page, 'https://h.co/' || o_orderkey AS share,
+    'P' || o_orderkey || ', A, C|P' || o_orderkey || ', A|P' || o_orderkey || '|My Place' AS candidates, CASE WHEN o_orderkey % 2 = 0 THEN 'https://h.org/?p=' || o_orderkey END AS next FROM orders""")
+def f5_f9_f14_f27_f29_x14_addresses(spark, sf):
+    k = c("o_orderkey").cast("string")
+    say = lambda *parts: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
+    article = F.when(c("o_orderkey") % 3 == 0, say("/resources/s", k)).when(c("o_orderkey") % 3 == 1, say("/other/s", k)).otherwise(say("https://x.org/resources/s", k))
+    header = F.when(c("o_orderkey") % 2 == 0, say("<https://h.org/?p=", k, '>; rel="next"')).otherwise(F.lit('<https://h.org/>; rel="prev"'))
+    return Tables(spark, sf).orders.select(
+        "o_orderkey",
+        urls.listing_url(F.lit("https://h.org/x"), c("o_orderkey"), "dd", "reviews-dd").alias("listing"),
+        urls.merge_query(say("https://h.org/x?b=", k, "&a=1&sort=old#f"), {"sort": "new"}).alias("merged"),
+        urls.article_url(article, "h.org").alias("article"),
+        urls.topic_page_url(say("https://h.org/forum/t-t", k, ".html"), F.lit(20)).alias("topic_page"),
+        urls.share_url(say("see (https://h.co/", k, ")."), r"h\.co").alias("share"),
+        F.array_join(urls.candidate_names(say("P", k), F.lit("A"), F.lit("https://h.org/c/my-place/info"), "C"), "|").alias("candidates"),
+        urls.next_link(header).alias("next"),
+    )
+
+
+@query("""SELECT event_id, '{"k":' || (event_id % 3) || '}' AS cell, '' AS empty_cell, 'shown ' || event_id AS shown, 'N' || event_id AS author, 'a|' || event_id AS strings FROM events""")
+def n2_n4_n5_n7_cells(spark, sf):
+    k = c("event_id").cast("string")
+    say = lambda *parts: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
+    return Tables(spark, sf).events.select(
+        "event_id",
+        jsons.json_cell(F.struct((c("event_id") % 3).alias("k"))).alias("cell"),
+        jsons.json_cell(F.lit(None).cast("array<string>")).alias("empty_cell"),
+        jsons.first_display_text(say('[{"x":1},{"display_text":""},{"displayText":"shown ', k, '"}]')).alias("shown"),
+        jsons.author_with_role(say('{"authors":[{"role":"Reviewed By","name":"x"},{"role":" Written By ","name":" N', k, ' "}]}'), "Written By")["name"].alias("author"),
+        F.array_join(jsons.json_strings(say('{"a":["a",{"b":"', k, '"}],"c":1}')), "|").alias("strings"),
+    )
+
+
+@query("SELECT o_orderkey, coalesce(c_name, 'nobody') AS c_name, coalesce(c_acctbal, 0.0) AS c_acctbal FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 1000) ON o_custkey = c_custkey")
+def j8_lookup_with_defaults(spark, sf):
+    t = Tables(spark, sf)
+    rich = t.customer.filter("c_acctbal > 1000").withColumnRenamed("c_custkey", "o_custkey")
+    return joins.with_defaults(t.orders.select("o_orderkey", "o_custkey"), rich, "o_custkey", {"c_name": "nobody", "c_acctbal": 0.0}).drop("o_custkey")
+
+
+@query("""SELECT conv_id, turn + 10 AS post_id, 'Re: ' || conv_id AS title, role AS author, 'https://h.org/forum/member/' || role AS author_profile_url, trim(text, ' ' || chr(10)) AS body_text, conv_id::VARCHAR AS age, 1 AS attachments, 'Thu Apr 19, 2012 2:19 pm' AS posted_at FROM conversations""")
+def x2_x3_x15_topic_pages(spark, sf):
+    """Each turn as a forum's topic page, read back."""
+    k = c("conv_id").cast("string")
+    html = F.concat(
+        *[p if not isinstance(p, str) else F.lit(p) for p in ('<div class="post" id="p', (c("turn") + 10).cast("string"), '"><dl class="postprofile"><dd><strong>Age:</strong> <b>', k, '</b></dd></dl><div class="postbody"><h3><a href="#x">Re: ', k, '</a></h3><p class="author">by <a href="./member/', c("role"), '">', c("role"), '</a> on Thu Apr 19, 2012 2:19 pm</p><div class="content">', text.escape_html(c("text")), '<img src="./styles/a.png"><img src="./b.png"></div></div></div>')]
+    )
+    rows = pages.topic_pages(Tables(spark, sf).conversations.select("conv_id", html.alias("html")), "html", "https://h.org/forum/", ["conv_id"])
+    return rows.select("conv_id", "post_id", "title", "author", "author_profile_url", "body_text", F.try_element_at("author_meta", F.lit("Age")).alias("age"), F.size("attachment_urls").alias("attachments"), "posted_at")
+
+
+@query("SELECT o_orderkey, o_orderkey AS topic_id, 'Order ' || o_orderkey AS title, o_custkey AS replies, o_orderstatus AS starter_author, 'Fri Apr 20, 2012 3:00 am' AS last_post_date, o_orderkey % 2 = 0 AS has_attachment FROM orders")
+def x1_index_pages(spark, sf):
+    """Each order as a row of a forum's index page, read back."""
+    k = c("o_orderkey").cast("string")
+    html = F.concat(
+        *[p if not isinstance(p, str) else F.lit(p) for p in ('<ul class="topiclist topics"><li class="row"><dl><dt><a class="topictitle" href="./a-t', k, '.html">Order ', k, "</a>", F.when(c("o_orderkey") % 2 == 0, '<img alt="Attachment">').otherwise(""), ' by <a href="/forum/member/x">', c("o_orderstatus"), '</a> on Thu Apr 19, 2012 2:19 pm</dt><dd class="posts">', c("o_custkey").cast("string"), '</dd><dd class="lastpost">by <a href="/forum/member/y">y</a> on Fri Apr 20, 2012 3:00 am</dd></dl></li></ul>')]
+    )
+    rows = pages.index_pages(Tables(spark, sf).orders.select("o_orderkey", html.alias("html")), "html", "https://h.org/forum/", ["o_orderkey"])
+    return rows.select("o_orderkey", "topic_id", "title", "replies", "starter_author", "last_post_date", "has_attachment")
+
+
+@query("SELECT o_orderkey, 'u' || o_orderkey AS key, o_orderstatus AS author, o_orderpriority AS description, (o_orderkey % 5 + 1)::VARCHAR AS rating FROM orders")
+def x4_x5_x6_review_pages(spark, sf):
+    """Each order as a review: even ones in JSON-LD, odd ones in a page's state."""
+    k, rating = c("o_orderkey").cast("string"), c("o_orderkey") % 5 + 1
+    ld = F.to_json(F.struct(F.array(F.struct(F.struct(c("o_orderstatus").alias("name")).alias("author"), F.concat(F.lit("u"), k).alias("url"), c("o_orderpriority").alias("description"), F.struct(rating.alias("ratingValue")).alias("reviewRating"))).alias("review")))
+    state = F.to_json(F.struct(F.struct(F.create_map(k, F.struct(c("o_orderstatus").alias("userName"), F.concat(F.lit("u"), k).alias("reviewUrl"), c("o_orderpriority").alias("reviewText"), rating.alias("ratingV2"))).alias("REVIEWS")).alias("entities")))
+    html = F.when(c("o_orderkey") % 2 == 0, F.concat(F.lit('<script type="application/ld+json">'), ld, F.lit("</script>"))).otherwise(F.concat(F.lit("<script>window.__PRELOADED_STATE__ = "), state, F.lit(";</script>")))
+    return pages.review_pages(Tables(spark, sf).orders.select("o_orderkey", html.alias("html")), "html", ["o_orderkey"]).select("o_orderkey", "key", "author", "description", "rating")
+
+
+@query("""SELECT 'u' || p_partkey AS url, CASE p_partkey % 4 WHEN 0 THEN 'no_preloaded_state' WHEN 1 THEN 'drug_not_found' WHEN 2 THEN 'no_sku' ELSE 'ok' END AS fetch_status, CASE WHEN p_partkey % 4 = 3 THEN p_name ELSE '' END AS name,
+    CASE WHEN p_partkey % 4 = 3 THEN p_partkey::VARCHAR ELSE '' END AS sku_id, CASE WHEN p_partkey % 4 = 3 THEN '["' || p_type || '"]' ELSE '' END AS uses_json FROM part""")
+def x8_c9_drug_pages(spark, sf):
+    """Each part as a drug page of some completeness, read back."""
+    say = lambda *parts: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
+    sku = F.to_json(F.struct(c("p_partkey").alias("id"), c("p_name").alias("name"), F.array("p_type").alias("uses")))
+    n = c("p_partkey") % 4
+    state = F.when(n == 1, '{"drugPage":{"drugNotFound":true}}').when(n == 2, '{"drugPage":{"drugInfo":{}}}').otherwise(say('{"drugPage":{"drugInfo":{"sku":', sku, "}}}"))
+    html = F.when(n == 0, "<p>none").otherwise(say("<script>window.PRELOADED_STATE = [", state, "];</script>"))
+    part = Tables(spark, sf).part.select(F.concat(F.lit("u"), c("p_partkey").cast("string")).alias("url"), html.alias("html"), F.lit(200).alias("status"))
+    return pages.drug_rows(part, "url", "html", "status").select("url", "fetch_status", "name", "sku_id", "uses_json")
+
+
+@query("SELECT event_id, 'U' || user_id AS who, '4' AS rating, 'yesterday' AS at, event_type || chr(10) || 'more' AS said FROM events")
+def x13_review_cards(spark, sf):
+    card = F.concat(F.lit("U"), c("user_id").cast("string"), F.lit("\n3 reviews\nDINING\n4\nyesterday\n"), c("event_type"), F.lit("\nmore\n2 votes\nHelpful"))
+    read = pages.card_fields(card)
+    return Tables(spark, sf).events.select("event_id", read["user"].alias("who"), read["rating"].alias("rating"), read["date"].alias("at"), read["text"].alias("said"))
+
+
 # ---- nested documents ----
 
 
@@ -570,6 +666,28 @@ def v6_record_class(spark, sf):
     return e.groupBy(nested.record_class(c("document")).alias("kind")).agg(counted())
 
 
+@query("SELECT event_id, '3' AS version, list_extract(['', 'bar_quality_signal'], (event_id % 2 + 1)::INT) AS fired, 'one_liner' AS effort FROM events")
+def v5_authority(spark, sf):
+    fired = F.when(c("event_id") % 2 == 1, F.array(F.lit("bar_quality_signal"))).otherwise(F.array().cast("array<string>"))
+    merged = nested.with_authority(c("document"), "3", fired, F.lit("one_liner"))
+    d = drafts(Tables(spark, sf)).select("event_id", merged.alias("m"))
+    return d.select("event_id", F.get_json_object("m", "$.schema_version").alias("version"), F.array_join(F.from_json(F.get_json_object("m", "$.t2_triggers_fired"), "array<string>"), ",").alias("fired"), F.get_json_object("m", "$.reviewer_signal.review_effort_signal").alias("effort"))
+
+
+@query("""SELECT event_id, CASE event_id % 3 WHEN 0 THEN '{"_error":"x"}' ELSE '{"a":' || event_id || '}' END AS extracted FROM events""")
+def v7_compact(spark, sf):
+    k = c("event_id").cast("string")
+    doc = F.when(c("event_id") % 3 == 0, '{"_error":"x","b":1}').otherwise(F.concat(F.lit('{"a":'), k, F.lit(',"b":null,"c":{"d":[]}}')))
+    return nested.compact(Tables(spark, sf).events.select("event_id", doc.alias("doc")), "doc", ["event_id"])
+
+
+@query("SELECT event_id % 4 = 1 AS odd, 'Rating: 4.5' || chr(10) || 'Triggers: ' || CASE WHEN event_id % 4 = 1 THEN 'a, b' ELSE 'none' END || chr(10) || 'Review:' || chr(10) || event_type AS prompt, count(*) AS n FROM events GROUP BY ALL")
+def f31_prompt(spark, sf):
+    odd = c("event_id") % 4 == 1
+    asked = nested.prompt(F.lit(4.5), F.when(odd, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array().cast("array<string>")), c("event_type"))
+    return Tables(spark, sf).events.groupBy(odd.alias("odd"), asked.alias("prompt")).agg(counted())
+
+
 # ---- audits ----
 
 TOPICS = "(SELECT o_orderkey AS topic_id, o_orderkey % 7 AS replies FROM orders)"
