@@ -159,15 +159,16 @@ class Lattice:
         slot = np.empty(len(codes), np.int64)
         slot[order] = after - count[order]
         total = int(after[-1]) if len(after) else 0
-        node, self.dst, away = np.empty(total, np.int32), np.empty(total, np.int32), np.empty(total, np.int32)
-        self.piece, logw, self.char = np.empty(total, np.int32), np.empty(total), np.empty(total, np.int32)
-        for length, src, own, score in level:
+        own_place, own_count = order[count[order] > 0], count[order][count[order] > 0]
+        node, away = (np.repeat(x[own_place].astype(np.int32), own_count) for x in (np.arange(len(codes)) + word, far))
+        size, self.piece, logw, self.char = np.empty(total, np.int32), np.empty(total, np.int32), np.empty(total), np.zeros(total, np.int32)
+        for k, (length, src, own, score) in enumerate(level):
             to = slot[src]
             slot[src] += 1
-            at = src + word[src]
-            node[to], self.dst[to], away[to] = at, at + length, far[src]
-            self.piece[to], logw[to], self.char[to] = own, score, codes[src]
-        size = self.dst - node
+            size[to], self.piece[to], logw[to] = length, own, score
+            if k == 1:
+                self.char[to] = codes[src]
+        self.dst = node + size
         del level, order, after, slot, count
         starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
         own = node[starts]
@@ -192,11 +193,11 @@ class Lattice:
         # A node's likeliest edge is tried first; the others stand in one running sum.
         counts = np.diff(np.r_[starts, len(node)])
         top = np.maximum.reduceat(self.q, starts) if len(node) else np.zeros(0)
-        likeliest = np.minimum.reduceat(np.where(self.q == np.repeat(top, counts), np.arange(len(node)), len(node)), starts) if len(node) else starts
         self.best, self.best_q = np.zeros(len(self.begin), np.int64), np.zeros(len(self.begin))
-        self.best[own], self.best_q[own] = likeliest, top
+        likeliest = np.flatnonzero(self.q == np.repeat(top, counts))[::-1]
+        self.best[node[likeliest]], self.best_q[own] = likeliest, top  # of equals the first, which is written last
         others = self.q.copy()
-        others[likeliest] = 0
+        others[self.best[own]] = 0
         self.sums = np.r_[0.0, np.cumsum(others)]
 
     def choose(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
