@@ -36,14 +36,17 @@ def located(docs: DataFrame) -> DataFrame:
 
     Rows that don't come straight from files are stored in the shared folder first.
     """
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all"))
-    if "_metadata" not in docs.columns and docs.inputFiles() and from_files(docs):
-        return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    return stored(packed, "content").select("all", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all")
+    place = F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    if from_files(docs):
+        return docs.select(packed, *place)
+    return stored(docs.select(packed), "content").select("all", *place)
 
 
 def from_files(docs: DataFrame) -> bool:
     """Whether the rows are those of files as they stand, so that their places are known."""
+    if "_metadata" in docs.columns or docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation":
+        return False
     try:
         docs.select("_metadata.row_index").schema  # noqa: B018
     except AnalysisException:
@@ -86,5 +89,10 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 4 <
             yield batch.slice(begin), texts.slice(begin).to_pylist()
 
 
+def small_side(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """``df`` (cheap to count) marked for a join: broadcast if it has at most ``most`` rows, else the side that a shuffled join hashes."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df.hint("shuffle_hash")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

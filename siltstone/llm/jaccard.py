@@ -25,10 +25,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import keyed, located, original, slices, stored
+from siltstone.llm.common import keyed, located, original, slices, small_side, stored
 from siltstone.llm.words import WordHashes, grams, hold
 
 WORDS = WordHashes()
@@ -147,7 +147,7 @@ def packed(rows: DataFrame, column: str, ranges: int, pieces: int = 2048) -> Dat
             for owner, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if owner in sent:
                     continue
-                if len(sent) < 1 << 20:
+                if len(sent) < 1 << 17:
                     sent.add(owner)
                 waiting.append((owner, 0, np.frombuffer(data, U)))
                 size += len(data)
@@ -195,7 +195,7 @@ def survivors(signed: DataFrame, percent: int, ranges: int) -> DataFrame:
 
 def whole_sets(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
     """owner, set (sorted shingles) of the chosen classes, from one of their rows each."""
-    left = docs.select("key", "text").join(chosen.select(F.col("key").alias("wanted"), "owner").hint("shuffle_hash"), F.col("key").eqNullSafe(F.col("wanted")))
+    left = docs.select("key", "text").join(small_side(chosen.select(F.col("key").alias("wanted"), "owner")), F.col("key").eqNullSafe(F.col("wanted")))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold(WORDS)
@@ -369,13 +369,19 @@ def other_pairs(rows: DataFrame, percent: int, sets: DataFrame) -> DataFrame:
     return counts.filter("shared >= least").select("a", "b")
 
 
+def enough_ranges(spark: SparkSession, shingles: float, most: int = 2_000_000) -> int:
+    """Hash ranges of about ``most`` shingles, which a task sorts in memory; not fewer than the session's partitions."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -int(-shingles // most))
+
+
 def found(docs: DataFrame, width: int, percent: int, star_rounds: int) -> DataFrame:
     """Per row of ``docs`` (key, text, file, row): key, file, row, n, owner, root (null without a set)."""
     spark = docs.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     signed = stored(signatures(docs, width, percent), "signatures")
-    sets = stored(whole_sets(docs, survivors(signed, percent, ranges), width), "sets")
-    prefix = stored(prefixes(sets, percent, ranges), "prefixes")
+    sizes = signed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    left = stored(survivors(signed, percent, enough_ranges(spark, 0.3 * sizes)), "survivors")
+    sets = stored(whole_sets(docs, left, width), "sets")
+    prefix = stored(prefixes(sets, percent, enough_ranges(spark, sets.agg(F.coalesce(F.sum(F.length("set")) / 8, F.lit(0))).first()[0])), "prefixes")
     roots = spark.createDataFrame([], "node long, root long")
     links = spark.createDataFrame([], "a long, b long")
     for find in [star_pairs] * star_rounds + [other_pairs]:
@@ -401,5 +407,5 @@ def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", width:
     rows = found(keyed(source, key, text), width, percent, star_rounds)
     order = F.struct(F.col("key").isNull().alias("without"), F.col("key").alias("key"), "file", "row")
     first = rows.filter("root is not null").groupBy("root").agg(F.min(order).alias("first"))
-    gone = rows.join(first, "root").filter(~order.eqNullSafe(F.col("first"))).select("file", "row").hint("shuffle_hash")
-    return original(source.join(gone, ["file", "row"], "left_anti"))
+    gone = stored(rows.join(first, "root").filter(~order.eqNullSafe(F.col("first"))).select("file", "row"), "near-gone")
+    return original(source.join(small_side(gone), ["file", "row"], "left_anti"))

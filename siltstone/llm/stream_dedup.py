@@ -14,12 +14,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import ascii_lower, keyed, located, original, shared_dir, stored
+from siltstone.llm.common import ascii_lower, keyed, located, original, shared_dir, small_side, stored
 
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each partition's store takes some MB of disk however few rows it holds
 }
@@ -66,7 +66,7 @@ def grouped(docs: DataFrame, files_per_batch: int | None = None) -> DataFrame:
     rows = rows.withColumn("digest", F.unhex(F.sha2("same", 256)))
     arrivals = stored(rows.select("key", "file", "row", "digest"), "dedup-rows")
     held = run_stream(arrivals, files_per_batch)
-    hit = held.filter("n > 1").select("digest").hint("shuffle_hash")
+    hit = small_side(held.filter("n > 1").select("digest"))
     exact = rows.join(hit, "digest", "left_semi").groupBy("digest", "same").agg(F.max(row_order()).alias("keep"), F.count(F.lit(1)).alias("n"))
     parted = stored(exact.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("digest"), "dedup-collisions")
     by_digest = arrivals.join(held, "digest")
@@ -83,5 +83,5 @@ def kept() -> Column:
 def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stay, with its own columns."""
     source = located(docs)
-    stay = grouped(keyed(source, key, text)).filter(kept()).select("file", "row").hint("shuffle_hash")
-    return original(source.join(stay, ["file", "row"], "left_semi"))
+    gone = stored(grouped(keyed(source, key, text)).filter(~kept()).select("file", "row"), "dedup-gone")
+    return original(source.join(small_side(gone), ["file", "row"], "left_anti"))
