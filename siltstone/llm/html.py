@@ -25,17 +25,19 @@ from siltstone.llm.common import slices, stored
 TOKEN = re.compile(r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|[!?/][^>]*>)", re.S)
 CLASS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 FIRST_CLASS = re.compile(r"""\bclass\s*=\s*["']?\s*([^\s"'>]+)""", re.I)
-RAW = frozenset("script style textarea title noscript template iframe svg math select object canvas video audio xmp".split())
+RAW = frozenset("script style textarea title noscript template iframe svg math select button object canvas video audio xmp".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 CONTAINERS = frozenset("article main section div td body center blockquote".split())
 #: Elements, and words of classes, ids and roles, whose text is not the article's.
-DROPPED = frozenset("head nav footer aside header form dialog menu button".split())
+DROPPED = frozenset("head nav footer aside header form dialog menu".split())
 UNWANTED = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment comments respond disqus cookie cookies consent gdpr notice notices alert popup modal overlay share sharing social related recommended newsletter subscribe signup login search pagination pager widget toolbar complementary contentinfo".split()
 )
+UNWANTED_PARTS = re.compile(r"^(?:cookie|advert|sidebar|sponsor|breadcrumb|newsletter)|(?:nav|menu|sidebar|footer|banner)$")
+HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none""", re.I)
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "body": ("head",)}
 
 
@@ -47,7 +49,9 @@ class Block:
 
 
 def unwanted(attributes: str) -> bool:
-    return any(w in UNWANTED for m in CLASS.finditer(attributes) for w in re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower()))
+    if HIDDEN.search(attributes):
+        return True
+    return any(w in UNWANTED or UNWANTED_PARTS.search(w) for m in CLASS.finditer(attributes) for w in re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower()))
 
 
 def blocks(source: str, strict: bool = True) -> list[Block]:

@@ -33,6 +33,7 @@ def test_op2(spark, sf):
         ("<main><p>a</p><script>var x = '<p>no</p>'</script><!-- <p>no</p> --><p>b &lt;i&gt;</p></main>", "a\nb <i>"),
         ("<div class='cookie-notice'>We use</div><article class='post-7'><p>text</p><div class=ad>buy</div><p>more", "text\nmore"),
         ("<div class=sidebar><a href=x>aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa</a></div><div><p>short text.</p></div>", "short text."),
+        ("<article><p>a<button>Buy</button> b</p><div class='cookiebar'>c</div><div hidden>d</div><div class='sitefooter'>e</div><section id='reader-comments'><p>f</p></section><p class='unhidden'>g</p></article>", "a b\ng"),
         ("<article><p>a < b and <3 c</p><p title='x>y'>d</p></article>", "a < b and <3 c\nd"),
         ("", ""),
     ],
