@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import text_of
+from siltstone.llm.common import bounded_batches, text_of
 
 Turn = tuple[str, str]
 Render = Callable[[list[Turn]], str]
@@ -115,7 +115,7 @@ def format_chats(df: DataFrame, render: Render = turn_template, read: Callable[[
                     recent = [*recent, (role, text)][-context:]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), out, strict=True)], names=[n for n, _ in out]) if rows else pa.RecordBatch.from_pylist([], pa.schema(out))
 
-    return ordered(df).mapInArrow(rendered, "conv_id long, turn long, role string, span_start long, span_end long, loss_start long, loss_end long, rewrites boolean, span string")
+    return bounded_batches(ordered(df)).mapInArrow(rendered, "conv_id long, turn long, role string, span_start long, span_end long, loss_start long, loss_end long, rewrites boolean, span string")
 
 
 def ordered(df: DataFrame) -> DataFrame:

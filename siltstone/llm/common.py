@@ -24,6 +24,18 @@ def shared_dir(spark: SparkSession, what: str) -> str:
     return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(df: DataFrame, most: int = 4 << 20) -> DataFrame:
+    """``df``, once its session hands rows to Python in batches of at most about ``most`` bytes (a smaller setting stays): texts may be long."""
+    conf = df.sparkSession.conf
+    now = conf.get(BATCH_BYTES, None)
+    if not (now or "").isdigit() or int(now) > most:
+        conf.set(BATCH_BYTES, str(most))
+    return df
+
+
 def stored(df: DataFrame, what: str) -> DataFrame:
     """``df`` written to the shared folder and read again: its lineage is cut and any executor can read it."""
     path = shared_dir(df.sparkSession, what)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import slices, stored
+from siltstone.llm.common import bounded_batches, slices, stored
 
 TOKEN = re.compile(r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|[!?/][^>]*>)", re.S)
 CLASS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -187,7 +187,7 @@ def host_paths(pages: DataFrame, url: str = "url", html: str = "html", most: int
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([p for p, _ in got], pa.string()), pa.array([s for _, s in got], pa.float64())], names=["host", "path", "score"])
 
     rows = pages.select(host(F.col(f"`{url}`")).alias("host"), F.col(f"`{html}`").alias("html"))
-    votes = rows.mapInArrow(voted, "host string, path string, score double").filter("path <> ''").groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"), F.sum("score").alias("score"))
+    votes = bounded_batches(rows).mapInArrow(voted, "host string, path string, score double").filter("path <> ''").groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"), F.sum("score").alias("score"))
     by_host = Window.partitionBy("host")
     ranked = votes.withColumn("share", F.col("votes") / F.sum("votes").over(by_host)).withColumn("rank", F.row_number().over(by_host.orderBy(F.desc("votes"), F.desc("score"), "path")))
     won = ranked.filter((F.col("rank") <= most) & ((F.col("rank") == 1) | (F.col("share") >= least_share)))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import keyed, located, original, slices, small_side, stored
+from siltstone.llm.common import bounded_batches, keyed, located, original, slices, small_side, stored
 from siltstone.llm.words import WordHashes, grams, hold
 
 WORDS = WordHashes()
@@ -134,7 +134,7 @@ def signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(n, pa.int64()), pa.array(owner, pa.int64()), pa.array(prefix, pa.binary())], names=["key", "file", "row", "n", "owner", "prefix"])
 
     rows = docs.select("key", "file", "row", "text")
-    return rows.mapInArrow(signed, f"key {rows.schema[0].dataType.simpleString()}, file string, row long, n long, owner long, prefix binary")
+    return bounded_batches(rows).mapInArrow(signed, f"key {rows.schema[0].dataType.simpleString()}, file string, row long, n long, owner long, prefix binary")
 
 
 def packed(rows: DataFrame, column: str, ranges: int, pieces: int = 2048) -> DataFrame:
@@ -151,7 +151,7 @@ def packed(rows: DataFrame, column: str, ranges: int, pieces: int = 2048) -> Dat
                     sent.add(owner)
                 waiting.append((owner, 0, np.frombuffer(data, U)))
                 size += len(data)
-                if size > 16 << 20:
+                if size > 4 << 20:
                     yield packed_batch(waiting, ranges)
                     waiting, size = [], 0
         yield packed_batch(waiting, ranges)
@@ -217,6 +217,9 @@ def whole_sets(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
 def prefixes(sets: DataFrame, percent: int, ranges: int) -> DataFrame:
     """token, owner, n, l, m (shingles that other classes have too), c (mean list length): each class's shared prefix shingles (step 2)."""
 
+    def packed_lists(out: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], names=["range", "owners", "shared", "total", "tokens", "lengths"])
+
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, owners = unpacked(batches)
         lengths = list_lengths(tokens).astype(np.int64)
@@ -230,9 +233,12 @@ def prefixes(sets: DataFrame, percent: int, ranges: int) -> DataFrame:
             who, start = np.unique(owners[a:b], return_index=True)
             shared = np.add.reduceat(some, start).astype(np.uint32)
             total = np.diff(np.r_[start, b - a]).astype(np.uint32)
+            if sum(map(len, out[4])) > 2 << 20:
+                yield packed_lists(out)
+                out = [[], [], [], [], [], []]
             for column, value in zip(out, (int(place[a]), who.tobytes(), shared.tobytes(), total.tobytes(), tokens[a:b][some].tobytes(), lengths[a:b][some].tobytes()), strict=True):
                 column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], names=["range", "owners", "shared", "total", "tokens", "lengths"])
+        yield packed_lists(out)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owners, sizes, token_owner, tokens, lengths = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, U)], [np.zeros(0, np.int64)]

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import slices, text_of
+from siltstone.llm.common import bounded_batches, slices, text_of
 from siltstone.llm.words import PLACES, mixed
 
 SPACE = "▁"
@@ -365,7 +365,7 @@ def sampled(df: DataFrame, model_path: str, k: int = 2, alpha: float = 1.0, text
             yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array([r[0] for r in rows])), *values, pa.array(sizes, pa.int32()), ids], names=names)
 
     rows = df.select(F.col(f"`{key}`"), text_of(text).alias("__text"))
-    return rows.mapInArrow(draw, f"`{key}` {rows.schema[0].dataType.simpleString()}, sample int, log_prob double, gumbel double, log_inclusion double, n_pieces int, ids array<int>")
+    return bounded_batches(rows).mapInArrow(draw, f"`{key}` {rows.schema[0].dataType.simpleString()}, sample int, log_prob double, gumbel double, log_inclusion double, n_pieces int, ids array<int>")
 
 
 def decoded(df: DataFrame, model_path: str, ids: str = "ids", out: str = "text") -> DataFrame:

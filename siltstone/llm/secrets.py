@@ -20,7 +20,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import slices, text_of
+from siltstone.llm.common import bounded_batches, slices, text_of
+from siltstone.llm.words import hold
 
 KINDS = ("assign", "access", "hex", "novel")
 #: Patterns of the contract. ASCII letters alone fold, so the flags stand inside.
@@ -91,12 +92,13 @@ def secret_spans(df: DataFrame, text: str = "text", key: str = "doc_id", least_r
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold({})
         for part, texts in slices(batches, 1):
             found = [[dict(zip(("kind", "start", "end"), s, strict=True)) for s in scan(t, least_ratio, least_bits)] for t in texts]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(span))], names=[key, "spans"])
 
     rows = df.select(F.col(f"`{key}`"), text_of(text).alias("__text"))
-    return rows.mapInArrow(scanned, f"`{key}` {rows.schema[0].dataType.simpleString()}, spans array<struct<kind: string, start: long, end: long>>")
+    return bounded_batches(rows).mapInArrow(scanned, f"`{key}` {rows.schema[0].dataType.simpleString()}, spans array<struct<kind: string, start: long, end: long>>")
 
 
 def redact(df: DataFrame, text: str = "text", least_ratio: float = 0.85, least_bits: float = 3.2) -> DataFrame:
@@ -114,9 +116,10 @@ def redact(df: DataFrame, text: str = "text", least_ratio: float = 0.85, least_b
         return "".join(out) + t[at:] if out else t
 
     def redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold({})
         for part, texts in slices(batches, place):
             columns = list(part.columns)
             columns[place] = pa.array([clean(t) for t in texts], pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
 
-    return df.mapInArrow(redacted, df.schema)
+    return bounded_batches(df).mapInArrow(redacted, df.schema)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import slices, text_of
+from siltstone.llm.common import bounded_batches, slices, text_of
 
 #: A space between ASCII letters or a letter and common punctuation: token boundaries in byte-level and word-end vocabularies.
 SAFE = re.compile(r"(?<=[A-Za-z0-9.,;:!?])\x20(?=[A-Za-z])")
@@ -93,4 +93,4 @@ def token_counts(df: DataFrame, tokenizer: str, text: str = "text", keep: tuple[
     part_index = len(keep) + 1
     rows = df.select(*[F.col(f"`{c}`") for c in keep], F.octet_length(text_of(text)).cast("long").alias("n_bytes"), text_of(text).alias("__text"))
     schema = rows.drop("__text").schema.add("n_tokens", "long")
-    return rows.mapInArrow(counted, schema).withColumn("over_limit", F.col("n_tokens") > limit)
+    return bounded_batches(rows).mapInArrow(counted, schema).withColumn("over_limit", F.col("n_tokens") > limit)

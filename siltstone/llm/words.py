@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
+
 import numpy as np
 import xxhash
 
@@ -17,6 +20,8 @@ def hold(cache: dict) -> dict:
     for other in _held:
         if other is not cache:
             other.clear()
+            if sys.platform == "linux":
+                ctypes.CDLL(None).malloc_trim(0)  # else the C library keeps what it held
     _held[:] = [cache]
     return cache
 
@@ -24,7 +29,7 @@ def hold(cache: dict) -> dict:
 class WordHashes(dict):
     """64-bit hashes of words (bytes or str); forgets all when it holds ``most``."""
 
-    def __init__(self, most: int = 1 << 19) -> None:
+    def __init__(self, most: int = 1 << 17) -> None:
         super().__init__()
         self.most = most
 
