@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import slices, text_of
+from siltstone.llm.common import bounded_batches, slices, text_of
 from siltstone.llm.words import hold
 
 #: How byte-level vocabularies cut texts into words before merging, with letters, numbers and white space listed for
@@ -35,7 +35,7 @@ class Encoder:
 
     _made: dict[str, Encoder] = {}
 
-    def __init__(self, path: str, most_words: int = 3 << 18) -> None:
+    def __init__(self, path: str, most_words: int) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
@@ -48,9 +48,10 @@ class Encoder:
         self.by_word = isinstance(self.tokenizer.pre_tokenizer, ByteLevel) and byteorder == "little" and array("I").itemsize == 4 and self.tokenizer.normalizer is None
 
     @classmethod
-    def at(cls, path: str) -> Encoder:
+    def at(cls, path: str, most_words: int = 1 << 19) -> Encoder:
         if path not in cls._made:
-            cls._made[path] = cls(path)
+            cls._made[path] = cls(path, most_words)
+        cls._made[path].most = most_words
         return cls._made[path]
 
     def encode(self, text: str) -> bytes:
@@ -81,14 +82,17 @@ def pieces(n: int, longest: int) -> list[tuple[int, int]]:
     return out
 
 
-def pack(df: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id", longest: int = 1024, end_id: int = 0) -> DataFrame:
-    """One row per piece: key, start, length, ids (binary, little-endian unsigned 32-bit), doc_tokens, bucket (log2 of length), sequence_id, offset."""
+def pack(df: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id", longest: int = 1024, end_id: int = 0, most_words: int = 1 << 19) -> DataFrame:
+    """One row per piece: key, start, length, ids (binary, little-endian unsigned 32-bit), doc_tokens, bucket (log2 of length), sequence_id, offset.
+
+    A worker remembers ``most_words`` words' ids (some 200 bytes each) and forgets all when there are more.
+    """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("longest must be a power of two")
     end = int(end_id).to_bytes(4, "little")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.at(tokenizer)
+        encoder = Encoder.at(tokenizer, most_words)
         hold(encoder.words)
         for part, texts in slices(batches, 1):
             row, start, length, ids, total = [], [], [], [], []
@@ -108,7 +112,7 @@ def pack(df: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id",
 
     rows = df.select(F.col(f"`{key}`"), text_of(text).alias("__text"))
     kind = rows.schema[0].dataType.simpleString()
-    out = rows.mapInArrow(packed, f"`{key}` {kind}, start long, length long, ids binary, doc_tokens long")
+    out = bounded_batches(rows).mapInArrow(packed, f"`{key}` {kind}, start long, length long, ids binary, doc_tokens long")
     # The scan gives the same rows in the same order when a task runs again, and so the same ids.
     return out.select("*", F.log2("length").cast("int").alias("bucket"), F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
 
