@@ -42,7 +42,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    packed = packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
+    packed = packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), most_words=1 << 17)  # workers hold earlier stages' libraries too
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
