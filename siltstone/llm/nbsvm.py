@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from siltstone.llm.common import slices, text_of
+from siltstone.llm.common import bounded_batches, slices, text_of
 from siltstone.llm.words import PLACES, WordHashes, grams, hold, mixed
 
 
@@ -100,11 +100,11 @@ def dual_descent(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray, cost
     norms = np.array([max(np.sqrt((ratios[r] ** 2).sum()), 1e-12) for r in rows])
     w, bias, alpha, rng = np.zeros(len(ratios)), 0.0, np.zeros(len(rows)), np.random.default_rng(seed)
     costs = np.where(y > 0, cost, cost * min(10.0, max(1.0, (y > 0).sum() / max(1, (y <= 0).sum()))))
-    scaled = [(ratios[r] / n).astype(np.float32) for r, n in zip(rows, norms, strict=True)]
     for _ in range(epochs):
         most = 0.0
         for i in rng.permutation(len(rows)):
-            r, x = rows[i], scaled[i]
+            r = rows[i]
+            x = ratios[r] / norms[i]
             gradient = y[i] * (w[r] @ x + bias) - 1
             new = min(max(alpha[i] - gradient / ((1.0 if len(r) else 0.0) + 1.0), 0.0), costs[i])
             step = (new - alpha[i]) * y[i]
@@ -124,7 +124,9 @@ def fit(rows: list[np.ndarray], labels: list[int], buckets: int, cost: float = 1
     if not len(rows) or abs(y.sum()) == len(y):
         mean = min(max((y > 0).mean() if len(y) else 0.5, 1e-6), 1 - 1e-6)
         return Model(zeros, zeros, 0.0, 1.0, float(np.log(mean / (1 - mean))), buckets)
-    counts = {k: np.bincount(np.concatenate([r for r, t in zip(rows, y, strict=True) if t == k]), minlength=buckets) + smooth for k in (1, -1)}
+    counts = {k: np.full(buckets, smooth) for k in (1, -1)}
+    for r, t in zip(rows, y, strict=True):
+        counts[t][r] += 1  # a row names each place once
     ratios = np.log(counts[1] / counts[1].sum()) - np.log(counts[-1] / counts[-1].sum())
     ratios[(counts[1] + counts[-1]) < 2 * smooth + 3] = 0  # seen fewer than three times: says nothing
     back = np.arange(len(rows)) % 5 == 4
@@ -162,13 +164,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([features(t, buckets).tobytes() for t in own], pa.binary())], names=["key", "label", "places"])
 
     kind = texts.schema[0].dataType.simpleString()
-    got = rows.select("key", "text", "label").mapInArrow(indicators, f"key {kind}, label int, places binary").orderBy(*order, F.xxhash64("places")).collect()
+    got = bounded_batches(rows.select("key", "text", "label")).mapInArrow(indicators, f"key {kind}, label int, places binary").orderBy(*order, F.xxhash64("places")).collect()
     return fit([np.frombuffer(r.places, np.uint32) for r in got], [r.label for r in got], buckets)
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", out: str = "quality_score") -> DataFrame:
     """``docs`` with the column ``out`` (0 to 1, higher: label 1 likelier); a column of that name is replaced."""
-    docs = docs.drop(out)
+    docs = bounded_batches(docs).drop(out)
     held = docs.sparkSession.sparkContext.broadcast(model)
     place = len(docs.columns)
 
