@@ -1,7 +1,9 @@
 """Operators that work row by row, against plain loops over the same rows."""
 
 import hashlib
+import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -94,6 +96,21 @@ def test_secret_kinds(text, kinds):
     assert [s[0] for s in secrets.scan(text)] == kinds
 
 
+@pytest.mark.parametrize("letters", ["0123456789abcdef", "0123456789ABCDEF", "0123456789", string.ascii_letters, string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/"])
+@pytest.mark.parametrize("size", [16, 20, 24, 64, 128, 1000])
+def test_random_keys(letters, size):
+    """Random strings in sensitive context are reported at any length and from any alphabet."""
+    rng = random.Random(size)
+    for _ in range(50):
+        key = "".join(rng.choice(letters) for _ in range(size))
+        assert secrets.scan(f"the bearer credential is {key} here") in ([("novel", 25, 25 + size)], [("hex", 25, 25 + size)]), key
+
+
+@pytest.mark.parametrize("word", ["AuthenticationManagerFactory", "internationalization", "password_reset_token_expiry", "user-authentication-failed", "org/springframework/security/web", "----------------", "-=-=-=-=-=-=-=-=", "0000000000000000", "ACKNOWLEDGEMENTS"])
+def test_words_are_no_keys(word):
+    assert secrets.scan(f"the bearer credential is {word} here") == []
+
+
 def test_secret_redaction(spark):
     df = spark.createDataFrame([(1, "a token=abcdefg b"), (2, None), (3, "")], "doc_id long, text string")
     assert {r.doc_id: r.text for r in secrets.redact(df).collect()} == {1: "a [assign removed] b", 2: None, 3: ""}
