@@ -762,7 +762,7 @@ def i6_crawl(spark, sf):
 
         spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="siltstone-"))
     links = Tables(spark, sf).lineitem.filter("l_quantity > 40").select(c("l_orderkey").cast("string").alias("src"), (c("l_partkey") * 2).cast("string").alias("dst"))
-    return ingest.crawl(links, ["1"], 1_000_000).select("url")
+    return ingest.crawl(links, ["1"]).select("url")
 
 
 @query("SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")

@@ -74,15 +74,12 @@ def sitemap(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.inline(entries)).distinct()
 
 
-def sitemap_urls(spark: SparkSession, start: str, locate=lambda loc: loc, most_rounds: int = 20) -> DataFrame:
-    """All addresses below a sitemap: indexes are followed round by round. ``locate`` gives the path of a sitemap's file."""
+def sitemap_urls(spark: SparkSession, start: str, locate=lambda loc: loc) -> DataFrame:
+    """All addresses below a sitemap: indexes are followed round by round, each once, until none is new. ``locate`` gives the path of a sitemap's file."""
     from functools import reduce
 
     waiting, seen, found = [start], set(), []
-    for _ in range(most_rounds):
-        paths = [p for p in map(locate, waiting) if p not in seen]
-        if not paths:
-            break
+    while paths := [p for p in dict.fromkeys(map(locate, waiting)) if p not in seen]:
         seen.update(paths)
         rows = reduce(lambda a, b: a.unionByName(b), [sitemap(spark, p) for p in paths])
         found.append(rows.filter("kind = 'url'").select("loc"))

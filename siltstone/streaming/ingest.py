@@ -54,23 +54,28 @@ def labelled(df: DataFrame, label: str, path: str) -> None:
     df.write.mode("overwrite").parquet(f"{path}/run_label={label}")
 
 
-def crawl(links: DataFrame, start: list[str], most_pages: int, keep: Column | None = None, most_rounds: int = 50) -> DataFrame:
-    """url and hop of the pages that links (src, dst) reach, round by round; visited pages are never visited again, and at most ``most_pages`` are.
+def crawl(links: DataFrame, start: list[str], most_pages: int | None = None, keep: Column | None = None) -> DataFrame:
+    """url and hop of the pages that links (src, dst) reach, round by round until one adds nothing; visited pages are never visited again.
 
-    Each round's frontier is written to the checkpoint folder, so that plans don't grow with rounds.
+    Where ``most_pages`` is given, at most so many are visited: nearest first, those of one hop by url. Each round's frontier is
+    written to the checkpoint folder, and now and then the visited pages as a whole, so that plans don't grow with rounds.
     """
     spark = links.sparkSession
     edges = links.select("src", "dst").distinct() if keep is None else links.filter(keep).select("src", "dst").distinct()
-    visited = spark.createDataFrame([(u, 0) for u in sorted(set(start))[:most_pages]], "url string, hop int")
-    frontier, size = visited, visited.count()
-    for hop in range(1, most_rounds + 1):
+    frontier = spark.createDataFrame([(u, 0) for u in sorted(set(start))[:most_pages]], "url string, hop int")
+    visited, size, hop = frontier, frontier.count(), 0
+    while True:
+        hop += 1
         new = frontier.join(edges, frontier.url == edges.src).select(F.col("dst").alias("url")).distinct().join(visited.select("url"), "url", "left_anti")
-        frontier = new.orderBy("url").limit(most_pages - size).withColumn("hop", F.lit(hop)).checkpoint()
+        if most_pages is not None:
+            new = new.orderBy("url").limit(most_pages - size)
+        frontier = new.withColumn("hop", F.lit(hop)).checkpoint()
         added = frontier.count()
         if not added:
-            break
-        visited, size = visited.unionByName(frontier).checkpoint(), size + added
-    return visited
+            return visited
+        visited, size = visited.unionByName(frontier), size + added
+        if hop % 16 == 0:
+            visited = visited.checkpoint()
 
 
 def windowed_counts(events: DataFrame, at: str, kind: str, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:

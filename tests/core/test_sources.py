@@ -163,6 +163,16 @@ def test_crawl(spark):
     assert ingest.crawl(links, ["a"], 2).count() == 2
 
 
+def test_long_chains(spark, tmp_path):
+    """Neither a chain of more than 50 pages nor one of more than 20 sitemaps is left before its end; circles end."""
+    links = spark.createDataFrame([(str(k), str((k + 1) % 60)) for k in range(60)], "src string, dst string").coalesce(1)
+    assert {r.url: r.hop for r in ingest.crawl(links, ["0"]).collect()} == {str(k): k for k in range(60)}
+    for k in range(23):
+        (tmp_path / f"{k}.xml").write_text(f"<sitemapindex><sitemap><loc>{(k + 1) % 23}</loc></sitemap><url><loc>https://h/{k}</loc></url></sitemapindex>")
+    found = readers.sitemap_urls(spark, "0", lambda loc: str(tmp_path / f"{loc}.xml"))
+    assert {r.loc for r in found.collect()} == {f"https://h/{k}" for k in range(23)}
+
+
 def test_windows_on_a_stream(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     counts = ingest.windowed_counts(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir), "ts", "event_type")
