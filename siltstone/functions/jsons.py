@@ -86,7 +86,7 @@ def json_strings(texts):
     def strings(text):
         try:
             return list(walk(json.loads(text)))
-        except (TypeError, ValueError):
+        except (TypeError, ValueError, RecursionError):
             return []
 
     return texts.map(strings)

@@ -14,10 +14,10 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import StringType, StructType, _parse_datatype_string
 
 from siltstone.functions.dom import Node, number_in, parse, scripts
-from siltstone.functions.jsons import assigned, preloaded_state
+from siltstone.functions.jsons import assigned, balanced, json_strings, preloaded_state
 from siltstone.functions.text import strip_tags
 
 TOPIC = "topic_id bigint, slug string, url string, title string, starter_author string, starter_profile_url string, start_date string, replies bigint, views bigint, last_post_author string, last_post_profile_url string, last_post_date string, last_post_link string, has_attachment boolean"
@@ -271,12 +271,40 @@ def article_pages(df: DataFrame, html: str, keys: list[str]) -> DataFrame:
     return rows_of(df, keys, html, read, ARTICLE)
 
 
+@F.pandas_udf(StringType())
+def next_data(pages):
+    """The object that a page's __NEXT_DATA__ script or assignment holds, as text; null without one."""
+
+    def found(page):
+        if not page:
+            return None
+        marks = [m for m in (page.find('id="__NEXT_DATA__"'), page.find("__NEXT_DATA__")) if m >= 0]
+        begin = page.find("{", marks[0]) if marks else -1
+        return balanced(page, begin) if begin >= 0 else None
+
+    return pages.map(found)
+
+
 def links(df: DataFrame, html: str, keys: list[str]) -> DataFrame:
-    """Every address that a page's markup or text names, each once: href values, then absolute addresses anywhere."""
-    page = F.coalesce(F.col(html), F.lit(""))
-    hrefs = F.regexp_extract_all(page, F.lit(r"""(?i)href\s*=\s*["']([^"']+)["']"""), F.lit(1))
-    plain = F.regexp_extract_all(page, F.lit(r"""(https?://[^\s"'<>\\]+)"""), F.lit(1))
-    return df.select(*keys, F.explode(F.array_distinct(F.concat(hrefs, plain))).alias("link"))
+    """Every address that a page's markup or text names, each once: href values, absolute and root-relative addresses anywhere, strings of __NEXT_DATA__.
+
+    Addresses stand as the page has them, JSON escapes resolved. Addresses relative to the page's folder count in href only.
+    """
+    pages = df.select(*keys, F.coalesce(F.col(html), F.lit("")).alias("__page"))
+    strings = F.coalesce(json_strings(next_data(F.when(F.contains("__page", F.lit("__NEXT_DATA__")), F.col("__page")))), F.array().cast("array<string>"))
+    pages = pages.withColumn("__strings", F.transform(strings, F.trim))
+    whole = lambda s: s.rlike(r"^(?:https?:/|/?)/[A-Za-z0-9_~%.]\S*$")
+    plain = F.regexp_replace("__page", r"(?i)\\(?:/|u002f)", "/")
+    plain = F.regexp_replace(F.regexp_replace(plain, r"\\u0026", "&"), r"""\\(["'])""", "$1")
+    pages = pages.withColumn("__text", F.concat_ws("\n", plain, F.array_join(F.filter("__strings", lambda s: ~whole(s)), "\n")))
+    href = r"""(?i)href\s*=\s*("[^"]*"|'[^']*'|[^\s"'<>\\]+)"""
+    every = lambda text, pattern, group=0: F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    hrefs = F.filter(F.transform(every("__text", href, 1), lambda s: F.regexp_replace(s, r"""^["']|["']$""", "")), lambda s: s != "")
+    absolute = every("__text", r"""https?://[^\s"'<>\\]+""")
+    rest = F.regexp_replace("__text", href, " ")
+    quoted = every(rest, r"""(?<=["'])//?[A-Za-z0-9_~%.][^\s"'<>\\]*(?=["'])""")
+    bare = every(rest, r"""(?<=[=\s(]|^)/[A-Za-z0-9_~%](?:[^\s"'<>\\()]*[^\s"'<>\\().,;:!?])?""")
+    return pages.select(*keys, F.explode(F.array_distinct(F.concat(hrefs, absolute, quoted, bare, F.filter("__strings", whole)))).alias("link"))
 
 
 def page_title(html: Column) -> Column:

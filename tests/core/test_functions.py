@@ -165,6 +165,22 @@ def test_article(spark):
     assert {r.link for r in pages.links(df, "html", ["id"]).collect()} == {"/x", "https://h.org/y"}
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ('<div data-to="/resources/a-b">x</div>', {"/resources/a-b"}),
+        ("<a href=/resources/c>x</a><a href='/d e,'>y</a><a href=\"it's\">z</a><br />", {"/resources/c", "/d e,", "it's"}),
+        (r'<script>load("https:\/\/h.org\/x?a=1\u0026b=2", "\/resources\/e")</script>', {"https://h.org/x?a=1&b=2", "/resources/e"}),
+        ("go to /resources/f, or (/g) </p> and/or 1 / 2", {"/resources/f", "/g"}),
+        (r'<script id="__NEXT_DATA__" type="application/json">{"a": [{"to": "\u002fresources\u002fh"}, "<a href=\"\u002fi\">", "no"], "b": "\u0068ttps://h.org/j"}</script>', {"/resources/h", "/i", "https://h.org/j"}),
+        ("<script>__NEXT_DATA__ = {broken</script>", set()),
+    ],
+)
+def test_links(spark, page, want):
+    got = [r.link for r in pages.links(spark.createDataFrame([(1, page), (2, None)], "id int, html string"), "html", ["id"]).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_drug_page(spark):
     state = {"drugPage": {"drugInfo": {"sku": {"id": 5, "name": "N", "price": 1.5, "inStock": True, "shortComposition": {"displayText": "<b>S</b>"}, "marketer": {"name": " M "}, "introduction": [{"display_text": "<p>I&amp;J</p>"}], "uses": [{"a": 1}], "quantities": [], "quantityProduct": {"q": 1}}, "authoredBy": {"authors": [{"role": "Written By", "name": "W", "qualifications": "Q"}], "lastUpdated": {"date": "2020"}}, "metaData": {"meta_desc": "md"}}}}
     html = f"<script>window.PRELOADED_STATE = {json.dumps([json.dumps(state)])};</script>"
