@@ -6,10 +6,13 @@ rewrites history (it drops thoughts of earlier turns, moves a system text...), a
 
 To render in proportion to a conversation's length, a turn is rendered after its last ``context`` turns only, behind the
 first turn. ``is_local`` compares such spans with those of whole prefixes; a template that fails the comparison is
-refused with ``TemplateNotLocal`` rather than mis-rendered.
+refused with ``TemplateNotLocal`` rather than mis-rendered, unless the caller asks for ``whole`` prefixes. As probes can't hold
+every role and text, a template that passes is held against one render of each whole conversation, and a conversation where the
+two differ is rendered by whole prefixes. The default template adds up turn by turn and needs no such check.
 
 Rows are sorted by turn; ties (the same turn number twice) by role and text. Null texts are empty, null roles the empty role,
-rows without conv_id make one conversation of their own. Rows stream through: memory holds ``context`` turns, never a conversation.
+rows without conv_id make one conversation of their own. With the default template rows stream through: memory holds ``context``
+turns, never a conversation. With others it holds one conversation; whole prefixes take time with the square of its turns.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ import hashlib
 import random
 import re
 from collections.abc import Callable, Iterator
+from itertools import groupby
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
@@ -89,12 +93,46 @@ def is_local(render: Render, context: int, trials: int = 20, seed: int = 0) -> b
     return True
 
 
-def format_chats(df: DataFrame, render: Render = turn_template, read: Callable[[str], Turn] = read_span, loss: Callable[[str], tuple[int, int]] = loss_part, context: int = 2, learns: tuple[str, ...] = ("assistant",)) -> DataFrame:
-    """One row per turn, in order: conv_id, turn, role, span_start, span_end, loss_start, loss_end (null without loss), rewrites, span."""
-    if not is_local(render, context):
-        raise TemplateNotLocal(f"spans after {context} turns differ from spans after whole conversations")
+def checked_spans(render: Render, turns: list[Turn], context: int | None) -> Iterator[tuple[str, bool]]:
+    """Spans after a bounded context if they make up the whole conversation's output, else spans after whole prefixes."""
+    if context is not None:
+        found = list(spans(render, turns, context))
+        if not any(rewrites for _, rewrites in found) and "".join(span for span, _ in found) == render(turns):
+            return iter(found)
+    return spans(render, turns)
+
+
+def format_chats(df: DataFrame, render: Render = turn_template, read: Callable[[str], Turn] = read_span, loss: Callable[[str], tuple[int, int]] = loss_part, context: int = 2, learns: tuple[str, ...] = ("assistant",), whole: bool = False) -> DataFrame:
+    """One row per turn, in order: conv_id, turn, role, span_start, span_end, loss_start, loss_end (null without loss), rewrites, span.
+
+    Offsets are those in the output up to the turn. A turn that rewrites what stood before it has that whole output as span and no
+    loss, and offsets of turns before it hold no longer. ``whole`` renders whole prefixes, for templates that bounded ones refuse.
+    """
+    if not whole and not is_local(render, context):
+        raise TemplateNotLocal(f"spans after {context} turns differ from spans after whole conversations; whole=True renders those")
+    additive = render is turn_template
     out = [("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), *((c, pa.int64()) for c in ("span_start", "span_end", "loss_start", "loss_end")), ("rewrites", pa.bool_()), ("span", pa.string())]
 
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), out, strict=True)], names=[n for n, _ in out]) if rows else pa.RecordBatch.from_pylist([], pa.schema(out))
+
+    def by_conversation(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turns = ((row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)))
+        rows, size = [], 0
+        for key, group in groupby(turns, lambda row: row[0]):
+            conversation = list(group)
+            at = 0
+            for (_, turn, role, _), (span, rewrites) in zip(conversation, checked_spans(render, [row[2:] for row in conversation], None if whole else context), strict=True):
+                start = 0 if rewrites else at
+                at = start + len(span)
+                part = loss(span) if role in learns and not rewrites else (None, None)
+                rows.append((key, turn, role, start, at, *(None if p is None else start + p for p in part), rewrites, span))
+                size += len(span)
+                if size > 1 << 20 or len(rows) >= 10_000:
+                    yield batch_of(rows)
+                    rows, size = [], 0
+        yield batch_of(rows)
+
     def rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         conv, at, first, recent = object(), 0, [], []
         for batch in batches:
@@ -113,9 +151,9 @@ def format_chats(df: DataFrame, render: Render = turn_template, read: Callable[[
                     first = [(role, text)]
                 elif context:
                     recent = [*recent, (role, text)][-context:]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), out, strict=True)], names=[n for n, _ in out]) if rows else pa.RecordBatch.from_pylist([], pa.schema(out))
+            yield batch_of(rows)
 
-    return bounded_batches(ordered(df)).mapInArrow(rendered, "conv_id long, turn long, role string, span_start long, span_end long, loss_start long, loss_end long, rewrites boolean, span string")
+    return bounded_batches(ordered(df)).mapInArrow(rendered if additive else by_conversation, "conv_id long, turn long, role string, span_start long, span_end long, loss_start long, loss_end long, rewrites boolean, span string")
 
 
 def ordered(df: DataFrame) -> DataFrame:
@@ -153,7 +191,7 @@ def digests(formatted: DataFrame, read: Callable[[str], Turn] = read_span) -> Da
                     learnt = unescape(r["span"][r["loss_start"] - r["span_start"] : r["loss_end"] - r["span_start"]])
                     state[3] += len(learnt)
                     state[4].update(learnt.encode("utf-8", "surrogatepass"))
-                state[5] += len(r["span"])
+                state[5] = r["span_end"]
                 state[6] += r["rewrites"]
             yield batch_of(done)
         if state is not None:

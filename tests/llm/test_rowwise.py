@@ -151,6 +151,27 @@ def test_chat_rewriting(spark):
         chat.format_chats(spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn long, role string, text string"), render=counted)
 
 
+def test_rewriting_templates_are_reported(spark):
+    """Rewrites and offsets come from whole prefixes: on demand, and where a template passes the probes but not a real conversation."""
+
+    def forgets(turns):
+        return "".join(f"[{r}]{t if k == len(turns) - 1 else re.sub('<think>.*</think>', '', t)}" for k, (r, t) in enumerate(turns))
+
+    def late(turns):  # drops what tools said once more than five turns have come
+        return "".join(f"[{r}]{'' if r == 'tool' and len(turns) - k > 5 else t}" for k, (r, t) in enumerate(turns))
+
+    talks = {1: [("user", "q"), ("assistant", "<think>x</think> y"), ("user", "z"), ("assistant", "w")], 2: [("tool", "facts"), *[("user", str(k)) for k in range(9)]], 3: [("user", "a"), ("user", "b")]}
+    df = spark.createDataFrame([(c, k, r, t) for c, turns in talks.items() for k, (r, t) in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    for render, whole, rewriting in ((forgets, True, {(1, 2)}), (late, False, {(2, 5)})):
+        rows = chat.format_chats(df, render=render, loss=lambda span: (span.index("]") + 1, len(span)), whole=whole).collect()
+        assert len(rows) == 16 and {(r.conv_id, r.turn) for r in rows if r.rewrites} == rewriting
+        for r in rows:
+            output = render(talks[r.conv_id][: r.turn + 1])
+            assert r.span_end == len(output) and output[r.span_start :] == r.span
+            if r.loss_start is not None:
+                assert output[r.loss_start : r.loss_end] == talks[r.conv_id][r.turn][1]
+
+
 def test_chat_edges(spark):
     schema = "conv_id long, turn long, role string, text string, span string"
     rows = [(1, 0, "user", None, "x"), (1, 1, None, "b", "x"), (1, 1, None, "b", "x"), (None, 0, "assistant", "c", "x")]
