@@ -23,9 +23,13 @@ from pyspark.sql import functions as F
 from siltstone.llm.common import bounded_batches, slices, stored
 
 TOKEN = re.compile(r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|[!?/][^>]*>)", re.S)
-CLASS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 FIRST_CLASS = re.compile(r"""\bclass\s*=\s*["']?\s*([^\s"'>]+)""", re.I)
-RAW = frozenset("script style textarea title noscript template iframe svg math select button object canvas video audio xmp".split())
+#: Elements that end at their end tag whatever stands within, and others whose text isn't the page's.
+RAW = frozenset("script style textarea title noscript iframe xmp".split())
+SKIPPED = frozenset("template svg math foreignobject select button object canvas video audio".split())
+#: Skipped elements that hold no block, and those that can't hold another of their kind.
+FOREIGN, FLAT = frozenset(("svg", "math")), frozenset(("select", "button"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -37,7 +41,10 @@ UNWANTED = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment comments respond disqus cookie cookies consent gdpr notice notices alert popup modal overlay share sharing social related recommended newsletter subscribe signup login search pagination pager widget toolbar complementary contentinfo".split()
 )
 UNWANTED_PARTS = re.compile(r"^(?:cookie|advert|sidebar|sponsor|breadcrumb|newsletter)|(?:nav|menu|sidebar|footer|banner)$")
-HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none""", re.I)
+HIDDEN = re.compile(r"display\s*:\s*none", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Words of classes and ids that make a header an article's own.
+OWN = frozenset("article blog content entry post story".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "body": ("head",)}
 
 
@@ -48,16 +55,25 @@ class Block:
     linked: int
 
 
-def unwanted(attributes: str) -> bool:
-    if HIDDEN.search(attributes):
-        return True
-    return any(w in UNWANTED or UNWANTED_PARTS.search(w) for m in CLASS.finditer(attributes) for w in re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower()))
+def unwanted(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether an element's attributes mark it as no part of the article, and whether they mark it as the header of an article."""
+    words: list[str] = []
+    for m in ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name == "hidden" or name == "style" and HIDDEN.search(value):
+            return True, False
+        # Markdown tools make the ids of headings from their text
+        if name in ("class", "role") or name == "id" and tag not in HEADINGS and tag != "p":
+            words += re.split(r"[^a-z]+", value.lower())
+    return any(w in UNWANTED or UNWANTED_PARTS.search(w) for w in words), "header" in words and not OWN.isdisjoint(words)
 
 
 def blocks(source: str, strict: bool = True) -> list[Block]:
     """The page's blocks of text that stand in no dropped element, with the generalised path of the element around each."""
     out: list[Block] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, path, whether its text is dropped
+    stack: list[tuple[str, str, bool, bool]] = []  # tag, path, whether its text is dropped, whether it is an article's header
+    skips: list[tuple[str, int, bool]] = []  # open skipped elements: tag, size of the stack around, whether the next block ends it
+    nexts: dict[str, int] = {}
     parts: list[str] = []
     linked, link_from, anchors = 0, 0, 0
     at, end = 0, len(source)
@@ -73,6 +89,18 @@ def blocks(source: str, strict: bool = True) -> list[Block]:
             parts.clear()
         linked = link_from = 0
 
+    def next_at(what: str) -> int:
+        """Where ``what`` (the beginning of a tag) comes next; each place is looked for once."""
+        if nexts.get(what, -1) < at:
+            m = re.compile(rf"{what}(?=[\s/>])", re.I).search(source, at)
+            nexts[what] = m.start() if m else end
+        return nexts[what]
+
+    def unskip(k: int) -> None:
+        """Ends the skipped elements from the ``k``-th on, and blocks open within them."""
+        del stack[skips[k][1] :]
+        del skips[k:]
+
     def pop(tags: tuple[str, ...], within: frozenset[str]) -> None:
         """Closes up to the nearest open element of ``tags``, if no element of ``within`` stands between."""
         for k in range(len(stack) - 1, -1, -1):
@@ -85,32 +113,66 @@ def blocks(source: str, strict: bool = True) -> list[Block]:
     while at < end:
         m = TOKEN.search(source, at)
         if not m:
-            parts.append(source[at:])
+            if not skips:
+                parts.append(source[at:])
             break
-        if m.start() > at:
+        if m.start() > at and not skips:
             parts.append(source[at : m.start()])
         at = m.end()
         if not m[2]:
             continue
         tag = m[2].lower()
+        closed_itself = bool(m[3]) and (m[3] == "/" or m[3].endswith((" /", "\t/", "\n/", "'/", '"/')))
         if m[1]:
             if tag == "a" and anchors:
                 linked += sum(map(len, parts)) - link_from
                 anchors = 0
+            elif tag in SKIPPED:
+                for k in range(len(skips) - 1, -1, -1):
+                    if skips[k][0] == tag:
+                        unskip(k)
+                        break
             elif tag in BLOCKS:
+                if skips and any(t[0] == tag for t in stack[skips[-1][1] :]):
+                    pop((tag,), frozenset())
+                    continue
+                holds = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
+                inner = next((k for k, (_, depth, loose) in enumerate(skips) if loose or holds is not None and holds < depth), None)
+                if inner is not None:
+                    unskip(inner)
+                if skips:
+                    continue
                 flush()
                 pop((tag,), frozenset(("td", "th")) if tag not in ("table", "tr", "td", "th", "body", "html") else frozenset())
         elif tag in RAW:
-            close = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
-            at = close.end() if close else end
+            if tag in ("script", "style") or not closed_itself:
+                close = re.compile(rf"</{tag}\s*>", re.I).search(source, at) if next_at(f"</{tag}") < end else None
+                at = close.end() if close else end if tag in ("script", "style") else at
+            parts.append(" ")
+        elif tag in SKIPPED:
             parts.append(" ")
+            if not closed_itself and (tag != "foreignobject" or skips):
+                shut = next_at(f"</{tag}")
+                loose = tag in FOREIGN or shut == end or tag in FLAT and next_at(f"<{tag}") < shut
+                skips.append((tag, len(stack), loose))
         elif tag in VOID:
             parts.append(" ")
-            if tag == "hr":
+            if tag == "hr" and not skips:
                 flush()
         elif tag == "a":
+            if skips:
+                continue
             link_from, anchors = sum(map(len, parts)), 1
         elif tag in BLOCKS:
+            if skips and skips[-1][2]:
+                k = len(skips) - 1
+                while k and skips[k - 1][2]:
+                    k -= 1
+                unskip(k)
+            if skips:
+                if not closed_itself:
+                    stack.append((tag, stack[-1][1] if stack else "", True, False))
+                continue
             flush()
             if tag in CLOSES:
                 pop(CLOSES[tag], frozenset(("ul", "ol", "dl", "table")))
@@ -118,14 +180,17 @@ def blocks(source: str, strict: bool = True) -> list[Block]:
                 stack.pop()
             first = FIRST_CLASS.search(m[3]) if m[3] else None
             name = f"{tag}.{re.sub(r'[0-9]+', '#', first[1].lower())}" if first else tag
-            inside = stack[-1] if stack else ("", "", False)
-            bad = tag in DROPPED or bool(m[3]) and tag not in ("html", "body", "article", "main") and unwanted(m[3])
+            inside = stack[-1] if stack else ("", "", False, False)
+            marked, headed = unwanted(tag, m[3]) if m[3] and tag not in ("html", "body", "article", "main") else (False, False)
+            bad = tag in DROPPED or marked
             if tag in ("article", "main") and not strict:
-                inside = ("", inside[1], False)
-            title = len(tag) == 2 and tag[0] == "h" and tag != "hr" and stack and stack[-1][0] in ("header", "hgroup") and any(t[0] == "article" for t in stack)
-            stack.append((tag, f"{inside[1]}>{name}" if inside[1] else name, bad or inside[2] and not title))
+                inside = ("", inside[1], False, False)
+            title = tag in HEADINGS and stack and (stack[-1][3] or stack[-1][0] in ("header", "hgroup") and any(t[0] == "article" for t in stack))
+            stack.append((tag, f"{inside[1]}>{name}" if inside[1] else name, bad or inside[2] and not title, headed and not inside[2]))
             if m[3].endswith("/") and tag not in ("p", "div"):
                 stack.pop()
+    if skips:
+        unskip(0)
     flush()
     return out
 

@@ -42,6 +42,28 @@ def test_extract(body, text):
     assert html.extract(CHROME + body, []) == text
 
 
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        ("<p>a<svg class='i' />b</p><p>c</p><svg><path d=''/></svg><p>d</p>", "a b\nc\nd"),
+        ("<p>a<svg><path d='x'><p>b</p><svg><g></g></svg><p>c</p>", "a\nb\nc"),
+        ("<p>a<button>Buy</p><p>b</p><button>Buy</button><p>c</p>", "a\nb\nc"),
+        ("<p>a</p><button>Buy<p>b</p><p>c</p>", "a\nb\nc"),
+        ("<p>a<button><div>Buy</div><span>it</span></button> b</p><p>c</p>", "a b\nc"),
+        ("<div><p>a</p><video src=x><p>no video</p></div><p>b</p><video src=y></video><p>c</p>", "a\nb\nc"),
+        ("<p>a</p><iframe src='x' /><p>b</p><select><option>x<option>y</select><p>c</p>", "a\nb\nc"),
+        ("<p>a</p><object><object><p>x</p></object>y</object><p>b<canvas>no</canvas></p>", "a\nb"),
+        ("<svg><foreignObject><div>x</div></foreignObject></svg><p>a</p>", "a"),
+        ("<h2 id='related-work'>Related</h2><p id='search'>a</p><h3 id='how-to-share-files'>Share</h3>", "Related\na\nShare"),
+        ("<div class='post-header'><h1>Title</h1><p>by x</p></div><p>a</p><div class='site-header'><h1>Site</h1></div>", "Title\na"),
+        ("<div title='the hidden gem'>a</div><p data-x='display: none'>b</p><p style='display:none'>c</p><p hidden=''>d</p><div data-class='ad'>e</div>", "a\nb\ne"),
+    ],
+)
+def test_whole_article(body, text):
+    """Self-closed and unclosed elements, ids of headings and words within other attributes cut nothing off."""
+    assert html.extract(CHROME + "<article>" + body + "</article>", []) == text
+
+
 def test_consensus(spark):
     """A page whose own best container is a long notice takes its host's path; another host's page does not."""
     good = CHROME + "<div class=story><p>Some story text that is long enough.</p></div><div class=legal><p>Terms.</p></div>"
