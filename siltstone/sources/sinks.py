@@ -43,19 +43,19 @@ def json_report(df: DataFrame, path: str) -> None:
     whole.coalesce(1).write.mode("overwrite").text(path)
 
 
-def html_report(title: str, summary: DataFrame, rows: DataFrame, most: int = 1000) -> str:
-    """A static page of a summary row and at most ``most`` rows, all text escaped."""
+def html_report(title: str, summary: DataFrame, rows: DataFrame) -> str:
+    """A static page of a summary and every row, in the tables' order, all text escaped. The page stands in the driver's memory."""
     cell = lambda c: escape_html(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")))
     line = lambda df, tag: F.concat(F.lit("<tr>"), *[F.concat(F.lit(f"<{tag}>"), cell(c), F.lit(f"</{tag}>")) for c in df.columns], F.lit("</tr>"))
     head = lambda df: "<tr>" + "".join(f"<th>{c}</th>" for c in df.columns) + "</tr>"
     tables = []
     for df in (summary, rows):
-        body = "".join(r[0] for r in df.limit(most).select(line(df, "td")).collect())
+        body = "".join(r[0] for r in df.select(line(df, "td")).toLocalIterator())
         tables.append(f"<table>{head(df)}{body}</table>")
     return f"<!DOCTYPE html><html><head><meta charset='utf-8'><title>{title}</title></head><body><h1>{title}</h1>{''.join(tables)}</body></html>"
 
 
-def canvas(rows: DataFrame, most: int = 1000) -> str:
-    """A script module that holds at most ``most`` rows as a template literal of JSON."""
-    data = [r.asDict(recursive=True) for r in rows.limit(most).collect()]
+def canvas(rows: DataFrame) -> str:
+    """A script module that holds every row, in the table's order, as a template literal of JSON. It stands in the driver's memory."""
+    data = [r.asDict(recursive=True) for r in rows.toLocalIterator()]
     return f"export const rows = JSON.parse(`{escape_template(json.dumps(data, ensure_ascii=False, default=str))}`);\n"

@@ -1,6 +1,7 @@
 """Sources, sinks, streams and plans on small files."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -163,6 +164,13 @@ def test_crawl(spark):
     assert ingest.crawl(links, ["a"], 2).count() == 2
 
 
+def test_reports_hold_every_row(spark):
+    rows = spark.range(2500).repartition(3).orderBy("id")
+    page = sinks.html_report("T", rows.agg(F.count(F.lit(1)).alias("n")), rows)
+    assert re.findall(r"<tr><td>(\d+)</td></tr>", page) == ["2500", *map(str, range(2500))]
+    assert re.findall(r'"id": (\d+)', sinks.canvas(rows)) == [str(k) for k in range(2500)]
+
+
 def test_long_chains(spark, tmp_path):
     """Neither a chain of more than 50 pages nor one of more than 20 sitemaps is left before its end; circles end."""
     links = spark.createDataFrame([(str(k), str((k + 1) % 60)) for k in range(60)], "src string, dst string").coalesce(1)
