@@ -102,8 +102,8 @@ def fetched(requests: DataFrame, pages: DataFrame, key: str = "url") -> DataFram
 
 
 def extracted(df: DataFrame, prompt: Column, recorded: DataFrame, key: str) -> DataFrame:
-    """A model's answers from a recorded table (key, answer); answers that are no JSON object become a parse error."""
+    """A model's answers from a recorded table (key, answer); answers that are no JSON object become a parse error, whole."""
     answers = df.withColumn("prompt", prompt).join(recorded.select(key, "answer"), key, "left")
     good = F.json_object_keys(F.trim("answer")).isNotNull()
-    failure = F.to_json(F.struct(F.when(F.col("answer").isNull(), "no answer").alias("_error"), F.when(F.col("answer").isNotNull(), F.left("answer", F.lit(200))).alias("_parse_error")))
+    failure = F.to_json(F.struct(F.when(F.col("answer").isNull(), "no answer").alias("_error"), F.col("answer").alias("_parse_error")))
     return answers.withColumn("extracted", F.when(good, F.trim("answer")).otherwise(failure)).drop("answer")

@@ -164,6 +164,14 @@ def test_crawl(spark):
     assert ingest.crawl(links, ["a"], 2).count() == 2
 
 
+def test_failed_answers_stay_whole(spark):
+    answer = "no object " * 300
+    df = spark.createDataFrame([(1, "t"), (2, "u")], "id int, text string")
+    recorded = spark.createDataFrame([(1, answer)], "id int, answer string")
+    got = {r.id: json.loads(r.extracted) for r in readers.extracted(df, F.col("text"), recorded, "id").collect()}
+    assert got == {1: {"_parse_error": answer}, 2: {"_error": "no answer"}}
+
+
 def test_reports_hold_every_row(spark):
     rows = spark.range(2500).repartition(3).orderBy("id")
     page = sinks.html_report("T", rows.agg(F.count(F.lit(1)).alias("n")), rows)
