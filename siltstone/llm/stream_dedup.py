@@ -7,6 +7,9 @@ hit, the full bytes are compared: rows are grouped by digest and whole text; tex
 
 Null texts count as empty, and empty texts are equal. Texts are equal when identical after lower-casing A-Z. Null identifiers
 count as smallest; of rows with equal text and identifier the last by locator stays. An empty table gives no rows.
+
+Each call has a state of its own, unless it names a ``folder``: calls with the same folder continue one state, and the folder keeps
+the arrivals with their texts. A call must not be repeated with rows that have come already, as they would count twice.
 """
 
 from __future__ import annotations
@@ -29,11 +32,11 @@ def row_order(key: str = "key") -> Column:
     return F.struct(F.col(key).alias("key"), "file", "row")
 
 
-def run_stream(arrivals: DataFrame, files_per_batch: int | None = None) -> DataFrame:
+def run_stream(arrivals: DataFrame, files_per_batch: int | None = None, folder: str | None = None) -> DataFrame:
     """digest, keep (key, file, row) and n, from the state after all arrivals have come through."""
     spark = arrivals.sparkSession
-    source, checkpoint = shared_dir(spark, "dedup-arrivals"), shared_dir(spark, "dedup-state")
-    arrivals.write.parquet(source)
+    source, checkpoint = (f"{folder}/arrivals", f"{folder}/state") if folder else (shared_dir(spark, "dedup-arrivals"), shared_dir(spark, "dedup-state"))
+    arrivals.write.mode("append" if folder else "error").parquet(source)
     before = {k: spark.conf.get(k, None) for k in STATE}
     for k, v in STATE.items():
         spark.conf.set(k, v)
@@ -56,18 +59,25 @@ def run_stream(arrivals: DataFrame, files_per_batch: int | None = None) -> DataF
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", files_per_batch: int | None = None) -> DataFrame:
-    """One row per row of ``docs``: key, file, row, digest, keep (key, file, row of the row that stays) and n (rows of equal text)."""
-    return grouped(keyed(located(docs), key, text), files_per_batch)
+def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", files_per_batch: int | None = None, folder: str | None = None) -> DataFrame:
+    """One row per row of ``docs``: key, file, row, digest, keep (key, file, row of the row that stays) and n (rows of equal text).
+
+    With a ``folder``, keep and n are over all rows that have come to it.
+    """
+    return grouped(keyed(located(docs), key, text), files_per_batch, folder)
 
 
-def grouped(docs: DataFrame, files_per_batch: int | None = None) -> DataFrame:
+def grouped(docs: DataFrame, files_per_batch: int | None = None, folder: str | None = None) -> DataFrame:
     rows = docs.select("key", "file", "row", ascii_lower(F.col("text")).alias("same"))
     rows = rows.withColumn("digest", F.unhex(F.sha2("same", 256)))
     arrivals = stored(rows.select("key", "file", "row", "digest"), "dedup-rows")
-    held = run_stream(arrivals, files_per_batch)
+    held = run_stream(arrivals, files_per_batch, folder)
+    everything = rows
+    if folder:
+        rows.write.mode("append").parquet(f"{folder}/texts")
+        everything = rows.sparkSession.read.schema(rows.schema).parquet(f"{folder}/texts")
     hit = small_side(held.filter("n > 1").select("digest"))
-    exact = rows.join(hit, "digest", "left_semi").groupBy("digest", "same").agg(F.max(row_order()).alias("keep"), F.count(F.lit(1)).alias("n"))
+    exact = everything.join(hit, "digest", "left_semi").groupBy("digest", "same").agg(F.max(row_order()).alias("keep"), F.count(F.lit(1)).alias("n"))
     parted = stored(exact.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("digest"), "dedup-collisions")
     by_digest = arrivals.join(held, "digest")
     if parted.isEmpty():

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from siltstone.llm import jaccard, queries
+from siltstone.llm import jaccard, queries, stream_dedup
 from tests.llm.brute import near
 
 WORDS = [f"w{k}" for k in range(400)]
@@ -61,3 +61,11 @@ def test_op7(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in queries.table(spark, sf_dir, "documents").collect()]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in queries.op7_jaccard_join(spark, sf_dir).collect()}
     assert got == {r[0]: x for r, x in zip(rows, near(rows), strict=True)}
+
+
+def test_later_batches_continue_the_state(spark, tmp_path):
+    batches = [[(1, "A b"), (2, "c")], [(5, "a B"), (3, "c"), (4, "d")], [(0, "D")]]
+    want = [{1: (1, 1), 2: (2, 1)}, {5: (5, 2), 3: (3, 2), 4: (4, 1)}, {0: (4, 2)}]
+    for rows, expected in zip(batches, want, strict=True):
+        got = stream_dedup.groups(spark.createDataFrame(rows, "doc_id long, text string"), folder=str(tmp_path / "state")).collect()
+        assert {r.key: (r.keep.key, r.n) for r in got} == expected
