@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -14,13 +16,13 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession, what: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``; only where that is unset (tests) a temporary folder of this machine."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder below ``spark.checkpoint.dir``. Where that is unset, local mode takes a temporary folder; a cluster, whose machines don't share one, is refused."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        current = spark.sparkContext.getCheckpointDir()
-        base = current or tempfile.mkdtemp(prefix="siltstone-")
-        if not current:
-            spark.sparkContext.setCheckpointDir(base)
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="siltstone-")
+        spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
@@ -28,7 +30,10 @@ BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def bounded_batches(df: DataFrame, most: int = 4 << 20) -> DataFrame:
-    """``df``, once its session hands rows to Python in batches of at most about ``most`` bytes (a smaller setting stays): texts may be long."""
+    """``df``, once its session hands rows to Python in batches of at most about ``most`` bytes (a smaller setting stays): texts may be long.
+
+    The setting stays in the session, as Spark reads it when the plan runs.
+    """
     conf = df.sparkSession.conf
     now = conf.get(BATCH_BYTES, None)
     if not (now or "").isdigit() or int(now) > most:
@@ -36,9 +41,29 @@ def bounded_batches(df: DataFrame, most: int = 4 << 20) -> DataFrame:
     return df
 
 
-def stored(df: DataFrame, what: str) -> DataFrame:
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables ``stored`` within are deleted at the end, but for those to ``keep``."""
+    paths: list[str] = []
+    token = _scratch.set(paths)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in paths:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def stored(df: DataFrame, what: str, keep: bool = False) -> DataFrame:
     """``df`` written to the shared folder and read again: its lineage is cut and any executor can read it."""
     path = shared_dir(df.sparkSession, what)
+    paths = _scratch.get()
+    if paths is not None and not keep:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
