@@ -21,6 +21,7 @@ shingle. Repeated rows share a class. A component's id is its smallest non-null
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +29,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import bounded_batches, keyed, located, original, slices, small_side, stored
+from siltstone.llm.common import bounded_batches, keyed, located, original, scratch, slices, small_side, stored
 from siltstone.llm.words import WordHashes, grams, hold
 
 WORDS = WordHashes()
 U = np.uint64
 #: 64-bit words of a set's sketch.
 SKETCH = 16
+#: Shingles before a shared one among which an earlier shared one is looked for.
+EARLIER = 4
 
 
 def shingles(text: str, width: int = 5) -> np.ndarray:
@@ -215,7 +218,7 @@ def whole_sets(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
 
 
 def prefixes(sets: DataFrame, percent: int, ranges: int) -> DataFrame:
-    """token, owner, n, l, m (shingles that other classes have too), c (mean list length): each class's shared prefix shingles (step 2)."""
+    """owner, n, l, m (shingles that other classes have too), c (mean list length), tokens (the class's shared prefix shingles of step 2, ascending)."""
 
     def packed_lists(out: list[list]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], names=["range", "owners", "shared", "total", "tokens", "lengths"])
@@ -255,41 +258,51 @@ def prefixes(sets: DataFrame, percent: int, ranges: int) -> DataFrame:
         order = np.lexsort((tokens, lengths, token_owner))
         token_owner, tokens, lengths = token_owner[order], tokens[order], lengths[order]
         starts, ends = np.searchsorted(token_owner, who, "left"), np.searchsorted(token_owner, who, "right")
-        rows: list[list] = [[np.zeros(0, U)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0)]]
-        for key, size, a, b in zip(who, n, starts, ends, strict=True):
+        rows: list[tuple] = []
+        for key, size, a, b in zip(who.tolist(), n.tolist(), starts, ends, strict=True):
             alone = size - (b - a)
             if b - a < needed(size, percent):
                 continue
             own = lengths[a:b]
             best = choose(np.r_[np.ones(alone, np.int64), own], size, percent)
-            taken = tokens[a:b][: size - needed(size, percent) + best - alone]
-            for column, value in zip(rows, (taken, key, size, best, b - a, (own.sum() + alone) / size), strict=True):
-                column.append(value if column is rows[0] else np.full(len(taken), value, column[0].dtype))
-        columns = [np.concatenate(x) for x in rows]
-        for a in range(0, max(1, len(columns[0])), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0][a : a + (1 << 16)].view(np.int64)), *(pa.array(x[a : a + (1 << 16)]) for x in columns[1:])], names=["token", "owner", "n", "l", "m", "c"])
+            taken = np.sort(tokens[a:b][: size - needed(size, percent) + best - alone].view(np.int64))
+            rows.append((key, size, best, b - a, (own.sum() + alone) / size, taken))
+            if len(rows) == 1000:
+                yield class_rows(rows)
+                rows = []
+        yield class_rows(rows)
+
+    def class_rows(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows, strict=True)) or [()] * 6, kinds, strict=True)], names=["owner", "n", "l", "m", "c", "tokens"])
 
     listed = packed(sets, "set", ranges).mapInArrow(lists, "range int, owners binary, shared binary, total binary, tokens binary, lengths binary")
-    return listed.repartition(ranges, "range").mapInArrow(pick, "token long, owner long, n long, l int, m long, c double")
+    return listed.repartition(ranges, "range").mapInArrow(pick, "owner long, n long, l int, m long, c double, tokens array<long>")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+def verified(pairs: DataFrame, sets: DataFrame, prefix: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that share enough prefix shingles and whose whole sets are similar enough."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
-            for k, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+            tokens_a, tokens_b = (batch.column(batch.schema.get_field_index(f"tokens_{x}")) for x in "ab")
+            least = np.minimum(*(batch.column(batch.schema.get_field_index(f"l_{x}")).to_numpy() for x in "ab"))
+            sets_a, sets_b = (batch.column(batch.schema.get_field_index(f"set_{x}")).to_pylist() for x in "ab")
+            for k, (x, y) in enumerate(zip(sets_a, sets_b, strict=True)):
+                if len(np.intersect1d(tokens_a[k].values.to_numpy(), tokens_b[k].values.to_numpy(), assume_unique=True)) < least[k]:
+                    continue
                 x, y = np.frombuffer(x, U), np.frombuffer(y, U)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 if 100 * both >= percent * (len(x) + len(y) - both):
                     good.append(k)
             good = pa.array(good, pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(good), batch.column(1).take(good)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(x)).take(good) for x in "ab"], names=["a", "b"])
 
-    left = pairs.join(sets.select(F.col("owner").alias("b"), F.col("set").alias("set_b")), "b")
-    both = left.join(sets.select(F.col("owner").alias("a"), F.col("set").alias("set_a")), "a")
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(judge, "a long, b long")
+    own = sets.join(prefix.select("owner", "l", "tokens"), "owner")
+    for x in "ba":
+        pairs = pairs.join(own.select(F.col("owner").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("set", "l", "tokens")]), x)
+    return pairs.mapInArrow(judge, "a long, b long")
 
 
 def are_stars(edges: DataFrame) -> bool:
@@ -329,14 +342,14 @@ def may_link(percent: int) -> Column:
     return enough(F.col("m"), percent) & enough(F.col("m2"), percent)
 
 
-def central(rows: DataFrame) -> DataFrame:
-    """For each shingle's list its most central class: the one whose shingles most others have. The text that copies were made from is."""
-    return rows.groupBy("token").agg(F.min(F.struct((-F.col("c")).alias("c"), "owner", "root", "n", "m")).alias("first"))
-
+def star_pairs(classes: DataFrame, percent: int, sets: DataFrame) -> DataFrame:
+    """Each shingle's classes against the list's most central one, where their components differ.
 
-def star_pairs(rows: DataFrame, percent: int, sets: DataFrame) -> DataFrame:
-    """Each shingle's classes against the list's most central one, where their components differ."""
-    first = central(rows).select("token", F.col("first.owner").alias("a"), F.col("first.root").alias("root2"), F.col("first.n").alias("n2"), F.col("first.m").alias("m2"))
+    Most central is the class whose shingles most others have: the text that copies were made from.
+    """
+    rows = classes.select(F.explode("tokens").alias("token"), "owner", "root", "n", "m", "c")
+    first = rows.groupBy("token").agg(F.min(F.struct((-F.col("c")).alias("c"), "owner", "root", "n", "m")).alias("first"))
+    first = stored(first.select("token", F.col("first.owner").alias("a"), F.col("first.root").alias("root2"), F.col("first.n").alias("n2"), F.col("first.m").alias("m2")), "centres")
     return rows.join(first, "token").filter((F.col("root") != F.col("root2")) & may_link(percent)).select("a", F.col("owner").alias("b")).distinct()
 
 
@@ -360,19 +373,26 @@ def sketches_allow(percent: int) -> Column:
     return enough(F.col("n") - first, percent) & enough(F.col("n2") - second, percent)
 
 
-def other_pairs(rows: DataFrame, percent: int, sets: DataFrame) -> DataFrame:
-    """All pairs of classes from different components that share enough prefix shingles: those outside the central class's component with all.
+def other_pairs(classes: DataFrame, percent: int, sets: DataFrame) -> DataFrame:
+    """All pairs of classes from different components that share a prefix shingle: those outside the central class's component with all.
 
-    Bounds from list lengths and from the sets' sketches are held against each pair before it leaves the join.
+    Bounds from list lengths and from the sets' sketches are held against each pair before it leaves the join. So is the order
+    of shingles: a pair is left to an earlier shingle if the last few before this one hold one that both have. So a pair leaves the
+    join about once, however many shingles it shares.
     """
+    rows = classes.select(F.explode("tokens").alias("token"), "owner", "root", "c")
     lists = rows.groupBy("token").agg(F.min(F.struct((-F.col("c")).alias("c"), "owner", "root")).alias("first"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    known = rows.join(lists.filter("lo < hi").select("token", F.col("first.root").alias("main")), "token").join(sketches(sets), "owner")
+    lists = stored(lists.filter("lo < hi").select("token", F.col("first.root").alias("main")), "lists")
+    some = rows.join(lists, "token", "left_semi").select("owner").distinct()
+    marked = classes.join(some, "owner", "left_semi").join(sketches(sets), "owner").select("*", F.posexplode("tokens").alias("at", "token"))
+    earlier = [f"earlier{k}_" for k in range(EARLIER)]
+    known = marked.select("token", "owner", "root", "n", "m", *[f"bits{k}_" for k in range(SKETCH)], *[F.get("tokens", F.col("at") - 1 - k).alias(c) for k, c in enumerate(earlier)]).join(lists, "token")
     left = known.filter("root <> main")
     right = known.select([F.col(c).alias(f"{c}2") for c in known.columns])
     once = (F.col("root2") == F.col("main2")) | (F.col("owner") < F.col("owner2"))
-    joined = left.join(right, (F.col("token") == F.col("token2")) & (F.col("root") != F.col("root2")) & once & may_link(percent) & sketches_allow(percent))
-    counts = joined.groupBy(F.least("owner", "owner2").alias("a"), F.greatest("owner", "owner2").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("l", "l2")).alias("least"))
-    return counts.filter("shared >= least").select("a", "b")
+    met = F.coalesce(reduce(Column.__or__, [F.col(x) == F.col(f"{y}2") for x in earlier for y in earlier]), F.lit(False))
+    joined = left.join(right, (F.col("token") == F.col("token2")) & (F.col("root") != F.col("root2")) & once & may_link(percent) & sketches_allow(percent) & ~met)
+    return joined.select(F.least("owner", "owner2").alias("a"), F.greatest("owner", "owner2").alias("b")).distinct()
 
 
 def enough_ranges(spark: SparkSession, shingles: float, most: int = 2_000_000) -> int:
@@ -380,10 +400,13 @@ def enough_ranges(spark: SparkSession, shingles: float, most: int = 2_000_000) -
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -int(-shingles // most))
 
 
-def found(docs: DataFrame, width: int, percent: int, star_rounds: int) -> DataFrame:
-    """Per row of ``docs`` (key, text, file, row): key, file, row, n, owner, root (null without a set)."""
+def found(docs: DataFrame, width: int, percent: int, star_rounds: int) -> tuple[DataFrame, DataFrame]:
+    """Each row of ``docs`` (key, text, file, row) as key, file, row, n, owner (null without a set), and the first row of each owner's component.
+
+    The second holds owners of several rows or with links alone, so that rows that have no copy need not move.
+    """
     spark = docs.sparkSession
-    signed = stored(signatures(docs, width, percent), "signatures")
+    signed = stored(signatures(docs, width, percent), "signatures", keep=True)
     sizes = signed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     left = stored(survivors(signed, percent, enough_ranges(spark, 0.3 * sizes)), "survivors")
     sets = stored(whole_sets(docs, left, width), "sets")
@@ -394,24 +417,37 @@ def found(docs: DataFrame, width: int, percent: int, star_rounds: int) -> DataFr
         pairs = stored(find(rooted(prefix, roots), percent, sets), "pairs")
         if pairs.isEmpty():
             continue
-        links = links.unionByName(stored(verified(pairs, sets, percent), "verified"))
+        links = links.unionByName(stored(verified(pairs, sets, prefix, percent), "verified"))
         roots = stored(components(links), "roots")
     rows = signed.select("key", "file", "row", "n", "owner")
-    return rows.join(roots.withColumnRenamed("node", "owner"), "owner", "left").withColumn("root", F.coalesce("root", "owner"))
+    return rows, firsts(rows, roots)
+
+
+def row_order() -> Column:
+    """Smallest key first, nulls last, then by locator."""
+    return F.struct(F.col("key").isNull().alias("without"), F.col("key").alias("key"), "file", "row")
+
+
+def firsts(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """owner, first (by ``row_order``, of the owner's component), for owners of several rows or with links."""
+    classes = rows.filter("owner is not null").groupBy("owner").agg(F.min(row_order()).alias("own"), F.count(F.lit(1)).alias("k"))
+    several = stored(classes.join(small_side(roots.withColumnRenamed("node", "owner")), "owner", "left").filter("root is not null or k > 1").select("owner", "root", "own"), "classes")
+    whole = several.filter("root is not null").groupBy("root").agg(F.min("own").alias("whole"))
+    return stored(several.join(small_side(stored(whole, "named")), "root", "left").select("owner", F.coalesce("whole", "own").alias("first")), "firsts", keep=True)
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, percent: int = 80, star_rounds: int = 1) -> DataFrame:
     """key, n_shingles, component_id of every row."""
-    rows = found(keyed(located(docs), key, text), width, percent, star_rounds)
-    named = rows.filter("root is not null").groupBy("root").agg(F.min("key").alias("component"))
-    return rows.join(named, "root", "left").select(F.col("key"), F.col("n").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("key")).otherwise(F.col("component")).alias("component_id"))
+    source = keyed(located(docs), key, text)
+    with scratch(docs.sparkSession):
+        rows, first = found(source, width, percent, star_rounds)
+    return rows.join(small_side(first), "owner", "left").select("key", F.col("n").alias("n_shingles"), F.coalesce("first.key", "key").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, percent: int = 80, star_rounds: int = 1) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one of smallest key (nulls last), then locator. Rows without a set stay."""
     source = located(docs)
-    rows = found(keyed(source, key, text), width, percent, star_rounds)
-    order = F.struct(F.col("key").isNull().alias("without"), F.col("key").alias("key"), "file", "row")
-    first = rows.filter("root is not null").groupBy("root").agg(F.min(order).alias("first"))
-    gone = stored(rows.join(first, "root").filter(~order.eqNullSafe(F.col("first"))).select("file", "row"), "near-gone")
+    with scratch(docs.sparkSession):
+        rows, first = found(keyed(source, key, text), width, percent, star_rounds)
+    gone = stored(rows.join(small_side(first), "owner").filter(~row_order().eqNullSafe(F.col("first"))).select("file", "row"), "near-gone")
     return original(source.join(small_side(gone), ["file", "row"], "left_anti"))

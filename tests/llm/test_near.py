@@ -46,6 +46,34 @@ def test_near_duplicates(spark, seed, stars):
     assert order(tuple(r) for r in got) == order(want)
 
 
+@pytest.mark.parametrize("stars", [0, 1])
+def test_large_group_far_from_its_centre(spark, stars):
+    """Most members of a group don't link to its centre, some link to each other: no link is lost, and pairs leave the join about once."""
+    rng = random.Random(5)
+    base = [rng.choice(WORDS) for _ in range(150)]
+    rows = [(0, " ".join(base), "o", "k")]
+    for k in range(1, 90):
+        words = list(base)
+        for _ in range(2 if k % 9 == 0 else 5):
+            words[rng.randrange(150)] = rng.choice(WORDS)
+        rows.append((2 * k, " ".join(words), "o", "k"))
+        if k % 4 == 0:
+            words[rng.randrange(150)] = rng.choice(WORDS)
+            rows.append((2 * k + 1, " ".join(words), "o", "k"))
+    got = {r.key: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3), star_rounds=stars).collect()}
+    want = near([r[:2] for r in rows])
+    assert got == {r[0]: x for r, x in zip(rows, want, strict=True)}
+    assert 20 < len({c for _, c in want}) < 90
+
+
+def test_very_long_texts(spark):
+    """Texts of a million characters are whole sets: a change at the end counts as one at the beginning."""
+    words = [f"v{k * 7919 % 1_000_003}" for k in range(150_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-9000])), (3, " ".join(words[40_000:])), (4, " ".join(words[:-1] + ["w"]))]
+    got = {r.key: r.component_id for r in jaccard.near_duplicates(spark.createDataFrame([(a, b, "", "") for a, b in rows], SCHEMA)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 1}
+
+
 def test_one_of_each(spark):
     rows = corpus(1, 60)
     got = jaccard.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()
