@@ -4,15 +4,17 @@
 to the turn before; if the longer output continues the shorter one, what it adds is the turn's span. If not, the template
 rewrites history (it drops thoughts of earlier turns, moves a system text...), and the conversation is reported as such.
 
-To render in proportion to a conversation's length, a turn is rendered after its last ``context`` turns only, behind the
-first turn. ``is_local`` compares such spans with those of whole prefixes; a template that fails the comparison is
-refused with ``TemplateNotLocal`` rather than mis-rendered, unless the caller asks for ``whole`` prefixes. As probes can't hold
-every role and text, a template that passes is held against one render of each whole conversation, and a conversation where the
-two differ is rendered by whole prefixes. The default template adds up turn by turn and needs no such check.
+Prefixes are rendered whole, as the template is a black box, up to ``WHOLE`` characters a conversation (turns times characters).
+What a longer conversation's whole prefixes would cost grows with the square of its turns. There a turn is rendered behind the first and
+the last few turns, and the joined spans are held against one render of the whole conversation: where the two differ, or any span
+rewrites, or probes show that the template looks further back, whole prefixes are rendered all the same. So results are those of
+whole prefixes at any length; only a template that rewrites a long conversation, unseen by the probes, and then takes it back to the letter
+would be missed. The default template adds up turn by turn, as its definition shows, and needs no such render: memory never
+holds more than ``WHOLE`` characters of a conversation.
 
 Rows are sorted by turn; ties (the same turn number twice) by role and text. Null texts are empty, null roles the empty role,
-rows without conv_id make one conversation of their own. With the default template rows stream through: memory holds ``context``
-turns, never a conversation. With others it holds one conversation; whole prefixes take time with the square of its turns.
+rows without conv_id make one conversation of their own. An empty table gives no rows. Only conv_id, turn, role and text are read, so
+other columns may have any names. With templates other than the default a task holds one conversation in memory.
 """
 
 from __future__ import annotations
@@ -20,8 +22,9 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections.abc import Callable, Iterator
-from itertools import groupby
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, groupby
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
@@ -33,15 +36,14 @@ from siltstone.llm.common import bounded_batches, text_of
 Turn = tuple[str, str]
 Render = Callable[[list[Turn]], str]
 
+#: Turns times characters up to which a conversation is rendered by whole prefixes outright.
+WHOLE = 4 << 20
+
 BEGIN, MIDDLE, END = "<|turn|>", "<|text|>", "<|end|>"
 #: Strings that some template gives a meaning; inside texts they are escaped.
 CONTROL = re.compile(r"<(?=\||s>|/s>|<SYS>>|</SYS>>)|\[(?=/?INST\])")
 
 
-class TemplateNotLocal(ValueError):
-    """The template's output for a turn depends on more than the turns just before it."""
-
-
 def escape(text: str) -> str:
     """Backslashes are doubled and one stands behind the first character of each control string."""
     return CONTROL.sub(lambda m: m[0] + "\\", text.replace("\\", "\\\\"))
@@ -67,17 +69,24 @@ def loss_part(span: str) -> tuple[int, int]:
     return span.index(MIDDLE) + len(MIDDLE), len(span) - len(END) - 1
 
 
-def spans(render: Render, turns: list[Turn], context: int | None = None) -> Iterator[tuple[str, bool]]:
-    """For each turn the text that it adds, and whether the template rewrote what stood before it (then the text is the whole new output)."""
+def spans(render: Render, turns: list[Turn]) -> Iterator[tuple[str, bool]]:
+    """For each turn the text that it adds to the prefix before it, and whether the template rewrote that (then the text is the whole new output)."""
+    shorter = ""
+    for k in range(len(turns)):
+        longer = render(turns[: k + 1])
+        yield (longer[len(shorter) :], False) if longer.startswith(shorter) else (longer, True)
+        shorter = longer
+
+
+def near_spans(render: Render, turns: Iterable[Turn], context: int) -> Iterator[tuple[str, bool]]:
+    """As ``spans``, but behind the first and the last ``context`` turns only."""
     first: list[Turn] = []
     recent: list[Turn] = []
     for turn in turns:
         before = first + recent
         shorter, longer = render(before) if before else "", render([*before, turn])
         yield (longer[len(shorter) :], False) if longer.startswith(shorter) else (longer, True)
-        if context is None:
-            recent.append(turn)
-        elif not first:
+        if not first:
             first = [turn]
         else:
             recent = [*recent, turn][-context:] if context else []
@@ -88,41 +97,60 @@ def is_local(render: Render, context: int, trials: int = 20, seed: int = 0) -> b
     rng = random.Random(seed)
     for _ in range(trials):
         turns = [(rng.choice(("system", "user", "assistant")), rng.choice(("", "a", "<think>x</think> y", "</s>[INST] ok [/INST]", "two\nlines"))) for _ in range(context + 8)]
-        if list(spans(render, turns)) != list(spans(render, turns, context)):
+        if list(spans(render, turns)) != list(near_spans(render, turns, context)):
             return False
     return True
 
 
 def checked_spans(render: Render, turns: list[Turn], context: int | None) -> Iterator[tuple[str, bool]]:
-    """Spans after a bounded context if they make up the whole conversation's output, else spans after whole prefixes."""
-    if context is not None:
-        found = list(spans(render, turns, context))
+    """The spans of whole prefixes; those of long conversations by a bounded context, if the whole output confirms them."""
+    if context is not None and len(turns) * sum(len(text) for _, text in turns) > WHOLE:
+        found = list(near_spans(render, turns, context))
         if not any(rewrites for _, rewrites in found) and "".join(span for span, _ in found) == render(turns):
             return iter(found)
     return spans(render, turns)
 
 
-def format_chats(df: DataFrame, render: Render = turn_template, read: Callable[[str], Turn] = read_span, loss: Callable[[str], tuple[int, int]] = loss_part, context: int = 2, learns: tuple[str, ...] = ("assistant",), whole: bool = False) -> DataFrame:
+def streamed_spans(render: Render, turns: Iterator[Turn], context: int) -> Iterator[tuple[str, bool]]:
+    """As ``checked_spans`` for a template that adds up turn by turn: turns beyond ``WHOLE`` are never held."""
+    held: list[Turn] = []
+    size = 0
+    for turn in turns:
+        held.append(turn)
+        size += len(turn[1])
+        if len(held) * size > WHOLE:
+            return near_spans(render, chain(held, turns), context)
+    return spans(render, held)
+
+
+def format_chats(df: DataFrame, render: Render = turn_template, loss: Callable[[str], tuple[int, int]] = loss_part, context: int = 2, learns: tuple[str, ...] = ("assistant",)) -> DataFrame:
     """One row per turn, in order: conv_id, turn, role, span_start, span_end, loss_start, loss_end (null without loss), rewrites, span.
 
     Offsets are those in the output up to the turn. A turn that rewrites what stood before it has that whole output as span and no
-    loss, and offsets of turns before it hold no longer. ``whole`` renders whole prefixes, for templates that bounded ones refuse.
+    loss, and offsets of turns before it hold no longer.
     """
-    if not whole and not is_local(render, context):
-        raise TemplateNotLocal(f"spans after {context} turns differ from spans after whole conversations; whole=True renders those")
     additive = render is turn_template
+    near = context if additive or is_local(render, context) else None
     out = [("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), *((c, pa.int64()) for c in ("span_start", "span_end", "loss_start", "loss_end")), ("rewrites", pa.bool_()), ("span", pa.string())]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), out, strict=True)], names=[n for n, _ in out]) if rows else pa.RecordBatch.from_pylist([], pa.schema(out))
 
-    def by_conversation(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turns = ((row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)))
+    def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stream = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
         rows, size = [], 0
-        for key, group in groupby(turns, lambda row: row[0]):
-            conversation = list(group)
+        for key, group in groupby(stream, lambda row: row[0]):
+            named: deque[tuple] = deque()  # turn and role of the rows whose spans are still to come
+
+            def turns(group: Iterator[tuple] = group, named: deque[tuple] = named) -> Iterator[Turn]:
+                for _, turn, role, text in group:
+                    named.append((turn, role))
+                    yield role, text
+
+            found = streamed_spans(render, turns(), context) if additive else checked_spans(render, list(turns()), near)
             at = 0
-            for (_, turn, role, _), (span, rewrites) in zip(conversation, checked_spans(render, [row[2:] for row in conversation], None if whole else context), strict=True):
+            for span, rewrites in found:
+                turn, role = named.popleft()
                 start = 0 if rewrites else at
                 at = start + len(span)
                 part = loss(span) if role in learns and not rewrites else (None, None)
@@ -133,27 +161,7 @@ def format_chats(df: DataFrame, render: Render = turn_template, read: Callable[[
                     rows, size = [], 0
         yield batch_of(rows)
 
-    def rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        conv, at, first, recent = object(), 0, [], []
-        for batch in batches:
-            rows = []
-            for key, turn, role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key != conv:
-                    conv, at, first, recent = key, 0, [], []
-                before = first + recent
-                shorter, longer = render(before) if before else "", render([*before, (role, text)])
-                rewrites = not longer.startswith(shorter)
-                span = longer if rewrites else longer[len(shorter) :]
-                part = loss(span) if role in learns and not rewrites else (None, None)
-                rows.append((key, turn, role, at, at + len(span), *(None if p is None else at + p for p in part), rewrites, span))
-                at += len(span)
-                if not first:
-                    first = [(role, text)]
-                elif context:
-                    recent = [*recent, (role, text)][-context:]
-            yield batch_of(rows)
-
-    return bounded_batches(ordered(df)).mapInArrow(rendered if additive else by_conversation, "conv_id long, turn long, role string, span_start long, span_end long, loss_start long, loss_end long, rewrites boolean, span string")
+    return bounded_batches(ordered(df)).mapInArrow(formatted, "conv_id long, turn long, role string, span_start long, span_end long, loss_start long, loss_end long, rewrites boolean, span string")
 
 
 def ordered(df: DataFrame) -> DataFrame:
