@@ -147,12 +147,28 @@ def test_chat_rewriting(spark):
     assert [w for _, w in chat.spans(forgets, turns)] == [False, False, True]
     counted = lambda turns: f"{len(turns)}" + "".join(t for _, t in turns)
     assert chat.is_local(chat.turn_template, 1) and not chat.is_local(counted, 2)
-    with pytest.raises(chat.TemplateNotLocal):
-        chat.format_chats(spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn long, role string, text string"), render=counted)
+    rows = chat.format_chats(spark.createDataFrame([(1, k, "user", "a") for k in range(3)], "conv_id long, turn long, role string, text string"), render=counted).collect()
+    assert [(r.rewrites, r.span_start, r.span) for r in rows] == [(False, 0, "1a"), (True, 0, "2aa"), (True, 0, "3aaa")]
+
+
+@pytest.mark.parametrize("whole", [0, 1 << 20])
+def test_whole_prefixes(spark, monkeypatch, whole):
+    """Long conversations (all are, with ``whole`` 0) give what whole prefixes give; an old tool turn that is blanked late is reported."""
+
+    def blanks(turns):
+        return "".join(f"[{r}]{'' if r == 'tool' and len(turns) - k > 5 else t}" for k, (r, t) in enumerate(turns))
+
+    monkeypatch.setattr(chat, "WHOLE", whole)
+    talk = [("tool", "facts"), *[("user", str(k)) for k in range(6)]]
+    assert [w for _, w in chat.checked_spans(blanks, talk, 2)] == [False] * 5 + [True, False]
+    for talk in ([("user", "a" * 50), ("assistant", "b|<s>")] * 40, [("user", "")], []):
+        want = list(chat.spans(chat.turn_template, talk))
+        assert list(chat.streamed_spans(chat.turn_template, iter(talk), 2)) == want == list(chat.checked_spans(chat.turn_template, talk, 2))
+        assert "".join(s for s, _ in want) == chat.turn_template(talk)
 
 
 def test_rewriting_templates_are_reported(spark):
-    """Rewrites and offsets come from whole prefixes: on demand, and where a template passes the probes but not a real conversation."""
+    """Rewrites and offsets come from whole prefixes, whether or not the template passes the probes."""
 
     def forgets(turns):
         return "".join(f"[{r}]{t if k == len(turns) - 1 else re.sub('<think>.*</think>', '', t)}" for k, (r, t) in enumerate(turns))
@@ -162,8 +178,8 @@ def test_rewriting_templates_are_reported(spark):
 
     talks = {1: [("user", "q"), ("assistant", "<think>x</think> y"), ("user", "z"), ("assistant", "w")], 2: [("tool", "facts"), *[("user", str(k)) for k in range(9)]], 3: [("user", "a"), ("user", "b")]}
     df = spark.createDataFrame([(c, k, r, t) for c, turns in talks.items() for k, (r, t) in enumerate(turns)], "conv_id long, turn long, role string, text string")
-    for render, whole, rewriting in ((forgets, True, {(1, 2)}), (late, False, {(2, 5)})):
-        rows = chat.format_chats(df, render=render, loss=lambda span: (span.index("]") + 1, len(span)), whole=whole).collect()
+    for render, rewriting in ((forgets, {(1, 2)}), (late, {(2, 5)})):
+        rows = chat.format_chats(df, render=render, loss=lambda span: (span.index("]") + 1, len(span))).collect()
         assert len(rows) == 16 and {(r.conv_id, r.turn) for r in rows if r.rewrites} == rewriting
         for r in rows:
             output = render(talks[r.conv_id][: r.turn + 1])
