@@ -64,6 +64,46 @@ def test_whole_article(body, text):
     assert html.extract(CHROME + "<article>" + body + "</article>", []) == text
 
 
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        ("<div class='ad-free-content'><article><p>a</p></article></div><div><p>imprint</p></div>", "a"),
+        ("<div class='content-widget'><article><p>a</p></article></div><div><p>imprint</p></div>", "a"),
+        ("<div class='widget'><article><p>a</p><div class=widget>w</div></article></div><div><p>imprint</p></div>", "a"),
+        ("<form id=page><article><p>a</p></article></form><div><p>imprint</p></div>", "a"),
+        ("<form id=page><h1>T</h1><div><p>a</p></div></form>", "T\na"),
+        ("<aside><article><p>teaser</p></article></aside><div class=post><p>the story itself</p></div>", "the story itself"),
+        ("<article><section id='market-share'><h2>Market share</h2><p>a</p></section><section id=search><h2>Search</h2><p>b</p></section></article>", "Market share\na\nSearch\nb"),
+        ("<article><div class='note-alert'>a</div><div class=alert>b</div><div class='notice'>c</div><div class='cookie-notice'>d</div></article>", "a\nb"),
+        ("<article><p>a</p><div id=comments><h3>Comments</h3><p>b</p></div><ol class='comment-list'><li>c</ol></article>", "a"),
+        ("<div class=story><p>a b c d</p><div class='ad-slot'>x</div><div role=alert>y</div><div class='related-posts'><p>z</p></div></div>", "a b c d"),
+        ("<div id=header>x</div><div id=main-nav>y</div><p>a b</p><div id=footer>z</div>", "a b"),
+    ],
+)
+def test_names(body, text):
+    """Names cut off what is no article by all their words, never the article itself."""
+    assert html.extract(CHROME + body, []) == text
+
+
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        ("<p class=\"x\"\">lost text</p><p>b</p>", "lost text\nb"),
+        ("<p><a title=it's>b</a> here</p><p>we don't c</p>", "b here\nwe don't c"),
+        ("<p title='a>b' x=\"c>d\" y = e>t</p>", "t"),
+        ("<p class='open>a</p><p>b", "a\nb"),
+        ("<p title=a/b/>t</p><p/>u</p>", "t\nu"),
+        ("<p =x '>a</p><p \"y>b</p>", "a\nb"),
+        ("<!--><p>a</p><!-- x --!><p>b</p><!--->c", "a\nb\nc"),
+        ("<p>a <3 b < c <é> d</p></ p><p>e", "a <3 b < c <é> d\ne"),
+        ("<p data-class='ad' class=x class=ad>a</p>", "a"),
+    ],
+)
+def test_tags(body, text):
+    """Tags as the HTML standard's tokenizer reads them."""
+    assert html.extract(CHROME + "<article>" + body, []) == text
+
+
 def test_consensus(spark):
     """A page whose own best container is a long notice takes its host's path; another host's page does not."""
     good = CHROME + "<div class=story><p>Some story text that is long enough.</p></div><div class=legal><p>Terms.</p></div>"
@@ -80,3 +120,5 @@ def test_consensus(spark):
 def test_long_page():
     assert len(html.extract("<article>" + "<p>word</p>" * 100_000, []).split("\n")) == 100_000
     assert html.extract("<" * 20_000 + 'a "' * 2000, []) != ""
+    for broken in ("<a ", '<p x="', "<a b=c", "<p '", "<!-", "</", "<p =", "a='b' "):
+        assert isinstance(html.extract("<article><p>t</p>" + broken * 20_000, []), str)
