@@ -4,10 +4,12 @@ A text's features are indicators of its word 1- and 2-grams and of the 1- to 3-g
 and signs; whether a word repeats the one before), hashed to ``buckets`` places. Indicators are scaled by the log ratio of the
 two classes' smoothed counts; a linear model with hinge loss is fitted to them by dual coordinate descent, and a logistic curve
 on held-back training rows turns its margins into probabilities. The model is fitted on at most ``most_rows`` labelled rows, the
-first by a hash of their key; its size is fixed by ``buckets``, so it is broadcast. Scoring reads every row's whole text.
+first by a hash of their key, and on no more of them than name ``most_places`` places, so that very long texts don't fill the driver; its
+size is fixed by ``buckets``, so it is broadcast. Scoring reads every row's whole text, in memory of its length.
 
-Null or empty texts have no feature and get the model's base rate. Rows without label, with null label or null key don't train.
-Without rows of both classes every score is the mean label (0.5 without any). Repeated rows get equal scores.
+Null or empty texts have no feature and get the model's base rate. Rows without label, with null label or null key don't train, nor do
+labels without a document. Without rows of both classes, as of empty tables, every score is the mean label (0.5 without any).
+Repeated rows get equal scores. Other columns pass by, whatever their names, but for a column named as the score, which is replaced.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from siltstone.llm.common import bounded_batches, slices, text_of
+from siltstone.llm.common import bounded_batches, scratch, slices, stored, text_of
 from siltstone.llm.words import PLACES, WordHashes, grams, hold, mixed
 
 
@@ -150,21 +153,35 @@ def in_fold(key: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % folds == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", key: str = "doc_id", most_rows: int = 8000, buckets: int = 1 << 18) -> Model:
-    """A model from at most ``most_rows`` labelled rows outside the held-out fold."""
+def first_labels(docs: DataFrame, chosen: DataFrame, most_rows: int) -> DataFrame:
+    """The first ``most_rows`` rows of ``chosen`` (key, label) whose key some document has, by a hash of the key."""
     order = F.xxhash64("key"), F.col("key")
+    keys = docs.select("key").filter("key is not null")
+    some = chosen.orderBy(*order).limit(4 * most_rows)
+    found = stored(keys.join(F.broadcast(some), "key", "left_semi").distinct(), "label-keys")  # at most 4 * most_rows keys
+    if found.limit(most_rows).count() < most_rows and chosen.limit(4 * most_rows + 1).count() > 4 * most_rows:
+        found = keys.join(chosen.select("key"), "key", "left_semi").distinct()
+    return chosen.join(found, "key", "left_semi").orderBy(*order).limit(most_rows)
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", key: str = "doc_id", most_rows: int = 8000, most_places: int = 16_000_000, buckets: int = 1 << 18) -> Model:
+    """A model from at most ``most_rows`` labelled rows outside the held-out fold, as many as name ``most_places`` places (4 bytes each) at most."""
     chosen = labels.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("int").alias("label")).filter(F.col("key").isNotNull() & F.col("label").isNotNull() & ~in_fold(F.col("key")))
-    chosen = chosen.groupBy("key").agg(F.min("label").alias("label")).orderBy(*order).limit(most_rows)
+    chosen = chosen.groupBy("key").agg(F.min("label").alias("label"))
     texts = docs.select(F.col(f"`{key}`").alias("key"), text_of(text).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "key").orderBy(*order, F.xxhash64("text")).limit(most_rows)
 
     def indicators(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold(WORDS)
         for part, own in slices(batches, 1):
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([features(t, buckets).tobytes() for t in own], pa.binary())], names=["key", "label", "places"])
 
-    kind = texts.schema[0].dataType.simpleString()
-    got = bounded_batches(rows.select("key", "text", "label")).mapInArrow(indicators, f"key {kind}, label int, places binary").orderBy(*order, F.xxhash64("places")).collect()
+    with scratch(docs.sparkSession):
+        rows = texts.join(F.broadcast(first_labels(texts, chosen, most_rows)), "key").select("key", "text", "label")
+        found = stored(bounded_batches(rows).mapInArrow(indicators, f"key {texts.schema[0].dataType.simpleString()}, label int, places binary"), "indicators")
+        place = F.struct(F.xxhash64("key"), F.xxhash64("places"))
+        sizes = found.select(place.alias("place"), F.octet_length("places").alias("size")).orderBy("place").limit(most_rows).collect()
+        last = [r.place for r, total in zip(sizes, accumulate(r["size"] for r in sizes), strict=True) if total <= 4 * most_places][-1:]
+        got = found.filter(place <= F.struct(*map(F.lit, last[0]))).orderBy(place).limit(most_rows).select("places", "label").collect() if last else []
     return fit([np.frombuffer(r.places, np.uint32) for r in got], [r.label for r in got], buckets)
 
 
