@@ -79,10 +79,12 @@ def grouped(docs: DataFrame, files_per_batch: int | None = None, folder: str | N
     hit = small_side(held.filter("n > 1").select("digest"))
     exact = everything.join(hit, "digest", "left_semi").groupBy("digest", "same").agg(F.max(row_order()).alias("keep"), F.count(F.lit(1)).alias("n"))
     parted = stored(exact.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("digest"), "dedup-collisions")
-    by_digest = arrivals.join(held, "digest")
+    # A text that came once is its own keep; only hits are joined.
+    kept_of = small_side(held.filter("n > 1").select("digest", F.col("keep").alias("held"), F.col("n").alias("times")))
+    by_digest = arrivals.join(kept_of, "digest", "left").select("digest", "key", "file", "row", F.coalesce("held", row_order()).alias("keep"), F.coalesce("times", F.lit(1).cast("long")).alias("n"))
     if parted.isEmpty():
         return by_digest
-    apart = rows.join(parted, "digest", "left_semi").join(exact, ["digest", "same"]).drop("same")
+    apart = rows.join(parted, "digest", "left_semi").join(exact, ["digest", "same"]).select(by_digest.columns)
     return by_digest.join(parted, "digest", "left_anti").unionByName(apart)
 
 
