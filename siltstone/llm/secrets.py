@@ -5,15 +5,19 @@ stands near a sensitive word is a candidate. It is compressed with a dictionary
 identifiers; the bytes that it adds, against what a random string of its alphabet takes at best, say whether it repeats what the code
 around it says (a name, a path, prose) or is new. Candidates that stay incompressible are reported as ``novel``.
 
-Null or empty texts have no spans. Each row stands alone: repeated rows give the same spans. Offsets are code points, end exclusive.
+Null or empty texts have no spans. Each row stands alone: repeated rows give the same spans, an empty table gives no rows. Of other columns
+only the key is read, so they may have any names; ``redact`` hands all on as they are. Very long texts are scanned whole, in time with their
+length. Offsets are code points, end exclusive.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -138,7 +142,8 @@ def scan(text: str, least_ratio: float = 0.85) -> list[tuple[str, int, int]]:
     if "AKIA" in text:
         spans += [("access", *m.span()) for m in ACCESS.finditer(text)]
     spans += [("hex", *m.span()) for m in HEX.finditer(text)]
-    taken = [(a, b) for _, a, b in spans]
+    taken = sorted((a, b) for _, a, b in spans)
+    starts, ends = [a for a, _ in taken], [0, *accumulate((b for _, b in taken), max)]
     seen = -1
     for word in SENSITIVE.finditer(text):
         for m in CANDIDATE.finditer(text, max(seen, word.start() - NEAR, 0), min(len(text), word.end() + NEAR + 256)):
@@ -153,7 +158,7 @@ def scan(text: str, least_ratio: float = 0.85) -> list[tuple[str, int, int]]:
             if end <= seen:
                 continue
             seen = end
-            if not any(a < end and start < b for a, b in taken) and novel(text, start, end, least_ratio):
+            if ends[bisect_left(starts, end)] <= start and novel(text, start, end, least_ratio):
                 spans.append(("novel", start, end))
     return sorted(set(spans), key=lambda s: (s[1], KINDS.index(s[0])))
 
