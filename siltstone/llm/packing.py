@@ -4,7 +4,8 @@ A document of n ids is split into as many pieces of ``longest`` ids as it holds
 rest, longest first. Pieces of equal length share a bucket; a sequence is one piece, so no sequence crosses documents, each
 is full, and training draws whole batches from one bucket. Work stays inside the scan's tasks: nothing is shuffled.
 
-A null or empty text gives the end id alone, as one piece. Repeated rows and ids are packed each on its own.
+A null or empty text gives the end id alone, as one piece. Repeated rows and ids are packed each on its own; an empty table gives no rows.
+Very long texts are encoded whole, in memory of their length. Of other columns only the key is read, so they may have any names.
 """
 
 from __future__ import annotations
@@ -45,7 +46,9 @@ class Encoder:
         self.tokenizer.no_padding()
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.by_word = isinstance(self.tokenizer.pre_tokenizer, ByteLevel) and byteorder == "little" and array("I").itemsize == 4 and self.tokenizer.normalizer is None
+        cut = self.tokenizer.pre_tokenizer
+        plain = isinstance(cut, ByteLevel) and cut.use_regex and not cut.add_prefix_space and self.tokenizer.normalizer is None and not getattr(self.tokenizer.model, "dropout", None)
+        self.by_word = plain and byteorder == "little" and array("I").itemsize == 4
 
     @classmethod
     def at(cls, path: str, most_words: int = 1 << 19) -> Encoder:

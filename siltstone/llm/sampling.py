@@ -15,6 +15,8 @@ Scores: a unigram model's own. A BPE model has merge ranks instead; they count a
 Characters outside the vocabulary become byte pieces (or the unknown piece) at the least score less 10.
 
 Null or empty texts have one segmentation, without pieces. A text of fewer than k segmentations gives them all, with inclusion 1.
+An empty table gives no rows. A very long text is sampled whole, in memory of its length and that of its different words' lattices.
+Of other columns only the key is read, so they may have any names.
 """
 
 from __future__ import annotations
@@ -68,7 +70,8 @@ class Model:
         for piece in pieces:
             for k in range(1, len(piece) + 1):
                 ids.setdefault(piece[:k], len(ids))
-        self.keys, self.targets = np.full(1 << 19, -1, np.int64), np.zeros(1 << 19, np.int64)
+        self.shift = 48 - max(10, (2 * len(ids)).bit_length())  # at most half of the slots are taken
+        self.keys, self.targets = np.full(1 << 48 - self.shift, -1, np.int64), np.zeros(1 << 48 - self.shift, np.int64)
         for p, v in ids.items():
             if p:
                 key = ids[p[:-1]] << 21 | ord(p[-1])
@@ -85,10 +88,9 @@ class Model:
         self.inside = {a + b for p in pieces for a, b in zip(p, p[1:], strict=False)}
         self.chain = not any(SPACE in p.lstrip(SPACE) for p in pieces)
 
-    @staticmethod
-    def slot(key):
+    def slot(self, key):
         """Where the table of transitions has a key, or the first place to look."""
-        return (key * 0x9E3779B1 & 0xFFFFFFFFFFFF) >> 29
+        return (key * 0x9E3779B1 & 0xFFFFFFFFFFFF) >> self.shift
 
     def step(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the keys (state, character) the trie has, and the states they lead to."""

@@ -3,7 +3,8 @@
 Texts go to the tokenizer in batches of about equal bytes; a text longer than ``split_bytes`` is cut at places where no
 token of the model can cross, so that one very long text neither fills the memory nor holds up its batch.
 
-Null and empty texts have 0 bytes and 0 tokens. Repeated rows are counted each. Other columns pass by untouched.
+Null and empty texts have 0 bytes and 0 tokens. Repeated rows are counted each; an empty table gives no rows. Of other columns only those
+to ``keep`` are read, so they may have any names. A long text without a safe place stands whole in a call of its own.
 """
 
 from __future__ import annotations
@@ -20,13 +21,16 @@ from siltstone.llm.common import bounded_batches, slices, text_of
 
 #: A space between ASCII letters or a letter and common punctuation: token boundaries in byte-level and word-end vocabularies.
 SAFE = re.compile(r"(?<=[A-Za-z0-9.,;:!?])\x20(?=[A-Za-z])")
+#: Byte-level vocabularies with their usual pattern also begin a word at a single space or line end behind no white space, and at a letter
+#: behind the punctuation of scripts that are written without spaces.
+SAFE_BYTES = re.compile(r"(?<=\S)(?=\x20[^\W\d_])|(?<=\S)(?=\n)|(?<=[。！？；：，、])(?=[^\W\d_])")
 
 
-def cut(text: str, most: int, drop_space: bool) -> list[str]:
-    """``text`` in parts of at least ``most`` characters, cut before a safe space (or around it, if ``drop_space``)."""
+def cut(text: str, most: int, safe: re.Pattern = SAFE, drop_space: bool = False) -> list[str]:
+    """``text`` in parts of at least ``most`` characters, cut before a safe place (or around its space, if ``drop_space``)."""
     parts, begin = [], 0
     while len(text) - begin > most:
-        found = SAFE.search(text, begin + most)
+        found = safe.search(text, begin + most)
         if not found:
             break
         parts.append(text[begin : found.start()])
@@ -44,12 +48,16 @@ class Counter:
         if path.endswith(".json"):
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
+            from tokenizers.pre_tokenizers import ByteLevel
 
             tokenizer = Tokenizer.from_file(path)
             tokenizer.no_truncation()
             tokenizer.no_padding()
             self.lengths: Callable[[list[str]], list[int]] = lambda texts: [len(e) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
             self.splits, self.drop_space = True, False
+            before, added = tokenizer.pre_tokenizer, tokenizer.get_added_tokens_decoder().values()
+            usual = isinstance(before, ByteLevel) and before.use_regex and not before.add_prefix_space and tokenizer.normalizer is None
+            self.safe = SAFE_BYTES if usual and not any(t.lstrip or t.rstrip or re.search(r"\s", t.content) for t in added) else SAFE
         elif path.endswith(".model"):
             import sentencepiece
 
@@ -58,7 +66,7 @@ class Counter:
             pieces = (model.id_to_piece(k) for k in range(model.get_piece_size()))
             # A part gets the space before it back as the prefix that the model adds to each text.
             self.splits = model.encode("a", out_type=str)[0].startswith("▁") and not any("▁" in p.lstrip("▁") for p in pieces)
-            self.drop_space = True
+            self.drop_space, self.safe = True, SAFE
         else:
             raise ValueError(f"{path}: a tokenizer is a .json or a .model file")
 
@@ -72,7 +80,7 @@ class Counter:
         parts: list[str] = []
         owner: list[int] = []
         for k, text in enumerate(texts):
-            own = cut(text, split_chars, self.drop_space) if self.splits and len(text) > split_chars else [text]
+            own = cut(text, split_chars, self.safe, self.drop_space) if self.splits and len(text) > split_chars else [text]
             parts += own
             owner += [k] * len(own)
         totals = [0] * len(texts)
