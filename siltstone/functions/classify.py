@@ -29,6 +29,8 @@ TRIGGERS = {
     "visit_day": r"\b(weekend|weekday|monday|tuesday|wednesday|thursday|friday|saturday|sunday)\b",
     "review_language": "[ऀ-ॿಀ-೿஀-௿]",
 }
+#: Any of the words: most texts have none.
+ANY_TRIGGER = "|".join(p.removeprefix(r"\b(").removesuffix(r")\b") for p in TRIGGERS.values() if p.startswith(r"\b"))
 DISHES = r"(?U)\b(biryani|dosa|idli|paneer|chicken|mutton|fish|thali|pizza|pasta|burger|roll|momos|noodles|curry|dal|roti|naan|dessert|starter|main|appetizer)\b"
 CONTRAST = r"(?U)\b(but|however|whereas|while|unlike|except|only the|rest was)\b"
 
@@ -52,9 +54,12 @@ def review_effort(text: Column) -> Column:
 
 
 def triggers(text: Column, extra: Column | None = None) -> Column:
-    """Sorted names of the fields whose words occur, with ``extra`` names."""
+    """Sorted names of the fields whose words occur, with ``extra`` names. The words are looked for one by one only where any occurs."""
     raw = F.coalesce(text, F.lit(""))
-    fired = F.array_compact(F.array(*[F.when(raw.rlike(f"(?iuU){pattern}"), name) for name, pattern in TRIGGERS.items()]))
+    tests = {name: raw.rlike(f"(?iuU){pattern}") for name, pattern in TRIGGERS.items()}
+    of = lambda names: F.array_compact(F.array(*[F.when(tests[n], n) for n in names]))
+    script = [n for n, p in TRIGGERS.items() if not p.startswith(r"\b")]
+    fired = F.when(raw.rlike(rf"(?iuU)\b(?:{ANY_TRIGGER})\b"), of(TRIGGERS)).otherwise(of(script))
     return F.array_sort(F.array_distinct(F.concat(fired, extra) if extra is not None else fired))
 
 

@@ -79,8 +79,8 @@ def page_of(df: DataFrame, order: list[Column | str], offset: int = 0, limit: in
 
 
 def bar_scale(df: DataFrame, value: Column) -> Column:
-    """A bar's length in percent of the longest."""
-    return F.round(100 * value / F.greatest(F.max(value).over(Window.partitionBy()), F.lit(1)), 1)
+    """A bar's length in percent of the table's longest, which a subquery finds."""
+    return F.round(100 * value / F.greatest(df.agg(F.max(value)).scalar(), F.lit(1)), 1)
 
 
 def evidence(df: DataFrame, group: Cols, field: str, value: str, at: str | None = None, half_life_days: float = 365.0) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltstone.sources.shared import checkpointing
+
 Cols = list[str]
 
 
@@ -71,9 +73,10 @@ def running_new(df: DataFrame, key: str, job: str) -> DataFrame:
 def row_index(df: DataFrame, order: Cols, column: str = "idx") -> DataFrame:
     """Row numbers from 0 over the whole table: sorted in parallel, counted by partition, then numbered.
 
-    The number of ranges is fixed, so that no later planning merges some of them on one side only.
+    The ranges are checkpointed: they are cut by samples, so that a second reading could cut them elsewhere.
     """
-    ranged = df.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id())
+    ready = checkpointing(df.sparkSession)
+    ranged = df.repartitionByRange(int(ready.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id()).checkpoint()
     sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__from"))
     before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row a partition
     return ranged.join(F.broadcast(before), "__part").withColumn(column, F.col("__at") - F.col("__from") + F.col("__before")).drop("__part", "__at", "__n", "__from", "__before")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -76,16 +77,27 @@ def by_priority(df: DataFrame, key: str, candidates: str, files: DataFrame, name
 def fuzzy_slugs(df: DataFrame, key: str, slug: str, files: DataFrame, file: str, file_slug: str, threshold: float = 0.55, gram: int = 3) -> DataFrame:
     """The file of best slug score (ties: the first in order) for each row, if it reaches the threshold; key, file, score.
 
-    No pair is compared that can't score: equal slugs, slugs of which one holds the other, and slugs that share a token. Tokens and
-    equal slugs are joined as they are; for containment, a slug's first ``gram`` characters are joined with all runs of that length
-    in the other, and slugs shorter than that with the other's characters. Slugs are compared once each, however many rows have them.
+    Pairs come from rare parts, so that a common word makes no pair of all slugs that have it. Slugs of enough equal tokens share one
+    among their rarest: of n tokens the first n - ceil(threshold n) + 1. A slug that stands within another is found by its rarest run
+    of ``gram`` characters (or by itself, if it is shorter). Slugs are compared once each, however many rows have them.
     """
     left, right = df.select(F.col(slug).alias("a")).filter("a <> ''").distinct(), files.select(F.col(file_slug).alias("b")).filter("b <> ''").distinct()
+    both_sides = left.select(F.col("a").alias("s")).unionByName(right.select(F.col("b").alias("s"))).distinct()
+
+    def rarest(of: DataFrame, s: str, parts: Callable[[Column], Column], most: Callable[[Column], Column], among: DataFrame) -> DataFrame:
+        """``s`` and its first parts by how many slugs of ``among`` have them."""
+        seen = among.select(F.explode(F.array_distinct(parts(F.col("s")))).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("seen"))
+        each = of.select(s, F.explode(parts(F.col(s))).alias("t"), F.size(parts(F.col(s))).alias("n")).join(seen, "t")
+        listed = each.groupBy(s).agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("seen", "t"))).alias("parts"))  # as many as a slug has parts
+        return listed.select(s, F.explode(F.slice("parts", F.lit(1), most(F.col("n")))).alias("p")).select(s, F.col("p.t").alias("t"))
+
+    enough = lambda n: (n - F.ceil(F.lit(threshold) * n - F.lit(1e-9)) + 1).cast("int")
+    one = lambda n: F.lit(1)
+    own_runs = lambda c: F.when(F.length(c) < gram, F.array(c)).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - gram + 1, F.lit(1))), lambda k: F.substr(c, k, F.lit(gram)))))
     runs = lambda c: F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(gram)), lambda n: F.when(F.length(c) >= n, F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda k: F.substr(c, k, n))).otherwise(F.array().cast("array<string>")))))
-    head = lambda c: F.left(c, F.lit(gram))
-    shared = left.select("a", F.explode(tokens(F.col("a"))).alias("t")).join(right.select("b", F.explode(tokens(F.col("b"))).alias("t")), "t").select("a", "b")
-    inside = left.select("a", head(F.col("a")).alias("g")).join(right.select("b", F.explode(runs(F.col("b"))).alias("g")), "g").filter(F.col("b").contains(F.col("a"))).select("a", "b")
-    around = left.select("a", F.explode(runs(F.col("a"))).alias("g")).join(right.select("b", head(F.col("b")).alias("g")), "g").filter(F.col("a").contains(F.col("b"))).select("a", "b")
+    shared = rarest(left, "a", tokens, enough, both_sides).join(rarest(right, "b", tokens, enough, both_sides), "t").select("a", "b")
+    inside = rarest(left, "a", own_runs, one, both_sides).join(right.select("b", F.explode(runs(F.col("b"))).alias("t")), "t").filter(F.col("b").contains(F.col("a"))).select("a", "b")
+    around = left.select("a", F.explode(runs(F.col("a"))).alias("t")).join(rarest(right, "b", own_runs, one, both_sides), "t").filter(F.col("a").contains(F.col("b"))).select("a", "b")
     pairs = shared.unionByName(inside).unionByName(around).distinct().withColumn("score", slug_score(F.col("a"), F.col("b"))).filter(F.col("score") >= threshold)
     firsts = files.groupBy(F.col(file_slug).alias("b")).agg(F.min(file).alias(file))
     best = pairs.join(firsts, "b").groupBy("a").agg(F.min(F.struct((-F.col("score")).alias("far"), F.col(file).alias("file"))).alias("best"))

@@ -32,7 +32,9 @@ def stratified(df: DataFrame, n: int, key: str, rating: str, text: str, source:
     order = hash_order(F.col(key), seed)
     inside = F.array_compact(F.array(*[F.when(test, F.struct(F.lit(k).alias("stratum"), F.lit(take).alias("take"))) for k, test, take in strata]))
     rows = df.withColumn("__in", F.explode(inside)).withColumns({"stratum": F.col("__in.stratum"), "__take": F.col("__in.take")}).drop("__in")
-    drawn = rows.withColumn("__n", F.row_number().over(Window.partitionBy("stratum").orderBy(order, key))).filter("__n <= __take")
+    # The literal bound lets each task keep so many rows a stratum before the shuffle.
+    most = max(take for _, _, take in strata)
+    drawn = rows.withColumn("__n", F.row_number().over(Window.partitionBy("stratum").orderBy(order, key))).filter(f"__n <= {most}").filter("__n <= __take")
     once = drawn.withColumn("__first", F.row_number().over(Window.partitionBy(key).orderBy("stratum"))).filter("__first = 1").drop("__n", "__take", "__first")
     return once.orderBy(order, key).limit(n)
 

@@ -49,6 +49,22 @@ def counted(*columns):
     return F.count(F.lit(1)).alias("n")
 
 
+def say(*parts):
+    """Texts and columns, one after the other."""
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+
+def varied(forms: tuple[str | None, ...], which, value):
+    """The ``which``-th of some texts, '{k}' in it replaced by ``value``."""
+    return F.replace(F.get(F.array(*[F.lit(f) for f in forms]), F.pmod(which, F.lit(len(forms))).cast("int")), F.lit("{k}"), value.cast("string"))
+
+
+def sql_varied(forms: tuple[str | None, ...], which: str, value: str) -> str:
+    """``varied`` in SQL."""
+    texts = ", ".join("NULL" if f is None else "'" + f.replace("'", "''") + "'" for f in forms)
+    return f"replace(list_extract([{texts}], (({which}) % {len(forms)} + 1)::INT), '{{k}}', ({value})::VARCHAR)"
+
+
 #: SQL for text functions that several queries use.
 WORDS = r"len([w for w in string_split_regex(coalesce(text, ''), '\s+') if w <> ''])"
 SLUG = "regexp_replace(regexp_replace(lower({0}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
@@ -105,10 +121,11 @@ def p11_id_list(spark, sf):
 # ---- joins ----
 
 
-@query("SELECT l_orderkey, l_linenumber, p_name AS part_p_name, p_partkey IS NOT NULL AS matched FROM lineitem LEFT JOIN part ON l_partkey = p_partkey AND p_size < 40")
+@query("SELECT l_orderkey, l_linenumber, p_name AS part_p_name, p_partkey IS NOT NULL AS matched FROM lineitem LEFT JOIN part ON l_partkey = p_partkey * 2")
 def j1_many_to_one(spark, sf):
+    """Odd keys find no part."""
     t = Tables(spark, sf)
-    right = project.prefixed(t.part.filter("p_size < 40").select(c("p_partkey").alias("l_partkey"), "p_name"), "part_", ["l_partkey"])
+    right = project.prefixed(t.part.select((c("p_partkey") * 2).alias("l_partkey"), "p_name"), "part_", ["l_partkey"])
     return joins.many_to_one(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), right, ["l_partkey"]).drop("l_partkey")
 
 
@@ -131,10 +148,10 @@ def j4_anti_and_semi(spark, sf):
     return joins.not_in(have, log, ["c_custkey"]).withColumn("what", F.lit("absent")).unionByName(joins.only_in(have, log, ["c_custkey"]).withColumn("what", F.lit("present")))
 
 
-@query("SELECT p_partkey, CASE WHEN p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45) THEN 'yes' ELSE 'no' END AS sold FROM part")
+@query("SELECT p_partkey, CASE WHEN p_partkey IN (SELECT l_partkey * 3 FROM lineitem) THEN 'yes' ELSE 'no' END AS sold FROM part")
 def j5_flag(spark, sf):
     t = Tables(spark, sf)
-    return joins.with_flag(t.part.select("p_partkey"), t.lineitem.filter("l_quantity > 45").select(c("l_partkey").alias("p_partkey")), "p_partkey", "sold", "yes", "no")
+    return joins.with_flag(t.part.select("p_partkey"), t.lineitem.select((c("l_partkey") * 3).alias("p_partkey")), "p_partkey", "sold", "yes", "no")
 
 
 @query(f"""WITH f AS (SELECT {SLUG.format("c_name")} AS name, min(c_name) AS file FROM customer GROUP BY 1)
@@ -224,10 +241,10 @@ def w4_keep_last(spark, sf):
     return dedupe.keep_last(Tables(spark, sf).events.select("user_id", "event_id", "event_type"), ["user_id"], ["event_id"])
 
 
-@query("SELECT o_custkey, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O' UNION ALL SELECT o_custkey, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F' AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')")
+@query("SELECT o_custkey, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'P' UNION ALL SELECT o_custkey, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P' AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def w5_append_unseen(spark, sf):
     o = Tables(spark, sf).orders.select("o_custkey", "o_orderkey", "o_orderstatus")
-    return dedupe.append_unseen(o.filter("o_orderstatus = 'O'"), o.filter("o_orderstatus = 'F'"), ["o_custkey"])
+    return dedupe.append_unseen(o.filter("o_orderstatus = 'P'"), o.filter("o_orderstatus <> 'P'"), ["o_custkey"])
 
 
 @query("SELECT o_custkey, arg_max(o_orderkey, o_orderkey) AS o_orderkey, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus FROM orders GROUP BY 1")
@@ -236,10 +253,10 @@ def w6_last_wins(spark, sf):
     return dedupe.first_value_by(o, ["o_custkey"], "ord", last=True).drop("ord")
 
 
-@query("SELECT o_custkey, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_custkey, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O' AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
+@query("SELECT o_custkey, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'P' UNION ALL SELECT o_custkey, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P' AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def w7_upsert(spark, sf):
     o = Tables(spark, sf).orders.select("o_custkey", "o_orderkey", "o_orderstatus")
-    return dedupe.upsert(o.filter("o_orderstatus = 'O'"), o.filter("o_orderstatus = 'F'"), ["o_custkey"])
+    return dedupe.upsert(o.filter("o_orderstatus <> 'P'"), o.filter("o_orderstatus = 'P'"), ["o_custkey"])
 
 
 @query("SELECT l_orderkey, l_linenumber, dense_rank() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber // 2) AS page FROM lineitem")
@@ -255,10 +272,11 @@ def w10_dense_offsets(spark, sf):
     return o.select("o_orderkey", F.array_join(own.cast("array<string>"), ",").alias("offsets"))
 
 
-@query("SELECT l_orderkey, count(*) AS n, min(l_linenumber - 1) = 0 AND max(l_linenumber - 1) = count(*) - 1 AND count(DISTINCT l_linenumber) = count(*) AS contiguous FROM lineitem WHERE l_quantity > 5 GROUP BY 1")
+@query("SELECT l_orderkey, count(*) AS n, min(p) = 0 AND max(p) = count(*) - 1 AND count(DISTINCT p) = count(*) AS contiguous FROM (SELECT l_orderkey, l_linenumber - 1 + CASE WHEN l_orderkey % 3 = 0 AND l_linenumber > 2 THEN l_orderkey % 2 ELSE 0 END AS p FROM lineitem) GROUP BY 1")
 def w12_q5_contiguity(spark, sf):
-    df = Tables(spark, sf).lineitem.filter("l_quantity > 5").withColumn("p", c("l_linenumber") - 1)
-    return dedupe.contiguity(df, ["l_orderkey"], "p").select("l_orderkey", "n", "contiguous")
+    """Positions of some orders leave one out."""
+    p = c("l_linenumber") - 1 + F.when((c("l_orderkey") % 3 == 0) & (c("l_linenumber") > 2), c("l_orderkey") % 2).otherwise(0)
+    return dedupe.contiguity(Tables(spark, sf).lineitem.withColumn("p", p), ["l_orderkey"], "p").select("l_orderkey", "n", "contiguous")
 
 
 @query("WITH p AS (SELECT DISTINCT o_orderpriority AS job, o_custkey AS k FROM orders), f AS (SELECT k, min(job) AS job FROM p GROUP BY 1), n AS (SELECT job, count(*) AS new FROM f GROUP BY 1), o AS (SELECT job, count(*) AS on_page FROM p GROUP BY 1) SELECT o.job, on_page, coalesce(new, 0) AS new_vs_prior, sum(coalesce(new, 0)) OVER (ORDER BY o.job)::BIGINT AS total_so_far FROM o LEFT JOIN n ON o.job = n.job")
@@ -441,11 +459,20 @@ def f6_f8_names(spark, sf):
     return Tables(spark, sf).customer.select("c_custkey", F.replace(name, F.lit("#"), F.lit("")).alias("file"), text.sanitize_file_name(F.lit("Reviews of?")).alias("fallback"))
 
 
-@query("SELECT o_orderkey, date_trunc('minute', o_orderdate) AS at, strftime(o_orderdate, '%Y-%m-%d') AS day, strftime(o_orderdate, '%Y-%m') AS month, true AS well_formed, NULL::TIMESTAMP AS bad FROM orders")
+#: Dates as forums write them, and as they don't; {k} is the date itself.
+DATES = ("{k}", "  {k} ", "Xyz {k}", "{k} x", "Fri Feb 31, 2012 2:19 pm", "Sat {k}", "", None, "mon apr 9, 2012 12:00 am", "Thu Apr 19 2012 2:19 pm", "Thursday Apr 19, 2012 2:19 pm", "Thu Apr 19, 2012 14:19")
+DATED = sql_varied(DATES, "o_orderkey * 7 + o_custkey", "strftime(ts0, '%a %b %-d, %Y %-I:%M ') || lower(strftime(ts0, '%p'))")
+
+
+@query(f"""WITH o AS (SELECT *, o_orderdate + to_minutes(o_orderkey * 37 % 1440) AS ts0 FROM orders), s AS (SELECT o_orderkey, {DATED} AS said FROM o),
+    p AS (SELECT *, CASE WHEN regexp_matches(trim(said), '(?i)^(mon|tue|wed|thu|fri|sat|sun)\\s') THEN try_strptime(regexp_replace(trim(said), '(?i)^(mon|tue|wed|thu|fri|sat|sun)\\s+', ''), '%b %-d, %Y %-I:%M %p') END AS ts1 FROM s)
+    SELECT o_orderkey, ts1 AS "at", strftime(ts1, '%Y-%m-%d') AS day, strftime(ts1, '%Y-%m') AS month, regexp_full_match(coalesce(said, ''), '[A-Z][a-z][a-z] [A-Z][a-z][a-z] [0-9][0-9]?, [0-9][0-9][0-9][0-9] [0-9][0-9]?:[0-9][0-9] (am|pm)') AS well_formed FROM p""")
 def d1_d2_d3_forum_dates(spark, sf):
-    said = F.concat(F.date_format("o_orderdate", "EEE MMM d, yyyy h:mm "), F.lower(F.date_format("o_orderdate", "a")))
-    at = dates.forum_date(said)
-    return Tables(spark, sf).orders.select("o_orderkey", at.alias("at"), dates.day(at).alias("day"), dates.month(at).alias("month"), dates.well_formed(said).alias("well_formed"), dates.forum_date(F.lit("Fri Feb 31, 2012 2:19 pm")).alias("bad"))
+    at = c("o_orderdate") + F.make_dt_interval(mins=(c("o_orderkey") * 37 % 1440).cast("int"))
+    written = F.concat(F.date_format(at, "EEE MMM d, yyyy h:mm "), F.lower(F.date_format(at, "a")))
+    rows = Tables(spark, sf).orders.select("o_orderkey", varied(DATES, c("o_orderkey") * 7 + c("o_custkey"), written).alias("said"))
+    read = dates.forum_date(c("said"))
+    return rows.select("o_orderkey", read.alias("at"), dates.day(read).alias("day"), dates.month(read).alias("month"), dates.well_formed(c("said")).alias("well_formed"))
 
 
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k, NULL::VARCHAR AS name FROM events")
@@ -503,25 +530,36 @@ def c2_c3_triggers(spark, sf):
     return phrases(Tables(spark, sf)).select("doc_id", F.array_join(classify.triggers(c("text")), ",").alias("fired"), classify.contrasts_dishes(c("text")).alias("contrast"))
 
 
-CATALOGUE = ("/drugs/x-1", "/drugs/x/y", "/drugs-all-medicines", "/otc/x", "/cancer-care/x", "/", "/generics/a", "/marketer/b", "/labs/t", "/doctors/d", "/categories/e", "/drug-store/f", "/drugs-therapeutic-classes/g")
-CLASSES = ("drug_page", "drugs_other", "drugs_listing", "otc_page", "cancer_care", "other", "generic_page", "marketer", "labs", "doctors", "categories", "drug_store_page", "drugs_listing")
-KINDS = ("misc", "misc", "category", "product", "misc", "misc", "generic", "marketer", "lab", "doctor", "category", "product", "category")
+#: Addresses of the catalogue and others, whole and broken.
+CATALOGUE = (
+    "https://h.org/drugs/x-{k}", "https://h.org/drugs/x/y{k}?q=1", "/drugs-all-medicines", "https://h.org/drugs-therapeutic-classes/g{k}", "https://h.org/otc/p{k}?q=1#a", "/otc/a/{k}", "https://h.org/cancer-care/{k}", "https://h.org/", "", "not an address {k}",
+    "/generics/a{k}", "/generics", "//h.org/marketer/b{k}", "/labs/t/{k}", "/doctors/d", "/categories/{k}/x", "/drug-store/f{k}", "/Drugs/{k}", "https://h.org", "https://h.org/drugs/", "https://h.org//drugs//x{k}/", " https://h.org/otc/x{k} ",
+)
+URLED = sql_varied(CATALOGUE, "o_orderkey * 7 + o_custkey", "o_custkey")
+PARTS = r"[p for p in string_split(regexp_extract(trim(url), '^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)', 3), '/') if p <> '']"
 
 
-@query(f"SELECT o_orderkey, list_extract({list(CLASSES)}, (o_orderkey % 13 + 1)::INT) AS counted, list_extract({list(KINDS)}, (o_orderkey % 13 + 1)::INT) AS crawled FROM orders")
+@query(f"""WITH u AS (SELECT o_orderkey, {URLED} AS url FROM orders), p AS (SELECT o_orderkey, {PATH} AS path, {PARTS} AS parts FROM u)
+    SELECT o_orderkey, CASE WHEN len(parts) = 0 THEN 'other' WHEN len(parts) = 2 AND parts[1] = 'drugs' THEN 'drug_page' WHEN len(parts) = 2 AND parts[1] = 'generics' THEN 'generic_page' WHEN len(parts) = 2 AND parts[1] = 'otc' THEN 'otc_page'
+        WHEN len(parts) = 2 AND parts[1] = 'drug-store' THEN 'drug_store_page' WHEN starts_with(parts[1], 'drugs-') THEN 'drugs_listing' WHEN parts[1] = 'drugs' THEN 'drugs_other' ELSE replace(parts[1], '-', '_') END AS counted,
+    CASE WHEN regexp_matches(path, '^/(otc|drug-store)/') THEN 'product' WHEN starts_with(path, '/generics/') THEN 'generic' WHEN regexp_matches(path, '^(/categories/|/drugs-therapeutic-classes|/drugs-all-medicines$)') THEN 'category'
+        WHEN starts_with(path, '/marketer/') THEN 'marketer' WHEN starts_with(path, '/labs/') THEN 'lab' WHEN starts_with(path, '/doctors/') THEN 'doctor' ELSE 'misc' END AS crawled FROM p""")
 def c4_c5_catalogue_urls(spark, sf):
-    url = F.concat(F.lit("https://h.org"), F.get(F.array(*[F.lit(p) for p in CATALOGUE]), (c("o_orderkey") % 13).cast("int")), F.lit("?q=1"))
-    return Tables(spark, sf).orders.select("o_orderkey", classify.catalogue_class(url).alias("counted"), classify.crawl_kind(url).alias("crawled"))
+    rows = Tables(spark, sf).orders.select("o_orderkey", varied(CATALOGUE, c("o_orderkey") * 7 + c("o_custkey"), c("o_custkey")).alias("url"))
+    return rows.select("o_orderkey", classify.catalogue_class(c("url")).alias("counted"), classify.crawl_kind(c("url")).alias("crawled"))
 
 
-STATUS = "CASE WHEN k % 5 = 0 THEN 'bad_url_delivery_dish' WHEN k % 3 = 0 THEN 'not_processed' WHEN k % 7 = 0 THEN 'processed_no_csv_match' WHEN k % 4 - 1 < 0 THEN 'csv_read_error' WHEN k % 4 - 1 = 0 THEN 'no_dining_reviews' ELSE 'has_reviews' END"
+LISTINGS = ("https://h.org/c/x{k}/info", "https://h.org/c/x{k}/delivery/dish-{k}", "https://h.org/c/x{k}/order", "https://h.org/c/x{k}/delivery/1", "https://h.org/C/X{k}/Delivery/Dish/2", "", None, "https://h.org/x/ORDER?p={k}", "https://h.org/x/info?{k}")
+LISTED = sql_varied(LISTINGS, "o_custkey * 5 + o_orderkey", "o_custkey")
+KIND = "CASE WHEN l LIKE '%/delivery/dish-%' OR l LIKE '%/delivery/dish/%' THEN 'delivery_dish' WHEN l LIKE '%/order' OR l LIKE '%/order?%' THEN 'order' WHEN l LIKE '%/info' OR l LIKE '%/info?%' THEN 'info' WHEN l LIKE '%/delivery/%' THEN 'delivery_other' ELSE 'other' END"
 
 
-@query(f"SELECT status, count(*) AS n FROM (SELECT {STATUS} AS status FROM (SELECT o_orderkey AS k FROM orders)) GROUP BY 1")
+@query(f"""WITH r AS (SELECT *, lower(coalesce({LISTED}, '')) AS l, o_orderstatus <> 'O' AS done, o_custkey % 7 > 1 AS matched, o_orderkey % 5 - 1 AS reviews FROM orders), k AS (SELECT *, {KIND} AS kind FROM r)
+    SELECT o_orderkey, kind, CASE WHEN kind = 'delivery_dish' THEN 'bad_url_delivery_dish' WHEN NOT done THEN 'not_processed' WHEN NOT matched THEN 'processed_no_csv_match' WHEN reviews < 0 THEN 'csv_read_error' WHEN reviews = 0 THEN 'no_dining_reviews' ELSE 'has_reviews' END AS status FROM k""")
 def c7_coverage_status(spark, sf):
-    k = c("o_orderkey")
-    status = classify.coverage_status(F.when(k % 5 == 0, "delivery_dish").otherwise("info"), k % 3 != 0, k % 7 != 0, k % 4 - 1)
-    return Tables(spark, sf).orders.groupBy(status.alias("status")).agg(counted())
+    kind = classify.listing_type(varied(LISTINGS, c("o_custkey") * 5 + c("o_orderkey"), c("o_custkey")))
+    rows = Tables(spark, sf).orders.withColumn("kind", kind)
+    return rows.select("o_orderkey", "kind", classify.coverage_status(c("kind"), c("o_orderstatus") != "O", c("o_custkey") % 7 > 1, c("o_orderkey") % 5 - 1).alias("status"))
 
 
 # ---- addresses, cells and pages made of the tables' rows ----
@@ -547,25 +585,36 @@ def f5_f9_f14_f27_f29_x14_addresses(spark, sf):
     )
 
 
-@query("""SELECT event_id, '{"k":' || (event_id % 3) || '}' AS cell, '' AS empty_cell, 'shown ' || event_id AS shown, 'N' || event_id AS author, 'a|' || event_id AS strings FROM events""")
+BLOCKS = ('[{"x":1},{"display_text":""},{"displayText":"shown {k}"}]', "[]", "null", '[{"display_text":"first {k}","displayText":"other"},{"display_text":"b"}]', "broken {k}", "", '[{"x":{k}}]', '[{"displayText":null},{"display_text":" <b>{k}</b> "}]')
+AUTHORS = ('{"authors":[{"role":"Reviewed By","name":"x"},{"role":" Written By ","name":" N{k} ","qualifications":"MD {k}"}]}', '{"authors":[]}', "[]", '{"authors":[{"role":"Written By"}]}', "{", '{"authors":[{"role":"written by","name":"{k}"}]}', '{"authors":[{"name":"a"},{"role":"Written By","name":"{k}"},{"role":"Written By","name":"second"}]}')
+NESTED = ('{"a":["a",{"b":"{k}"}],"c":1}', '["{k}",["x",[null,true,"y\\u00e9"]]]', '"only {k}"', "{k}", "{}", "not {k}", '{"a":"","b":{"c":{"d":"deep {k}"}}}')
+STRINGS = ("a|{k}", "{k}|x|yé", "only {k}", "", "", "", "|deep {k}")
+SHOWN = "coalesce(list_filter([coalesce(nullif(json_extract_string(b, '$.display_text'), ''), json_extract_string(b, '$.displayText')) for b in from_json(CASE WHEN json_valid(blocks) AND starts_with(blocks, '[') THEN blocks ELSE '[]' END, '[\"JSON\"]')], lambda x: coalesce(x, '') <> '')[1], '')"
+WRITER = "list_filter(from_json(CASE WHEN json_valid(authors) AND starts_with(authors, '{{') THEN coalesce(json_extract(authors, '$.authors'), '[]') ELSE '[]' END, '[\"JSON\"]'), lambda x: trim(json_extract_string(x, '$.role')) = 'Written By')[1]".replace("{{", "{")
+
+
+@query(f"""WITH e AS (SELECT event_id, event_id % 3 AS k, user_id, {sql_varied(BLOCKS, "event_id * 3 + user_id", "event_id")} AS blocks, {sql_varied(AUTHORS, "event_id + user_id", "event_id")} AS authors, {sql_varied(STRINGS, "event_id * 5 + user_id", "user_id")} AS strings FROM events)
+    SELECT event_id, CASE WHEN k = 0 THEN '' WHEN k = 1 THEN '{{"u":' || user_id || ',"l":[' || event_id || ']}}' ELSE '{{"u":' || user_id || '}}' END AS cell, {SHOWN} AS shown,
+    coalesce(trim(json_extract_string({WRITER}, '$.name')), '') AS author, coalesce(trim(json_extract_string({WRITER}, '$.qualifications')), '') AS qualifications, strings FROM e""")
 def n2_n4_n5_n7_cells(spark, sf):
-    k = c("event_id").cast("string")
-    say = lambda *parts: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
-    return Tables(spark, sf).events.select(
+    e = Tables(spark, sf).events
+    cell = F.when(c("event_id") % 3 > 0, F.struct(c("user_id").alias("u"), F.when(c("event_id") % 3 == 1, F.array("event_id")).alias("l")))
+    writer = jsons.author_with_role(varied(AUTHORS, c("event_id") + c("user_id"), c("event_id")), "Written By")
+    return e.select(
         "event_id",
-        jsons.json_cell(F.struct((c("event_id") % 3).alias("k"))).alias("cell"),
-        jsons.json_cell(F.lit(None).cast("array<string>")).alias("empty_cell"),
-        jsons.first_display_text(say('[{"x":1},{"display_text":""},{"displayText":"shown ', k, '"}]')).alias("shown"),
-        jsons.author_with_role(say('{"authors":[{"role":"Reviewed By","name":"x"},{"role":" Written By ","name":" N', k, ' "}]}'), "Written By")["name"].alias("author"),
-        F.array_join(jsons.json_strings(say('{"a":["a",{"b":"', k, '"}],"c":1}')), "|").alias("strings"),
+        jsons.json_cell(cell).alias("cell"),
+        jsons.first_display_text(varied(BLOCKS, c("event_id") * 3 + c("user_id"), c("event_id"))).alias("shown"),
+        writer["name"].alias("author"),
+        writer["qualifications"].alias("qualifications"),
+        F.array_join(jsons.json_strings(varied(NESTED, c("event_id") * 5 + c("user_id"), c("user_id"))), "|").alias("strings"),
     )
 
 
-@query("SELECT o_orderkey, coalesce(c_name, 'nobody') AS c_name, coalesce(c_acctbal, 0.0) AS c_acctbal FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 1000) ON o_custkey = c_custkey")
+@query("SELECT o_orderkey, coalesce(c_name, 'nobody') AS c_name, coalesce(c_acctbal, 0.0) AS c_acctbal FROM orders LEFT JOIN customer ON o_custkey = c_custkey * 2")
 def j8_lookup_with_defaults(spark, sf):
     t = Tables(spark, sf)
-    rich = t.customer.filter("c_acctbal > 1000").withColumnRenamed("c_custkey", "o_custkey")
-    return joins.with_defaults(t.orders.select("o_orderkey", "o_custkey"), rich, "o_custkey", {"c_name": "nobody", "c_acctbal": 0.0}).drop("o_custkey")
+    even = t.customer.withColumn("o_custkey", c("c_custkey") * 2)
+    return joins.with_defaults(t.orders.select("o_orderkey", "o_custkey"), even, "o_custkey", {"c_name": "nobody", "c_acctbal": 0.0}).drop("o_custkey")
 
 
 @query("""SELECT conv_id, turn + 10 AS post_id, 'Re: ' || conv_id AS title, role AS author, 'https://h.org/forum/member/' || role AS author_profile_url, trim(text, ' ' || chr(10)) AS body_text, conv_id::VARCHAR AS age, 1 AS attachments, 'Thu Apr 19, 2012 2:19 pm' AS posted_at FROM conversations""")
@@ -652,18 +701,37 @@ def v3_enum_violations(spark, sf):
     return nested.enum_violations(drafts(Tables(spark, sf)), "event_id", "document", domain)
 
 
-@query("SELECT 'service' AS section, 'enum_violation' AS mode, count(*) AS n FROM events UNION ALL SELECT 'dishes', 'missing_required', count(*) FROM events")
+#: Validation messages: one block or more, with and without a readable detail.
+MESSAGES = (
+    "service.noise\n  Input should be 'a', 'b' or 'c' [type=enum, input_value='z{k}', input_type=str]\ndishes.{k}.name\n  Field required [type=missing, input_value={}, input_type=dict]",
+    "pydantic_validation: 2 errors\nbar\n  Input should be a valid dictionary or instance of Bar [type=model_type, input_value='none{k}', input_type=str]",
+    "context.group_size_exact\n  Input should be a valid integer [type=int_parsing, input_value='{k}', input_type=str]",
+    "value\n  something else went wrong {k}",
+    "",
+    "no block at all: {k}",
+    "a_b.c[0].d\n  Input should be 'x{k}' [type=enum, input_value=None, input_type=NoneType]\nz\n  bad",
+)
+DETAIL = r"\[type=([a-z_]+),\s+input_value=(.*?),\s+input_type="
+
+
+@query(f"""WITH m AS (SELECT event_id, string_split({sql_varied(MESSAGES, "event_id * 3 + user_id", "user_id")}, chr(10)) AS l FROM events), b AS (SELECT event_id, l, unnest(range(1, len(l) + 1)) AS i FROM m),
+    d AS (SELECT event_id, l[i] AS path, coalesce(l[i + 1], '') AS detail FROM b WHERE trim(l[i]) <> '' AND NOT starts_with(l[i], 'pydantic_validation') AND (i = 1 OR i < len(l) AND regexp_full_match(l[i], '[a-zA-Z_][a-zA-Z0-9_.]*'))), k AS (SELECT *, coalesce(nullif(regexp_extract(detail, '{DETAIL}', 1), ''), 'unknown') AS kind FROM d)
+    SELECT event_id, path, kind, nullif(regexp_extract(detail, '{DETAIL}', 2), '') AS value, array_to_string(regexp_extract_all(regexp_extract(detail, 'Input should be\\s+(.*?)\\s+\\[type=', 1), chr(39) || '([^' || chr(39) || ']+)' || chr(39), 1), ',') AS allowed,
+    regexp_extract(path, '^[^.\\[]*') AS section, CASE kind WHEN 'enum' THEN 'enum_violation' WHEN 'model_type' THEN 'shape_error' WHEN 'missing' THEN 'missing_required' ELSE 'other_validation' END AS mode FROM k""")
 def v4_c10_warnings(spark, sf):
-    message = "service.noise\n  Input should be 'a', 'b' or 'c' [type=enum, input_value='z', input_type=str]\ndishes.0.name\n  Field required [type=missing, input_value={}, input_type=dict]"
-    w = Tables(spark, sf).events.select(F.explode(nested.warnings(F.concat(F.lit(message), F.lit("")))).alias("w"))
-    return w.groupBy("w.section", "w.mode").agg(counted())
+    e = Tables(spark, sf).events
+    rows = e.select("event_id", F.explode(nested.warnings(varied(MESSAGES, c("event_id") * 3 + c("user_id"), c("user_id")))).alias("w"))
+    return rows.select("event_id", "w.path", "w.kind", "w.value", F.array_join("w.allowed", ",").alias("allowed"), "w.section", "w.mode")
+
+
+DOCUMENTS = ('{"_error":"x{k}"}', '{"_parse_error":"y","a":1}', "{}", '{"a":{k}}', "[1]", "null", "not {k}", "", None, '{"a":null,"_error":null}', ' {"b":[]} ', '{"_error":1,"_parse_error":{k}}')
 
 
-@query("SELECT kind, count(*) AS n FROM (SELECT list_extract(['api_error', 'parse_error', 'empty', 'extracted'], (event_id % 4 + 1)::INT) AS kind FROM events) GROUP BY 1")
+@query(f"""WITH e AS (SELECT event_id, {sql_varied(DOCUMENTS, "event_id * 5 + user_id", "event_id")} AS d FROM events), k AS (SELECT event_id, CASE WHEN json_valid(d) AND json_type(d) = 'OBJECT' THEN json_keys(d) ELSE [] END AS keys FROM e)
+    SELECT event_id, CASE WHEN list_contains(keys, '_error') THEN 'api_error' WHEN list_contains(keys, '_parse_error') THEN 'parse_error' WHEN len(keys) = 0 THEN 'empty' ELSE 'extracted' END AS kind FROM k""")
 def v6_record_class(spark, sf):
-    docs = F.array(*[F.lit(x) for x in ('{"_error":"x"}', '{"_parse_error":"y"}', "{}", '{"a":1}')])
-    e = Tables(spark, sf).events.select(F.get(docs, (c("event_id") % 4).cast("int")).alias("document"))
-    return e.groupBy(nested.record_class(c("document")).alias("kind")).agg(counted())
+    e = Tables(spark, sf).events
+    return e.select("event_id", nested.record_class(varied(DOCUMENTS, c("event_id") * 5 + c("user_id"), c("event_id"))).alias("kind"))
 
 
 @query("SELECT event_id, '3' AS version, list_extract(['', 'bar_quality_signal'], (event_id % 2 + 1)::INT) AS fired, 'one_liner' AS effort FROM events")
@@ -705,10 +773,10 @@ def q2_q3_unique_ids(spark, sf):
     return audit.unique_ids(Tables(spark, sf).lineitem, ["l_partkey", "l_suppkey"])
 
 
-@query("SELECT k, 'unaccounted' AS what FROM (SELECT c_custkey AS k FROM customer EXCEPT (SELECT o_custkey FROM orders UNION SELECT user_id FROM events)) UNION ALL SELECT k, 'extra' FROM (SELECT o_custkey AS k FROM orders EXCEPT SELECT c_custkey FROM customer)")
+@query("SELECT k, 'unaccounted' AS what FROM (SELECT c_custkey AS k FROM customer EXCEPT (SELECT o_custkey * 2 FROM orders UNION SELECT user_id * 3 FROM events)) UNION ALL SELECT k, 'extra' FROM (SELECT o_custkey * 2 AS k FROM orders EXCEPT SELECT c_custkey FROM customer)")
 def q4_coverage(spark, sf):
     t = Tables(spark, sf)
-    return audit.coverage(t.customer.select(c("c_custkey").alias("k")), t.orders.select(c("o_custkey").alias("k")), t.events.select(c("user_id").alias("k")), "k")
+    return audit.coverage(t.customer.select(c("c_custkey").alias("k")), t.orders.select((c("o_custkey") * 2).alias("k")), t.events.select((c("user_id") * 3).alias("k")), "k")
 
 
 @query("SELECT count(*) AS checked, count(*) FILTER (trim(coalesce(text, '')) = '') AS empty, round(100.0 * count(*) FILTER (trim(coalesce(text, '')) = '') / greatest(count(*), 1), 3) AS empty_percent FROM conversations")
@@ -754,15 +822,10 @@ def i4_retryable(spark, sf):
     return ingest.retryable(log, "k", "event_id")
 
 
-@query("WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey AS s, l_partkey * 2 AS d FROM lineitem WHERE l_quantity > 40), f AS (SELECT 1 AS u UNION SELECT d FROM f JOIN e ON s = u) SELECT u::VARCHAR AS url FROM f")
+@query("WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey AS s, l_partkey * 3 + 1 AS d FROM lineitem), f AS (SELECT unnest([1, 2, 3, 5]) AS u UNION SELECT d FROM f JOIN e ON s = u) SELECT u::VARCHAR AS url FROM f")
 def i6_crawl(spark, sf):
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="siltstone-"))
-    links = Tables(spark, sf).lineitem.filter("l_quantity > 40").select(c("l_orderkey").cast("string").alias("src"), (c("l_partkey") * 2).cast("string").alias("dst"))
-    return ingest.crawl(links, ["1"]).select("url")
+    links = Tables(spark, sf).lineitem.select(c("l_orderkey").cast("string").alias("src"), (c("l_partkey") * 3 + 1).cast("string").alias("dst"))
+    return ingest.crawl(links, ["1", "2", "3", "5"]).select("url")
 
 
 @query("SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
@@ -842,6 +905,17 @@ def plan_review_signals(spark, sf):
     return pipelines.review_signals(phrases(Tables(spark, sf)), c("text")).select("doc_id", "review_effort_signal", F.array_join("t2_triggers_fired", ",").alias("fired"), "description_len")
 
 
-@query(f"SELECT DISTINCT 'https://ththan.example.com' || {PATH} AS url FROM pages WHERE {HOST} = 'ththan.example.com' AND regexp_matches({PATH}, '^/drugs/')")
+SECTIONS = {"/en/": "/drugs/", "/fr/": "/otc/", "/de/": "/search/"}
+SECTIONED = "replace(replace(replace(url, '/en/', '/drugs/'), '/fr/', '/otc/'), '/de/', '/search/')"
+
+
+@query(f"SELECT DISTINCT 'https://ththan.example.com' || {PATH} AS url FROM (SELECT replace({SECTIONED}, 'blog.', '') AS url FROM pages WHERE page_id % 3 = 0) WHERE {HOST} = 'ththan.example.com' AND regexp_matches({PATH}, '^/(drugs|otc)/') UNION SELECT DISTINCT 'https://ththan.example.com' || {PATH} FROM (SELECT regexp_replace({SECTIONED}, '//[^/]*', '//THTHAN.example.com') AS url FROM pages WHERE page_id % 3 <> 0) WHERE regexp_matches({PATH}, '^/(drugs|otc)/')")
 def plan_catalogue_urls(spark, sf):
-    return pipelines.catalogue_urls(Tables(spark, sf).pages, "ththan.example.com", "url")
+    """Pages' addresses with languages as sections; two of three are moved to the site, the others keep their host."""
+    url = c("url")
+    for lang, section in SECTIONS.items():
+        url = F.replace(url, F.lit(lang), F.lit(section))
+    moved = F.when(c("page_id") % 3 != 0, F.regexp_replace(url, "//[^/]*", "//THTHAN.example.com")).otherwise(F.replace(url, F.lit("blog."), F.lit("")))
+    return pipelines.catalogue_urls(Tables(spark, sf).pages.select(moved.alias("loc")), "ththan.example.com")
+
+

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from siltstone.sources.shared import checkpointing
+
 #: Statuses after which a page isn't fetched again.
 TERMINAL = ("ok", "no_preloaded_state", "drug_not_found", "no_drug_info", "no_sku", "parse_error")
 
@@ -60,7 +62,7 @@ def crawl(links: DataFrame, start: list[str], most_pages: int | None = None, kee
     Where ``most_pages`` is given, at most so many are visited: nearest first, those of one hop by url. Each round's frontier is
     written to the checkpoint folder, and now and then the visited pages as a whole, so that plans don't grow with rounds.
     """
-    spark = links.sparkSession
+    spark = checkpointing(links.sparkSession)
     edges = links.select("src", "dst").distinct() if keep is None else links.filter(keep).select("src", "dst").distinct()
     frontier = spark.createDataFrame([(u, 0) for u in sorted(set(start))[:most_pages]], "url string, hop int")
     visited, size, hop = frontier, frontier.count(), 0
