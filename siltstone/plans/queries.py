@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from siltstone.functions import classify, dates, jsons, text, urls
 from siltstone.operators import aggregate, audit, dedupe, joins, nested, pages, project, sample
 from siltstone.plans import pipelines
+from siltstone.sources import readers, sinks
+from siltstone.sources.shared import shared_folder
 from siltstone.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -863,6 +865,153 @@ def z8_capped(spark, sf):
     return aggregate.capped(Tables(spark, sf).orders.select("o_custkey", "o_orderkey"), ["o_custkey"], ["o_orderkey"], 3)
 
 
+# ---- sources and sinks: tables are written to the shared folder and read back ----
+
+NA_SQL = ", ".join("'" + t + "'" for t in readers.NA)
+
+
+@query(f"SELECT doc_id, md5(CASE WHEN text NOT IN ({NA_SQL}) THEN text END) AS body, lang, n_chars FROM documents")
+def s1_k3_csv(spark, sf):
+    folder = shared_folder(spark, "csv")
+    sinks.csv(Tables(spark, sf).documents.select("doc_id", "text", "lang", "n_chars"), folder)
+    return readers.csv(spark, folder, "doc_id bigint, text string, lang string, n_chars bigint").select("doc_id", F.md5("text").alias("body"), "lang", "n_chars")
+
+
+@query(f"""SELECT 'Place ' || (p_partkey % 9) AS restaurant, 'a' || p_partkey AS author, p_name || chr(10) || '"' || p_type || '"' AS description, CASE WHEN p_partkey % 5 > 0 THEN p_size / 10.0 END AS rating, 'reviews' AS source FROM part""")
+def s2_s3_s4_k5_k11_review_files(spark, sf):
+    """Parts as reviews in one file a restaurant, beside a report that is none; ratings of some can't be read."""
+    rating = F.when(c("p_partkey") % 5 > 0, (c("p_size") / 10.0).cast("string")).otherwise("n. a.")
+    rows = Tables(spark, sf).part.select(say("Place ", c("p_partkey") % 9).alias("file"), say("a", c("p_partkey")).alias("Author"), F.lit("u").alias("Review URL"), say(c("p_name"), '\n"', c("p_type"), '"').alias("Description"), rating.alias("Rating"))
+    folder = shared_folder(spark, "reviews")
+    sinks.csv_files(rows.unionByName(rows.withColumn("file", F.lit("rescrape_summary"))), folder, "file")
+    return readers.review_folder(spark, folder, "reviews").select("restaurant", c("Author").alias("author"), c("Description").alias("description"), c("Rating").alias("rating"), "source")
+
+
+@query("SELECT CASE WHEN p_brand NOT LIKE '%1%' THEN p_name END AS p_name, NULL::VARCHAR AS made_up, p_partkey::VARCHAR AS p_partkey FROM part")
+def s5_fill_and_project(spark, sf):
+    """Columns in a declared order and type, missing ones null."""
+    df = Tables(spark, sf).part.select("p_partkey", F.when(~c("p_brand").contains("1"), c("p_name")).alias("p_name"), "p_size")
+    return project.coerced(df, {"p_name": "string", "made_up": "string", "p_partkey": "string"})
+
+
+@query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal, 2 AS copies FROM supplier")
+def k1_k2_parquet(spark, sf):
+    one, two = shared_folder(spark, "parquet"), shared_folder(spark, "parquet")
+    rows = Tables(spark, sf).supplier.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    sinks.parquet(rows, one)
+    sinks.parquet(rows, two, "snappy", by=["s_nationkey"])
+    both = spark.read.parquet(one).unionByName(spark.read.schema(rows.schema).parquet(two).select(rows.columns))
+    return both.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query("SELECT DISTINCT trim(url) AS line FROM pages WHERE trim(url) <> ''")
+def s8_k6_lines(spark, sf):
+    folder = shared_folder(spark, "lines")
+    sinks.sorted_lines(Tables(spark, sf).pages, "url", folder)
+    return readers.line_set(spark, folder)
+
+
+@query("SELECT o_custkey AS topic_id, 'error ' || max(o_orderkey) AS error, CASE WHEN max(o_orderkey) % 3 > 0 THEN 'https://h.org/t' || max(o_orderkey) END AS url FROM orders GROUP BY 1")
+def s9_failure_log(spark, sf):
+    """A line an order, in order, beside lines that are none; some lack their address."""
+    folder = shared_folder(spark, "failures")
+    line = F.when(c("o_orderkey") % 3 > 0, say(c("o_custkey"), "\terror ", c("o_orderkey"), "\thttps://h.org/t", c("o_orderkey"))).otherwise(say(c("o_custkey"), "\terror ", c("o_orderkey")))
+    lines = F.array(line, F.when(c("o_orderkey") % 11 == 0, F.lit("x\tno id")), F.when(c("o_orderkey") % 13 == 0, F.lit("")))
+    Tables(spark, sf).orders.orderBy("o_orderkey").select(F.explode(F.array_compact(lines)).alias("value")).write.text(folder)
+    return readers.failure_log(spark, folder)
+
+
+@query("SELECT trim(url) AS url FROM pages WHERE trim(url) LIKE 'https://%'")
+def s10_url_list(spark, sf):
+    folder = shared_folder(spark, "urls")
+    Tables(spark, sf).pages.select(say("  ", c("url")).alias("value")).write.text(folder)
+    return readers.url_list(spark, folder, "https://")
+
+
+@query("SELECT s_suppkey, s_name, s_acctbal, '{\"a\":' || s_nationkey || '}' AS document, 2 AS copies FROM supplier")
+def s11_k7_k8_json(spark, sf):
+    lines, report = shared_folder(spark, "ndjson"), shared_folder(spark, "json")
+    rows = Tables(spark, sf).supplier.select("s_suppkey", "s_name", "s_acctbal", F.struct(c("s_nationkey").alias("a")).alias("document"))
+    sinks.ndjson(rows, lines)
+    sinks.json_report(rows, report)
+    schema = "s_suppkey bigint, s_name string, s_acctbal double, document string"
+    both = spark.read.schema(schema).json(lines).unionByName(readers.json_documents(spark, report, schema))
+    return both.groupBy(*both.columns).agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query("SELECT DISTINCT trim(url) AS loc FROM pages WHERE page_id % 8 < 7 UNION SELECT trim(url) FROM pages WHERE page_id % 8 = 7 AND trim(url) LIKE 'http%'")
+def s12_sitemaps(spark, sf):
+    """Seven sitemaps of addresses and one plain list, below an index."""
+    folder = shared_folder(spark, "sitemaps")
+    plain = c("page_id") % 8 == 7
+    entry = F.when(plain, c("url")).otherwise(F.concat(F.lit("<url>\n<loc> "), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit(" </loc></url>")))
+    Tables(spark, sf).pages.select((c("page_id") % 8).alias("map"), entry.alias("value")).repartition("map").write.partitionBy("map").text(folder)
+    index = spark.range(8).select(F.lit("index").alias("map"), say("<sitemapindex><sitemap><loc>", c("id"), "</loc></sitemap></sitemapindex>").alias("value"))
+    index.coalesce(1).write.mode("append").partitionBy("map").text(folder)
+    return readers.sitemap_urls(spark, "index", lambda loc: f"{folder}/map={loc}")
+
+
+@query("SELECT page_id AS topic_id, page_id % 4 * 10 AS post_offset, md5(html || chr(10)) AS html FROM pages")
+def s13_k11_page_cache(spark, sf):
+    """Every page in a file of its own, named by topic and offset."""
+    folder = shared_folder(spark, "cache")
+    sinks.text_files(Tables(spark, sf).pages.select(say(c("page_id"), "/", c("page_id") % 4 * 10, ".html").alias("name"), "html"), folder, "name", "html")
+    return readers.page_cache(spark, folder).select("topic_id", "post_offset", F.md5("html").alias("html"))
+
+
+ANSWERS = (' {"x": {k}} ', "sorry {k}", None, "[{k}]", "", '{"y": "{k}"')
+
+
+@query(f"""WITH e AS (SELECT event_id, {sql_varied(ANSWERS, "event_id + user_id", "event_id")} AS a FROM events)
+    SELECT event_id, CASE WHEN a IS NULL THEN '{{"_error":"no answer"}}' WHEN json_valid(trim(a)) AND json_type(trim(a)) = 'OBJECT' THEN trim(a) ELSE '{{"_parse_error":' || to_json(a) || '}}' END AS extracted FROM e""")
+def s18_recorded_answers(spark, sf):
+    e = Tables(spark, sf).events
+    recorded = e.select("event_id", varied(ANSWERS, c("event_id") + c("user_id"), c("event_id")).alias("answer")).filter("answer is not null")
+    return readers.extracted(e.select("event_id", "event_type"), c("event_type"), recorded, "event_id").select("event_id", "extracted")
+
+
+@query("SELECT c_custkey, c_name, 'report' AS of FROM customer UNION ALL SELECT c_custkey, c_name, 'canvas' FROM customer")
+def k9_k10_reports(spark, sf):
+    """Every customer in a page and in a script, read back from their text."""
+    rows = Tables(spark, sf).customer.select("c_custkey", say("<", c("c_name"), "> & `${x}`").alias("c_name")).orderBy("c_custkey")
+    page = spark.createDataFrame([(sinks.html_report("Customers", rows.agg(F.count(F.lit(1)).alias("n")), rows),)], "page string")
+    cells = page.select(F.explode(F.regexp_extract_all("page", F.lit(r"<tr><td>(\d+</td><td>[^/]*?)</td></tr>"), F.lit(1))).alias("r"))
+    report = cells.select(F.substring_index("r", "<", 1).cast("bigint").alias("c_custkey"), text.unescape_html(F.substring_index("r", ">", -1)).alias("c_name"), F.lit("report").alias("of"))
+    script = spark.createDataFrame([(sinks.canvas(rows),)], "script string")
+    literal = F.regexp_extract("script", r"(?s)JSON\.parse\(`(.*)`\);", 1)
+    plain = F.regexp_replace(literal, r"\\([`$\\])", "$1")
+    canvas = script.select(F.explode(F.from_json(plain, "array<struct<c_custkey: bigint, c_name: string>>")).alias("r")).select("r.c_custkey", "r.c_name", F.lit("canvas").alias("of"))
+    shown = F.regexp_extract("c_name", r"^<(.*)> & `\$\{x\}`$", 1)
+    return report.unionByName(canvas).select("c_custkey", shown.alias("c_name"), "of")
+
+
+@query("SELECT event_id, event_type || '!' AS said, event_id % 2 AS run FROM events")
+def i2_i9_k4_appended_runs(spark, sf):
+    """Events come in two steps to a stream that goes on where it stood; each run is kept under its label."""
+    folder = shared_folder(spark, "appended")
+    events = Tables(spark, sf).events.select("event_id", "event_type")
+    for run in (0, 1):
+        events.filter(c("event_id") % 2 == run).write.mode("append").parquet(f"{folder}/in")
+        stream = ingest.file_stream(spark, f"{folder}/in", events.schema)
+        work = lambda batch: batch.select("event_id", F.concat("event_type", F.lit("!")).alias("said"))
+        ingest.append_batches(stream, work, f"{folder}/out", f"{folder}/state").awaitTermination()
+        ingest.labelled(spark.read.parquet(f"{folder}/out").filter(c("event_id") % 2 == run).select("event_id", "said"), str(run), f"{folder}/runs")
+    return spark.read.parquet(f"{folder}/runs").select("event_id", "said", c("run_label").cast("bigint").alias("run"))
+
+
+@query("SELECT o_custkey AS normalized_url, arg_min(o_orderkey, o_orderkey) AS link FROM orders WHERE o_orderstatus IN ('F', 'P') GROUP BY 1")
+def i5_by_report(spark, sf):
+    report = Tables(spark, sf).orders.select(c("o_custkey").alias("normalized_url"), c("o_orderkey").alias("link"), c("o_orderkey").alias("ord"), c("o_orderstatus").alias("coverage_status"))
+    return ingest.by_report(report, ["F", "P"]).select("normalized_url", "link")
+
+
+@query("WITH a AS (SELECT p_partkey, 'large' AS label FROM part WHERE p_size > 40 ORDER BY p_name, p_partkey LIMIT 1), b AS (SELECT p_partkey, 'cheap' AS label FROM part WHERE p_retailprice < 2000 AND p_partkey NOT IN (SELECT p_partkey FROM a) ORDER BY p_name, p_partkey LIMIT 1), d AS (SELECT p_partkey, 'any' AS label FROM part WHERE p_partkey NOT IN (SELECT p_partkey FROM a UNION SELECT p_partkey FROM b) ORDER BY p_name, p_partkey LIMIT 1) SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM d")
+def t7_showcase(spark, sf):
+    part = Tables(spark, sf).part.select("p_partkey", "p_name", "p_size", "p_retailprice")
+    shown = sample.showcase(part, "p_partkey", ["p_name", "p_partkey"], {"large": c("p_size") > 40, "cheap": c("p_retailprice") < 2000, "none": F.lit(None).cast("boolean"), "any": F.lit(True)})
+    return spark.createDataFrame([(r["p_partkey"], r["showcase_label"]) for r in shown], "p_partkey bigint, label string")
+
+
 # ---- pages and whole plans: no SQL says them, tests do ----
 
 

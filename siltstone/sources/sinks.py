@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions.text import escape_html, escape_template, sanitize_file_name
@@ -27,6 +28,33 @@ def csv_by_key(df: DataFrame, path: str, key: str) -> None:
     df.withColumn("file", sanitize_file_name(F.col(key))).write.mode("overwrite").partitionBy("file").option("header", True).csv(path)
 
 
+def renamed(spark: SparkSession, path: str, key: str, ending: str) -> None:
+    """The single part file of each folder ``key``=name below ``path`` becomes name + ``ending``; '/' in names makes folders. One rename a file, by the driver."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path
+    files = at(path).getFileSystem(conf)
+    for found in files.globStatus(at(f"{path}/{key}=*/part-*")):
+        folder = found.getPath().getParent()
+        goal = at(f"{path}/{unquote(folder.getName().removeprefix(f'{key}='))}{ending}")
+        files.mkdirs(goal.getParent())
+        files.rename(found.getPath(), goal)
+        files.delete(folder, True)
+
+
+def csv_files(df: DataFrame, path: str, key: str) -> None:
+    """One CSV file a key, named by it (made fit for files); the rows of a key are one task's."""
+    named = df.withColumn(key, sanitize_file_name(F.col(key)))
+    named.repartition(key).write.mode("overwrite").partitionBy(key).options(header=True, quote='"', escape='"', nullValue="", emptyValue="").csv(path)
+    renamed(df.sparkSession, path, key, ".csv")
+
+
+def text_files(df: DataFrame, path: str, name: str, body: str) -> None:
+    """One file a record, under ``name``: ``body`` and a line end."""
+    rows = df.select(F.col(name).alias("name"), F.coalesce(F.col(body), F.lit("")).alias("value"))
+    rows.write.mode("overwrite").partitionBy("name").text(path)
+    renamed(df.sparkSession, path, "name", "")
+
+
 def sorted_lines(df: DataFrame, column: str, path: str, one_file: bool = False) -> None:
     """The different texts of a column, sorted."""
     lines = df.select(F.col(column).cast("string").alias("value")).filter("value is not null").distinct().orderBy("value")
