@@ -73,7 +73,7 @@ def coverage_report(master: DataFrame, files: DataFrame, completed: DataFrame, c
     fuzzy = joins.fuzzy_slugs(open_, "id", "url_slug", slugged, "review_csv_file", "name", threshold)
     found = exact.unionByName(open_.join(fuzzy, "id", "left")).join(files.select("review_csv_file", "review_count"), "review_csv_file", "left")
     status = classify.coverage_status(F.col("url_type"), F.col("in_completed_log") == "yes", F.col("review_csv_file").isNotNull(), F.col("review_count"))
-    return found.select("id", "area_found", "restaurant_name", "master_rating", "cuisine", "price", "link", "normalized_url", "url_slug", "url_type", "in_completed_log", F.coalesce("review_csv_file", F.lit("")).alias("review_csv_file"), F.coalesce(F.format_string("%.2f", "score"), F.lit("")).alias("match_score"), F.coalesce("review_count", F.lit(0)).alias("review_count"), status.alias("coverage_status"))
+    return found.select("id", "area_found", "restaurant_name", "master_rating", "cuisine", "price", "link", "normalized_url", "url_slug", "url_type", "in_completed_log", F.coalesce("review_csv_file", F.lit("")).alias("review_csv_file"), F.coalesce(F.when(F.col("score").isNotNull(), F.format_string("%.2f", "score")), F.lit("")).alias("match_score"), F.coalesce("review_count", F.lit(0)).alias("review_count"), status.alias("coverage_status"))
 
 
 def review_signals(reviews: DataFrame, description: Column) -> DataFrame:

@@ -619,26 +619,38 @@ def j8_lookup_with_defaults(spark, sf):
     return joins.with_defaults(t.orders.select("o_orderkey", "o_custkey"), even, "o_custkey", {"c_name": "nobody", "c_acctbal": 0.0}).drop("o_custkey")
 
 
-@query("""SELECT conv_id, turn + 10 AS post_id, 'Re: ' || conv_id AS title, role AS author, 'https://h.org/forum/member/' || role AS author_profile_url, trim(text, ' ' || chr(10)) AS body_text, conv_id::VARCHAR AS age, 1 AS attachments, 'Thu Apr 19, 2012 2:19 pm' AS posted_at FROM conversations""")
+@query("""WITH t AS (SELECT *, conv_id % 5 AS k FROM conversations)
+    SELECT conv_id, turn + 10 AS post_id, CASE WHEN k = 1 THEN NULL ELSE 'Re: ' || conv_id END AS title, CASE WHEN k <> 2 THEN role END AS author, CASE WHEN k <> 2 THEN 'https://h.org/forum/member/' || role END AS author_profile_url,
+    CASE WHEN k = 3 THEN '' ELSE trim(text, ' ' || chr(10)) END AS body_text, CASE WHEN k <> 4 THEN conv_id::VARCHAR END AS age, CASE WHEN k = 3 THEN 0 WHEN turn % 2 = 0 THEN 2 ELSE 1 END AS attachments, CASE WHEN k <> 2 THEN 'Thu Apr ' || (turn + 1) || ', 2012 2:19 pm' END AS posted_at FROM t""")
 def x2_x3_x15_topic_pages(spark, sf):
-    """Each turn as a forum's topic page, read back."""
-    k = c("conv_id").cast("string")
-    html = F.concat(
-        *[p if not isinstance(p, str) else F.lit(p) for p in ('<div class="post" id="p', (c("turn") + 10).cast("string"), '"><dl class="postprofile"><dd><strong>Age:</strong> <b>', k, '</b></dd></dl><div class="postbody"><h3><a href="#x">Re: ', k, '</a></h3><p class="author">by <a href="./member/', c("role"), '">', c("role"), '</a> on Thu Apr 19, 2012 2:19 pm</p><div class="content">', text.escape_html(c("text")), '<img src="./styles/a.png"><img src="./b.png"></div></div></div>')]
-    )
-    rows = pages.topic_pages(Tables(spark, sf).conversations.select("conv_id", html.alias("html")), "html", "https://h.org/forum/", ["conv_id"])
+    """Each turn as a forum's topic page, read back; some lack the heading, the author line, the content or the profile."""
+    k, turn = c("conv_id") % 5, c("turn")
+    heading = F.when(k == 1, "").otherwise(say('<h3><a href="#x">Re: ', c("conv_id"), "</a></h3>"))
+    author = F.when(k == 2, "").otherwise(say('<p class="author">by <a href="./member/', c("role"), '">', c("role"), "</a> on Thu Apr ", turn + 1, ", 2012 2:19 pm</p>"))
+    files = F.when(turn % 2 == 0, '<a href="./download/file.php?id=1">f</a><a href="/other">o</a>').otherwise("")
+    content = F.when(k == 3, "").otherwise(say('<div class="content">', text.escape_html(c("text")), '<img src="./styles/a.png"><img src="./smilies/s.gif"><img src="./b.png"></div>', files))
+    profile = F.when(k == 4, "").otherwise(say('<dl class="postprofile"><dt>x</dt><dd><strong>Age:</strong> <b>', c("conv_id"), "</b></dd><dd>plain</dd></dl>"))
+    files_text = F.when((turn % 2 == 0) & (k != 3), F.lit(1)).otherwise(0)  # the link's text stands behind the content
+    html = say('<div class="post" id="p', turn + 10, '">', profile, '<div class="postbody">', heading, author, content, "</div></div><div class='notpost'><p>x</p></div>")
+    rows = pages.topic_pages(Tables(spark, sf).conversations.select("conv_id", html.alias("html"), files_text.alias("more")), "html", "https://h.org/forum/", ["conv_id"])
     return rows.select("conv_id", "post_id", "title", "author", "author_profile_url", "body_text", F.try_element_at("author_meta", F.lit("Age")).alias("age"), F.size("attachment_urls").alias("attachments"), "posted_at")
 
 
-@query("SELECT o_orderkey, o_orderkey AS topic_id, 'Order ' || o_orderkey AS title, o_custkey AS replies, o_orderstatus AS starter_author, 'Fri Apr 20, 2012 3:00 am' AS last_post_date, o_orderkey % 2 = 0 AS has_attachment FROM orders")
+@query("""WITH o AS (SELECT *, (o_orderkey + o_custkey) % 6 AS k FROM orders)
+    SELECT o_orderkey, o_orderkey AS topic_id, CASE WHEN k = 4 THEN 'a-b-' || o_custkey ELSE 't' END AS slug, 'Order <' || o_orderkey || '>' AS title, CASE WHEN k <> 1 THEN o_custkey END AS replies, CASE WHEN k = 2 THEN o_custkey * 7 END AS views, CASE WHEN k <> 3 THEN o_orderstatus END AS starter_author,
+    CASE WHEN k <> 3 THEN 'https://h.org/forum/member/' || o_custkey END AS starter_profile_url, CASE WHEN k <> 3 THEN 'Thu Apr 19, 2012 2:19 pm' END AS start_date, CASE WHEN k <> 2 THEN 'Fri Apr 20, 2012 3:0' || (o_orderkey % 10) || ' am' END AS last_post_date,
+    CASE WHEN k <> 2 THEN 'y' || o_custkey END AS last_post_author, o_orderkey % 2 = 0 AS has_attachment FROM o WHERE k <> 5""")
 def x1_index_pages(spark, sf):
-    """Each order as a row of a forum's index page, read back."""
-    k = c("o_orderkey").cast("string")
-    html = F.concat(
-        *[p if not isinstance(p, str) else F.lit(p) for p in ('<ul class="topiclist topics"><li class="row"><dl><dt><a class="topictitle" href="./a-t', k, '.html">Order ', k, "</a>", F.when(c("o_orderkey") % 2 == 0, '<img alt="Attachment">').otherwise(""), ' by <a href="/forum/member/x">', c("o_orderstatus"), '</a> on Thu Apr 19, 2012 2:19 pm</dt><dd class="posts">', c("o_custkey").cast("string"), '</dd><dd class="lastpost">by <a href="/forum/member/y">y</a> on Fri Apr 20, 2012 3:00 am</dd></dl></li></ul>')]
-    )
+    """Each order as a row of a forum's index page, read back; some lack their counts, starter or last post, some are no topic."""
+    k, key, who = (c("o_orderkey") + c("o_custkey")) % 6, c("o_orderkey"), c("o_custkey")
+    address = F.when(k == 5, say("./viewforum.php?f=", key)).when(k == 4, say("/forum/a-b-", who, "-t", key, "-20.html?x=1")).otherwise(say("./t", "-t", key, ".html"))
+    starter = F.when(k == 3, "").otherwise(say(' by <a href="/forum/member/', who, '">', c("o_orderstatus"), "</a> on Thu Apr 19, 2012 2:19 pm"))
+    counts = F.concat(F.when(k == 1, "").otherwise(say('<dd class="posts">', who, " <dfn>Replies</dfn></dd>")), F.when(k == 2, say('<dd class="views">', who * 7, "</dd>")).otherwise(""))
+    last = F.when(k == 2, "").otherwise(say('<dd class="lastpost"><span>Last post by <a href="/forum/member/9">y', who, '</a> on Fri Apr 20, 2012 3:0', key % 10, " am</span></dd>"))
+    image = F.when(key % 2 == 0, '<img src="i.gif" alt="Attachment(s)">').otherwise('<img alt="other">')
+    html = say('<ul class="topiclist topics"><li class="row"><dl><dt><a class="topictitle" href="', address, '">Order &lt;', key, "&gt;</a>", image, starter, "</dt>", counts, last, '</dl></li><li class="row"><a href="x">no topic</a></li></ul><li class="row"><a class="topictitle" href="./x-t9.html">elsewhere</a></li>')
     rows = pages.index_pages(Tables(spark, sf).orders.select("o_orderkey", html.alias("html")), "html", "https://h.org/forum/", ["o_orderkey"])
-    return rows.select("o_orderkey", "topic_id", "title", "replies", "starter_author", "last_post_date", "has_attachment")
+    return rows.select("o_orderkey", "topic_id", "slug", "title", "replies", "views", "starter_author", "starter_profile_url", "start_date", "last_post_date", "last_post_author", "has_attachment")
 
 
 @query("SELECT o_orderkey, 'u' || o_orderkey AS key, o_orderstatus AS author, o_orderpriority AS description, (o_orderkey % 5 + 1)::VARCHAR AS rating FROM orders")
@@ -664,9 +676,17 @@ def x8_c9_drug_pages(spark, sf):
     return pages.drug_rows(part, "url", "html", "status").select("url", "fetch_status", "name", "sku_id", "uses_json")
 
 
-@query("SELECT event_id, 'U' || user_id AS who, '4' AS rating, 'yesterday' AS at, event_type || chr(10) || 'more' AS said FROM events")
+@query("""WITH e AS (SELECT *, (event_id + user_id) % 6 AS k FROM events)
+    SELECT event_id, CASE WHEN k <> 5 THEN 'U' || user_id END AS who, CASE WHEN k <> 1 THEN (user_id % 5 + 1)::VARCHAR || CASE WHEN k = 2 THEN '.5' ELSE '' END END AS rating, CASE k WHEN 0 THEN 'yesterday' WHEN 1 THEN user_id || ' days ago' WHEN 2 THEN 'Apr 19, 2012' WHEN 3 THEN 'one month ago' WHEN 5 THEN 'Today' END AS at,
+    CASE WHEN k = 4 THEN '' ELSE event_type || chr(10) || 'more ' || event_id END AS said FROM e""")
 def x13_review_cards(spark, sf):
-    card = F.concat(F.lit("U"), c("user_id").cast("string"), F.lit("\n3 reviews\nDINING\n4\nyesterday\n"), c("event_type"), F.lit("\nmore\n2 votes\nHelpful"))
+    """Cards of several shapes: without rating, date, text or user, with and without votes."""
+    k = (c("event_id") + c("user_id")) % 6
+    user = F.when(k == 5, "12 reviews\n").otherwise(say("U", c("user_id"), "\n3 reviews\n"))
+    rating = F.when(k == 1, "").otherwise(say(c("user_id") % 5 + 1, F.when(k == 2, ".5").otherwise(""), "\n"))
+    at = F.when(k == 0, "yesterday\n").when(k == 1, say(c("user_id"), " days ago\n")).when(k == 2, "Apr 19, 2012\n").when(k == 3, "one month ago\n").when(k == 5, "Today\n").otherwise("")
+    said = F.when(k == 4, "").otherwise(say(c("event_type"), "\n  more ", c("event_id"), "\n"))
+    card = F.concat(user, F.when(k % 2 == 0, "DINING\n").otherwise("Delivery\n"), rating, at, said, F.when(k < 3, "2 votes\nHelpful").when(k == 3, "1 vote").otherwise(""))
     read = pages.card_fields(card)
     return Tables(spark, sf).events.select("event_id", read["user"].alias("who"), read["rating"].alias("rating"), read["date"].alias("at"), read["text"].alias("said"))
 
@@ -1015,12 +1035,20 @@ def t7_showcase(spark, sf):
 # ---- pages and whole plans: no SQL says them, tests do ----
 
 
-@query()
+#: SQL for the text of a piece of a page: its tags cut it, references are decoded, pieces are trimmed.
+PIECES = "[trim(p, ' ' || chr(10)) for p in string_split_regex({0}, '<[^>]*>') if trim(p, ' ' || chr(10)) <> '']"
+DECODED = "replace(replace(replace(replace(replace(replace(replace({0}, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#x27;', chr(39)), '&amp;', '&')"
+
+
+@query(f"""WITH p AS (SELECT page_id, html, regexp_extract(html, '(?s)<article>(.*?)(</article>|</body>|$)', 1) AS a, regexp_extract(html, '(?s)<div class="ad">(.*?)</div>', 1) AS d FROM pages),
+    t AS (SELECT page_id, {DECODED.format("array_to_string(" + PIECES.format("a") + ", chr(10))")} AS a, {DECODED.format("array_to_string(" + PIECES.format("d") + ", chr(10))")} AS d, {DECODED.format("trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1))")} AS title, {DECODED.format("array_to_string(" + PIECES.format("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)") + ", '')")} AS h1 FROM p)
+    SELECT page_id, title, '' AS meta_description, h1, CASE WHEN length(a) > 200 OR length(a) > length(d) THEN a ELSE d END AS article_text, '' AS json_ld, NULL::VARCHAR AS error FROM t""")
 def x9_articles(spark, sf):
     return pages.article_pages(Tables(spark, sf).pages, "html", ["page_id"])
 
 
-@query()
+
+@query("""SELECT DISTINCT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS link FROM pages""")
 def x11_links(spark, sf):
     return pages.links(Tables(spark, sf).pages, "html", ["page_id"])
 
@@ -1038,18 +1066,37 @@ def plan_posts_with_topics(spark, sf):
     return joined.select("topic_id", "post_id", "is_first_post", c("body_char_count").cast("long").alias("chars"), c("body_word_count").cast("long").alias("words"), "topic_actual_post_count", "topic_count_delta")
 
 
-@query()
+
+COVERAGE = f"""WITH m AS (SELECT s_suppkey AS id, 'Place ' || (s_suppkey % 60) || ' house' AS restaurant_name, 'https://h.org/c/place-' || (s_suppkey % 60) || '-house' || CASE s_suppkey % 4 WHEN 0 THEN '/order' WHEN 1 THEN '/info' WHEN 2 THEN '/delivery/dish-1' ELSE '' END AS link FROM supplier),
+    f AS (SELECT DISTINCT 'Place ' || (c_custkey % 40) || ' house, Area' AS file FROM customer), s AS (SELECT file, {SLUG.format("file")} AS name FROM f), c AS (SELECT file, length(file) % 3 AS reviews FROM f),
+    b AS (SELECT *, regexp_replace(regexp_replace(link, '/info$', ''), '/order$', '') AS normalized_url, CASE WHEN link LIKE '%/delivery/dish-%' THEN 'delivery_dish' WHEN link LIKE '%/order' THEN 'order' WHEN link LIKE '%/info' THEN 'info' ELSE 'other' END AS url_type FROM m),
+    u AS (SELECT *, regexp_extract(normalized_url, '([^/]*)$', 1) AS url_slug, CASE WHEN normalized_url NOT LIKE '%7-house' THEN 'yes' ELSE 'no' END AS in_completed_log, {SLUG.format("restaurant_name")} AS n FROM b),
+    e AS (SELECT u.*, coalesce(x1.file, x2.file, x3.file, x4.file) AS exact FROM u LEFT JOIN s x1 ON x1.name = n || '-area-city' LEFT JOIN s x2 ON x2.name = n || '-area' LEFT JOIN s x3 ON x3.name = n LEFT JOIN s x4 ON x4.name = url_slug),
+    t AS (SELECT id, url_slug AS a, name AS b, file, [x for x in list_distinct(string_split(url_slug, '-')) if length(x) > 2] AS x, [y for y in list_distinct(string_split(name, '-')) if length(y) > 2] AS y FROM e, s WHERE exact IS NULL),
+    p AS (SELECT id, file, CASE WHEN a = b THEN 1.0 WHEN contains(a, b) OR contains(b, a) THEN 0.92 WHEN len(x) = 0 OR len(y) = 0 THEN 0.0 ELSE len(list_intersect(x, y))::DOUBLE / len(list_distinct(x || y)) END AS score FROM t),
+    g AS (SELECT id, file, score, row_number() OVER (PARTITION BY id ORDER BY score DESC, file) AS r FROM p WHERE score >= 0.55),
+    w AS (SELECT e.*, coalesce(exact, g.file) AS file, CASE WHEN exact IS NOT NULL THEN 1.0 ELSE g.score END AS score FROM e LEFT JOIN g ON e.id = g.id AND r = 1)
+    SELECT id, 'Area' AS area_found, restaurant_name, '4.0' AS master_rating, 'x' AS cuisine, '1' AS price, link, normalized_url, url_slug, url_type, in_completed_log, coalesce(w.file, '') AS review_csv_file, coalesce(printf('%.2f', score), '') AS match_score, coalesce(reviews, 0) AS review_count,
+    CASE WHEN url_type = 'delivery_dish' THEN 'bad_url_delivery_dish' WHEN in_completed_log = 'no' THEN 'not_processed' WHEN w.file IS NULL THEN 'processed_no_csv_match' WHEN reviews = 0 THEN 'no_dining_reviews' ELSE 'has_reviews' END AS coverage_status FROM w LEFT JOIN c ON w.file = c.file"""
+
+
+@query(COVERAGE)
 def plan_coverage_report(spark, sf):
-    """Suppliers as restaurants, customers' names as review files."""
+    """Suppliers as restaurants, customers' names as review files: found by name, by the best slug, or not at all."""
     t = Tables(spark, sf)
-    name = F.concat(F.lit("Place "), (c("s_suppkey") % 40).cast("string"), F.lit(" house"))
-    master = t.supplier.select(c("s_suppkey").alias("id"), F.lit("Area").alias("area_found"), name.alias("restaurant_name"), F.lit("4.0").alias("master_rating"), F.lit("x").alias("cuisine"), F.lit("1").alias("price"), F.concat(F.lit("https://h.org/c/"), text.slugify(name), F.when(c("s_suppkey") % 2 == 0, "/order").otherwise("/info")).alias("link"))
-    files = t.customer.select(F.concat(F.lit("Place "), (c("c_custkey") % 40).cast("string"), F.lit(" house, Area")).alias("review_csv_file")).distinct().withColumn("review_count", F.length("review_csv_file").cast("long"))
+    n = c("s_suppkey") % 60
+    end = F.get(F.array(*[F.lit(e) for e in ("/order", "/info", "/delivery/dish-1", "")]), (c("s_suppkey") % 4).cast("int"))
+    master = t.supplier.select(c("s_suppkey").alias("id"), F.lit("Area").alias("area_found"), say("Place ", n, " house").alias("restaurant_name"), F.lit("4.0").alias("master_rating"), F.lit("x").alias("cuisine"), F.lit("1").alias("price"), say("https://h.org/c/place-", n, "-house", end).alias("link"))
+    files = t.customer.select(say("Place ", c("c_custkey") % 40, " house, Area").alias("review_csv_file")).distinct().withColumn("review_count", (F.length("review_csv_file") % 3).cast("long"))
     completed = master.select(urls.base_url(c("link")).alias("normalized_url")).filter(~c("normalized_url").endswith("7-house"))
     return pipelines.coverage_report(master, files, completed, "City")
 
 
-@query()
+SIGNALS = f"""SELECT doc_id, {EFFORT} AS review_effort_signal, array_to_string(list_sort([f for f in [{FIRED}, CASE WHEN len(regexp_extract_all(regexp_replace(lower(text), '([^\\p{{L}}\\p{{N}}_])', '\\1\\1', 'g'), '{sql_words(classify.DISHES)}')) >= 2 AND regexp_matches(lower(text), '{sql_words(classify.CONTRAST)}') THEN 'cross_dish_consistency_signal' END] if f IS NOT NULL]), ',') AS fired, length(text) AS description_len
+    FROM (SELECT doc_id, text, raw, len([w for w in string_split_regex(raw, '\\s+') if w <> '']) AS words, len([s for s in string_split_regex(raw, '[.!?]+') if trim(s, ' ' || chr(10)) <> '']) AS sentences FROM (SELECT doc_id, coalesce(text, '') AS text, trim(coalesce(text, ''), ' ' || chr(10)) AS raw FROM {PHRASES}))"""
+
+
+@query(SIGNALS)
 def plan_review_signals(spark, sf):
     return pipelines.review_signals(phrases(Tables(spark, sf)), c("text")).select("doc_id", "review_effort_signal", F.array_join("t2_triggers_fired", ",").alias("fired"), "description_len")
 
