@@ -9,7 +9,8 @@ Rows with equal vectors are indexed once with their k + 1 smallest ids, which is
 many rows or queries is dealt in blocks, so that no task gets more than ``block`` of either.
 
 Null ids, null or zero vectors, vectors with null or non-finite components and vectors of another length than most take no part.
-Ties go to smaller ids; rows with a query's id count as the query's own. Empty tables give no rows.
+Ties go to smaller ids; rows with a query's id count as the query's own. Empty tables give no rows. Of other columns none is read, so they
+may have any names; vectors may be long, a row at a time is decoded.
 """
 
 from __future__ import annotations
@@ -123,8 +124,11 @@ def learn(x: np.ndarray, target: np.ndarray, hidden: int = 128, epochs: int = 40
     return Router(*w, probes=1)
 
 
-def fit(sample: np.ndarray, parts: int, k: int = 5, neighbours: int = 10, recall: float = 0.98, seed: int = 0) -> Router:
-    """A router of ``parts`` parts, with as many probes as held-back sample rows need for the recall."""
+def fit(sample: np.ndarray, parts: int, k: int = 5, neighbours: int = 10, recall: float = 0.98, asked: int = 1 << 30, seed: int = 0) -> Router:
+    """A router of ``parts`` parts, with as many probes as held-back sample rows need for the recall.
+
+    Room is left for chance (one case in a hundred) in these rows and in the ``asked`` queries; neighbours of one row count as half as many.
+    """
     if parts < 2 or len(sample) < 4 * parts:
         return Router(np.zeros((sample.shape[1], 1), np.float32), np.zeros(1, np.float32), np.zeros((1, 1), np.float32), np.zeros(1, np.float32), 1)
     x = unit(sample)
@@ -140,7 +144,9 @@ def fit(sample: np.ndarray, parts: int, k: int = 5, neighbours: int = 10, recall
     true = nearest(x, k)[back]
     rank = np.argsort(np.argsort(-router.scores(x[back]), axis=1), axis=1)
     needs = np.take_along_axis(rank, placed[true], axis=1)
-    router.probes = next(p for p in range(1, parts + 1) if (needs < p).mean() >= recall or p == parts)
+    shares = [(needs < p).mean() for p in range(1, parts + 1)]
+    room = 2.33 * np.sqrt(2 / needs.size + 2 / (k * max(1, asked)))
+    router.probes = next(p for p, s in enumerate(shares, 1) if s - room * np.sqrt(s * (1 - s)) >= recall or p == parts)
     return router
 
 
@@ -229,7 +235,7 @@ def rerank(k: int):
     return ranked
 
 
-def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = 50, k: int = 5, most_rows: int = 12000, rows_a_part: int = 1500, most_parts: int = 256, block: int = 4096, recall: float = 0.96) -> DataFrame:
+def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = 50, k: int = 5, most_rows: int = 12000, rows_a_part: int = 512, most_parts: int = 256, block: int = 4096, recall: float = 0.9) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row whose id is divisible by ``every``."""
     spark = df.sparkSession
     rows = stored(vectors(df, key, vector), "vectors")
@@ -241,10 +247,11 @@ def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every:
     index = stored(classes(rows, k + 1), "vector-classes")
     sample = index.orderBy(F.xxhash64("vec"), "vec").limit(most_rows).select("vec").collect()
     x = np.frombuffer(b"".join(bytes(r.vec) for r in sample), np.float64).reshape(len(sample), -1)
-    parts = min(most_parts, max(4, round(index.count() / rows_a_part))) if len(x) >= 200 else 1
-    router = fit(x, parts, k, recall=recall)
+    parts = min(most_parts, max(16, round(index.count() / rows_a_part))) if len(x) >= 200 else 1
+    wanted = rows.filter(F.col("id") % every == 0).select("vec").distinct()
+    router = fit(x, parts, k, recall=recall, asked=wanted.count())
     placed = routed(index, router, 1)
-    asked = routed(rows.filter(F.col("id") % every == 0).select("vec").distinct(), router, router.probes)
+    asked = routed(wanted, router, router.probes)
     sizes = spark.createDataFrame(placed.groupBy("part").count().collect(), "part int, rows long").join(spark.createDataFrame(asked.groupBy("part").count().collect(), "part int, queries long"), "part", "left")
     blocks = F.broadcast(sizes.select("part", F.ceil(F.col("rows") / block).cast("int").alias("rb"), F.greatest(F.ceil(F.coalesce("queries", F.lit(0)) / block), F.lit(1)).cast("int").alias("qb")))  # a row a part
 
