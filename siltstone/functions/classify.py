@@ -132,15 +132,16 @@ def rescrape_outcome(before: Column, after: Column, failed: Column) -> Column:
     )
 
 
-def fetch_status(state: Column) -> Column:
-    """Of a drug page's state (JSON text): what it lacks, or 'ok'."""
-    at = lambda p: F.get_json_object(state, p)
-    is_object = lambda p: F.coalesce(at(p).startswith("{"), F.lit(False))
+def fetch_status(state: Column, not_found: Column | None = None, info: Column | None = None, sku: Column | None = None) -> Column:
+    """Of a drug page's state (JSON text): what it lacks, or 'ok'. Parts that are read already need not be read again."""
+    at = lambda known, p: F.get_json_object(state, p) if known is None else known
+    is_object = lambda value: F.coalesce(value.startswith("{"), F.lit(False))
     return (
-        F.when(F.coalesce(~state.startswith("{"), F.lit(True)), "no_preloaded_state")
-        .when(F.coalesce(at("$.drugPage.drugNotFound"), F.lit("")).isin("true", "1"), "drug_not_found")
-        .when(~is_object("$.drugPage.drugInfo"), "no_drug_info")
-        .when(~is_object("$.drugPage.drugInfo.sku"), "no_sku")
+        F.when(state.isNull(), "no_preloaded_state")
+        .when(~state.startswith("{"), "parse_error")
+        .when(F.coalesce(at(not_found, "$.drugPage.drugNotFound"), F.lit("")).isin("true", "1"), "drug_not_found")
+        .when(~is_object(at(info, "$.drugPage.drugInfo")), "no_drug_info")
+        .when(~is_object(at(sku, "$.drugPage.drugInfo.sku")), "no_sku")
         .otherwise("ok")
     )
 

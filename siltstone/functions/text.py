@@ -112,11 +112,16 @@ def first_line(text: Column, most: int = 120) -> Column:
     return F.left(F.substring_index(text, "\n", 1), F.lit(most))
 
 
-def strip_tags(html: Column) -> Column:
-    """Tags become spaces; the commonest references and non-breaking spaces are decoded. ``unescape_html`` decodes all."""
-    text = F.regexp_replace(F.coalesce(html, F.lit("")), "<[^>]+>", " ")
+def unescape_references(text: Column) -> Column:
+    """The commonest character references decoded; '&amp;' last, so that none is decoded twice."""
     for name, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         text = F.replace(text, F.lit(name), F.lit(char))
+    return text
+
+
+def strip_tags(html: Column) -> Column:
+    """Tags become spaces; the commonest references and non-breaking spaces are decoded. ``unescape_html`` decodes all."""
+    text = unescape_references(F.regexp_replace(F.coalesce(html, F.lit("")), "<[^>]+>", " "))
     return F.trim(F.replace(text, F.lit(" "), F.lit(" ")))
 
 

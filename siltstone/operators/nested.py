@@ -61,6 +61,8 @@ def moves(doc: dict) -> None:
     for dish in doc["dishes"] if isinstance(doc.get("dishes"), list) else ():
         if isinstance(dish, dict) and "portion_size" in dish and "portion" not in dish:
             dish["portion"] = dish.pop("portion_size")
+        if isinstance(dish, dict) and not dish.get("dish_function", True):
+            del dish["dish_function"]
     for junk in JUNK:
         section("atmosphere").pop(junk, None)
 
@@ -148,6 +150,88 @@ def legal_names(schema) -> set[str]:
     return out
 
 
+def schema_rules(schema: dict, legal_scalars: bool = False) -> list[tuple[str, str, str | None]]:
+    """(path, rule, value) of a JSON schema: a 'field' of each object ('[]' for a list's items), its 'type's, 'enum' values, and whether it is 'required'.
+
+    References and unions are followed; a definition within itself is followed once. ``legal_scalars``: top-level fields that hold no object
+    count as sections, too (variant B); else only those that do (variant A).
+    """
+    out: list[tuple[str, str, str | None]] = []
+
+    def options(node: dict, seen: tuple[str, ...]) -> list[tuple[dict, tuple[str, ...]]]:
+        ref = node.get("$ref")
+        if ref:
+            name = ref.rsplit("/", 1)[-1]
+            found = schema.get("$defs", schema.get("definitions", {})).get(name)
+            return [] if found is None or name in seen else options(found, (*seen, name))
+        listed = [x for key in ("anyOf", "oneOf", "allOf") for x in node.get(key, ())]
+        return [y for x in listed for y in options(x, seen)] if listed else [(node, seen)]
+
+    def walk(node: dict, path: str, seen: tuple[str, ...]) -> bool:
+        """Whether the node holds an object somewhere."""
+        holds = False
+        for part, known in options(node, seen):
+            kind = part.get("type") or ("object" if "properties" in part else None)
+            if path and kind:
+                out.extend((path, "type", k) for k in ([kind] if isinstance(kind, str) else kind))
+            values = part["enum"] if "enum" in part else [part["const"]] if "const" in part else []
+            out.extend((path, "enum", v if isinstance(v, str) else json.dumps(v)) for v in values)
+            for name, inner in part.get("properties", {}).items():
+                below = f"{path}.{name}" if path else name
+                if walk(inner, below, known) or path or legal_scalars:
+                    out.append((below, "field", None))
+                if name in part.get("required", ()):
+                    out.append((below, "required", None))
+            holds = holds or "properties" in part or isinstance(part.get("items"), dict) and walk(part["items"], f"{path}[]", known)
+        return holds
+
+    walk(schema, "", ())
+    return sorted(set(out), key=str)
+
+
+def legal_fields(rules: list[tuple[str, str, str | None]]) -> dict[str, list[str]]:
+    """Fields by section, for ``unknown_fields``."""
+    paths = [p.replace("[]", "") for p, rule, _ in rules if rule == "field"]
+    return {section: sorted({p.split(".")[1] for p in paths if p.count(".") == 1 and p.split(".")[0] == section}) for section in sorted({p.split(".")[0] for p in paths})}
+
+
+def validated(df: DataFrame, key: str, document: str, rules: DataFrame) -> DataFrame:
+    """key, path, kind, value and allowed of what breaks ``rules`` (path, rule, value, as ``schema_rules`` gives): values outside their 'enum', of a wrong
+    type ('type'), and 'missing' fields of objects that are there. Unknown fields break none, nulls neither but for required ones."""
+    found = df.select(key, F.explode(on_json(lambda d: [{"path": p, "value": v, "type": t} for p, v, t in typed_values(d)], "array<struct<path: string, value: string, type: string>>")(F.col(document))).alias("pv")).select(key, "pv.*")
+    of = lambda rule: rules.filter(F.col("rule") == rule)
+    listed = lambda rule, name: of(rule).groupBy("path").agg(F.array_sort(F.collect_set("value")).alias(name))
+    own = found.join(F.broadcast(listed("enum", "allowed")), "path", "left").join(F.broadcast(listed("type", "types")), "path", "left")
+    wrong = F.col("types").isNotNull() & ~F.exists("types", lambda t: (t == F.col("type")) | (t == "number") & (F.col("type") == "integer"))
+    outside = F.col("allowed").isNotNull() & ~F.array_contains("allowed", F.col("value"))
+    kind = F.when(F.col("type") == "null", F.lit(None)).when(wrong, "type").when(outside, "enum")
+    bad = own.withColumn("kind", kind).filter("kind is not null").select(key, "path", "kind", "value", F.when(F.col("kind") == "enum", F.col("allowed")).otherwise(F.col("types")).alias("allowed"))
+    parent = lambda p: F.when(p.contains("."), F.regexp_replace(p, r"\.[^.]*$", "")).otherwise("")
+    wanted = of("required").select(F.col("path").alias("wanted"), parent(F.col("path")).alias("path"))
+    holders = df.select(key, F.explode(on_json(lambda d: [{"path": p, "names": n} for p, n in objects(d)], "array<struct<path: string, names: array<string>>>")(F.col(document))).alias("o")).select(key, "o.*")
+    lacking = holders.join(F.broadcast(wanted), "path").filter(~F.array_contains("names", F.substring_index("wanted", ".", -1)))
+    none = F.array().cast("array<string>")
+    return bad.unionByName(lacking.select(key, F.col("wanted").alias("path"), F.lit("missing").alias("kind"), F.lit(None).cast("string").alias("value"), none.alias("allowed")))
+
+
+def typed_values(value: object, path: str = "") -> list[tuple[str, str, str]]:
+    """(path, value, JSON type) of everything below a document's root."""
+    kind = {dict: "object", list: "array", str: "string", bool: "boolean", int: "integer", float: "number"}.get(type(value), "null")
+    own = [(path, value if isinstance(value, str) else json.dumps(value, ensure_ascii=False), kind)] if path else []
+    if isinstance(value, dict):
+        return own + [x for k, v in value.items() for x in typed_values(v, f"{path}.{k}" if path else k)]
+    if isinstance(value, list):
+        return own + [x for v in value for x in typed_values(v, f"{path}[]")]
+    return own
+
+
+def objects(value: object, path: str = "") -> list[tuple[str, list[str]]]:
+    """(path, names that aren't null) of a document's objects."""
+    if isinstance(value, dict):
+        return [(path, [k for k, v in value.items() if v is not None]), *(x for k, v in value.items() for x in objects(v, f"{path}.{k}" if path else k))]
+    return [x for v in value for x in objects(v, f"{path}[]")] if isinstance(value, list) else []
+
+
 def enum_violations(df: DataFrame, key: str, document: str, domain: DataFrame) -> DataFrame:
     """key, path, value of the values that ``domain`` (path, value) names the path of, but not the value."""
     found = df.select(key, F.explode(path_values(F.col(document))).alias("pv")).select(key, "pv.path", "pv.value")

@@ -1,7 +1,7 @@
 """Pages to rows: forum indexes and topics, review listings, drug pages, articles, links.
 
 Each parser is a plain function of a page's text that gives dicts; ``rows_of`` runs it over a table in Arrow batches and explodes
-nothing on the driver. Schemas are declared. A page that can't be read gives no rows, or the row's ``error``.
+nothing on the driver. Schemas are declared. A page that can't be read gives one row with its keys and the ``error``, all else null.
 """
 
 from __future__ import annotations
@@ -11,14 +11,16 @@ import re
 from collections.abc import Callable, Iterator
 from urllib.parse import urljoin
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType, _parse_datatype_string
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
 
 from siltstone.functions.dom import Node, number_in, parse, scripts
 from siltstone.functions.jsons import assigned, balanced, json_strings, preloaded_state
-from siltstone.functions.text import strip_tags
+from siltstone.functions.text import strip_tags, unescape_references
+from siltstone.functions.urls import ALLOWED_PATHS, DENIED_PATHS, absolute, allowed, on_host
 
 TOPIC = "topic_id bigint, slug string, url string, title string, starter_author string, starter_profile_url string, start_date string, replies bigint, views bigint, last_post_author string, last_post_profile_url string, last_post_date string, last_post_link string, has_attachment boolean"
 POST = "post_id bigint, position_on_page int, title string, author string, author_profile_url string, author_meta map<string,string>, posted_at string, body_html string, body_text string, attachment_urls array<string>"
@@ -27,24 +29,33 @@ ARTICLE = "title string, meta_description string, h1 string, article_text string
 TOPIC_URL = re.compile(r"-t(\d+)(?:-(\d+))?\.html(?:[?#]|$)")
 
 
-def rows_of(df: DataFrame, keys: list[str], html: str, read: Callable[[str], list[dict]], schema: str) -> DataFrame:
-    """``keys`` and one row for each dict that ``read`` gives for a page; a page that raises gives none."""
+def rows_of(df: DataFrame, keys: list[str], html: str, read: Callable[[str], list[dict]], schema: str, most_bytes: int = 4 << 20) -> DataFrame:
+    """``keys`` and one row for each dict that ``read`` gives for a page; a page that raises gives one row with its ``error``.
+
+    A task holds one incoming batch, and rows of about ``most_bytes`` of pages before it hands them on.
+    """
     fields = _parse_datatype_string(schema)
-    out = StructType([df.schema[k] for k in keys] + list(fields))
+    out = StructType([df.schema[k] for k in keys] + [f for f in fields if f.name != "error"] + [StructField("error", StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [f.name for f in out]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = to_arrow_schema(out)
         for batch in batches:
-            rows = []
-            for record in batch.to_dict("records"):
+            rows, size, place = [], 0, len(keys)
+            for n in range(batch.num_rows):
+                page = batch.column(place)[n].as_py() or ""
+                own = {k: batch.column(j)[n].as_py() for j, k in enumerate(keys)}
                 try:
-                    found = read(record[html] or "")
-                except (ValueError, KeyError, TypeError, AttributeError):
-                    found = []
-                rows += [{**{k: record[k] for k in keys}, **row} for row in found]
-            yield pd.DataFrame(rows, columns=names)
+                    found = read(page)
+                except (ValueError, KeyError, TypeError, AttributeError, RecursionError) as e:
+                    found = [{"error": f"{type(e).__name__}: {e}"}]
+                rows += [{**row, **own} for row in found]
+                size += len(page)
+                if size > most_bytes:
+                    yield pa.RecordBatch.from_pylist(rows, kinds)
+                    rows, size = [], 0
+            yield pa.RecordBatch.from_pylist(rows, kinds)
 
-    return df.select(*keys, html).mapInPandas(run, out)
+    return df.select(*keys, html).mapInArrow(run, out)
 
 
 def linked(node: Node, part: str, base: str) -> tuple[str | None, str | None]:
@@ -307,18 +318,49 @@ def links(df: DataFrame, html: str, keys: list[str]) -> DataFrame:
     return pages.select(*keys, F.explode(F.array_distinct(F.concat(hrefs, absolute, quoted, bare, F.filter("__strings", whole)))).alias("link"))
 
 
+def internal_links(df: DataFrame, html: str, keys: list[str], site: str, allow: tuple[str, ...] = ALLOWED_PATHS, deny: tuple[str, ...] = DENIED_PATHS) -> DataFrame:
+    """``keys`` and the addresses on ``site`` that a page's anchors lead to, if they may be crawled: https, host and path, each once a page."""
+    anchors = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(r"""(?i)<a\s[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""), F.lit(1))
+    hrefs = F.transform(anchors, lambda h: F.trim(unescape_references(F.regexp_replace(h, r"""^["']|["']$""", ""))))
+    rows = df.select(*keys, F.explode(F.array_distinct(F.filter(hrefs, lambda h: ~h.startswith("#")))).alias("__href"))
+    h = F.col("__href")
+    whole = F.when(h.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), h).when(h.startswith("//"), F.concat(F.lit("https:"), h)).when(h.startswith("/"), F.concat(F.lit(f"https://{site}"), h)).otherwise(F.concat(F.lit(f"https://{site}/"), F.regexp_replace(h, r"^(?:\./)+", "")))
+    own = rows.withColumn("__href", whole).filter(on_host(h, site) & allowed(h, allow, deny))
+    return own.select(*keys, absolute(h, site).alias("link")).distinct()
+
+
 def page_title(html: Column) -> Column:
     return F.nullif(F.trim(strip_tags(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))), F.lit(""))
 
 
-def drug_rows(df: DataFrame, url: str, html: str, status: str) -> DataFrame:
-    """A drug page's row: fetch status, plain cells, text cells and JSON cells. JSON paths on the state that a page carries."""
+#: The fields of a drug page's state that its row is made of.
+OF_INFO = "sku authoredBy substitute relatedDoctor relatedLabTest breadcrumbs skuFactBox metaData".split()
+OF_SKU = (
+    "id price discountedPrice discountPercent name slug perUnitPrice therapeuticClass prescriptionRequired inStock available shortComposition storageCondition missedDose marketer manufacturer introduction howToTake mechanismOfAction quantities quantityProduct uses benefits sideEffects warning expertAdvice drugInteraction faqs references factBox"
+).split()
+
+
+def drug_rows(df: DataFrame, url: str, html: str, status: str, error: str | None = None) -> DataFrame:
+    """A drug page's row: fetch status, plain cells, text cells and JSON cells, from the state that a page carries.
+
+    A row whose ``error`` isn't null was not fetched: its status is fetch_error. A state that is there but can't be read is a parse_error.
+    """
     from siltstone.functions.classify import fetch_status
     from siltstone.functions.jsons import author_with_role, first_display_text, scalar_text
 
-    with_state = df.select(F.col(url).alias("url"), F.col(status).cast("string").alias("fetch_http_status"), preloaded_state(F.col(html)).alias("state"))
-    info = lambda p: F.get_json_object("state", f"$.drugPage.drugInfo.{p}")
-    sku = lambda p: info(f"sku.{p}")
+    failed = F.lit(None).cast("string") if error is None else F.col(error)
+    rows = df.select(F.col(url).alias("url"), F.col(status).cast("string").alias("fetch_http_status"), failed.alias("failed"), preloaded_state(F.col(html)).alias("state"))
+    # Each level of the state is parsed once: a page is large and has some fifty fields.
+    rows = rows.select("*", F.json_tuple("state", "drugPage").alias("page")).select("*", F.json_tuple("page", "drugNotFound", "drugInfo").alias("not_found", "info")).drop("page")
+    rows = rows.select("*", F.json_tuple("info", *OF_INFO).alias(*[f"info {n}" for n in OF_INFO]))
+    with_state = rows.select("*", F.json_tuple("info sku", *OF_SKU).alias(*[f"sku {n}" for n in OF_SKU]))
+
+    def below(level: str, p: str) -> Column:
+        head, _, rest = p.partition(".")
+        return F.get_json_object(f"`{level} {head}`", f"$.{rest}") if rest else F.col(f"`{level} {head}`")
+
+    info = lambda p: below("info", p)
+    sku = lambda p: below("sku", p)
     cell = lambda c: F.coalesce(c, F.lit(""))
     shown = lambda name: strip_tags(F.coalesce(*[F.nullif(sku(f"{name}.{k}"), F.lit("")) for k in ("displayText", "display_text")], F.when(~sku(name).startswith("{"), sku(name)), F.lit("")))
     plain = {"sku_id": "id", "price": "price", "discounted_price": "discountedPrice", "discount_percent": "discountPercent"}
@@ -340,7 +382,8 @@ def drug_rows(df: DataFrame, url: str, html: str, status: str) -> DataFrame:
     columns |= {k: cell(sku(p)) for k, p in lists.items()} | {k: cell(info(p)) for k, p in of_info.items()}
     columns["fact_box_json"] = cell(F.coalesce(info("skuFactBox"), sku("factBox")))
     columns |= {"meta_title": F.trim(cell(info("metaData.title"))), "meta_description": F.trim(cell(F.coalesce(F.nullif(info("metaData.description"), F.lit("")), info("metaData.meta_desc"))))}
-    found = with_state.withColumn("fetch_status", fetch_status(F.col("state")))
+    seen = fetch_status(F.col("state"), F.col("not_found"), F.col("info"), F.col("info sku"))
+    found = with_state.withColumn("fetch_status", F.when(F.col("failed").isNotNull(), "fetch_error").otherwise(seen))
     good = F.col("fetch_status") == "ok"
-    error = F.when(F.col("fetch_status") == "no_preloaded_state", "PRELOADED_STATE not found or invalid").otherwise("").alias("fetch_error")
-    return found.select("url", "fetch_http_status", "fetch_status", error, *[F.when(good, c).otherwise("").alias(k) for k, c in columns.items()])
+    said = F.coalesce("failed", F.when(F.col("fetch_status") == "no_preloaded_state", "PRELOADED_STATE not found or invalid").when(F.col("fetch_status") == "parse_error", "PRELOADED_STATE is no object"), F.lit("")).alias("fetch_error")
+    return found.select("url", "fetch_http_status", "fetch_status", said, *[F.when(good, c).otherwise("").alias(k) for k, c in columns.items()])

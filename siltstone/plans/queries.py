@@ -455,6 +455,15 @@ def f26_x12_page_title(spark, sf):
     return Tables(spark, sf).pages.select("page_id", pages.page_title(c("html")).alias("title"))
 
 
+@query(f"""WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS h FROM pages), u AS (SELECT page_id, 'https://h.org' || h AS url FROM l UNION ALL SELECT page_id, url FROM pages WHERE page_id % 3 <> 0)
+    SELECT DISTINCT page_id, 'https://h.org' || {PATH} AS link FROM u WHERE starts_with(url, 'https://h.org/') AND NOT regexp_matches({PATH}, '^/(la|the)') UNION SELECT page_id, 'https://h.org/x/' || page_id FROM pages""")
+def x12_internal_links(spark, sf):
+    """Anchors of the pages, to which some are added: relative, outside, on the page itself and refused ones."""
+    more = say('<A class=x href="x/', c("page_id"), '?q=1#f">a</a><a href=#top>t</a><a href="mailto:x@h.org">m</a><a href="//other.org/x">o</a>', "<a href='/the/", c("page_id"), "'>n</a>")
+    rows = Tables(spark, sf).pages.select("page_id", F.concat("html", more, F.when(c("page_id") % 3 != 0, say('<a href="', c("url"), '">p</a>')).otherwise("")).alias("html"))
+    return pages.internal_links(rows, "html", ["page_id"], "h.org", ("/",), ("/la", "/the"))
+
+
 @query("SELECT c_custkey, regexp_replace(c_name, '[<>:\"/|?*#]', '', 'g') AS file, 'Reviews of' AS fallback FROM customer")
 def f6_f8_names(spark, sf):
     name = text.title_to_name(F.concat(F.lit("Reviews of "), c("c_name"), F.lit(" | more")))
@@ -663,17 +672,34 @@ def x4_x5_x6_review_pages(spark, sf):
     return pages.review_pages(Tables(spark, sf).orders.select("o_orderkey", html.alias("html")), "html", ["o_orderkey"]).select("o_orderkey", "key", "author", "description", "rating")
 
 
-@query("""SELECT 'u' || p_partkey AS url, CASE p_partkey % 4 WHEN 0 THEN 'no_preloaded_state' WHEN 1 THEN 'drug_not_found' WHEN 2 THEN 'no_sku' ELSE 'ok' END AS fetch_status, CASE WHEN p_partkey % 4 = 3 THEN p_name ELSE '' END AS name,
-    CASE WHEN p_partkey % 4 = 3 THEN p_partkey::VARCHAR ELSE '' END AS sku_id, CASE WHEN p_partkey % 4 = 3 THEN '["' || p_type || '"]' ELSE '' END AS uses_json FROM part""")
+#: The states of two drug pages, one with all fields and one with few, and the cells that come of them; {k} is the part's number.
+DRUG_STATES = (
+    '{"drugPage":{"drugInfo":{"sku":{"id":{k},"name":" Name {k} ","slug":{"value":"slug-{k}"},"price":{k}.5,"discountedPrice":"9","discountPercent":10,"perUnitPrice":{"displayText":"1 / unit"},"therapeuticClass":{"text":"CLASS"},"prescriptionRequired":true,"inStock":false,"available":1,'
+    '"shortComposition":{"displayText":"<b>Comp</b> {k} &amp; mg"},"storageCondition":"Below {k}","missedDose":{"display_text":"Take <i>it</i>"},"marketer":{"name":" M {k} ","address":"A","url":"/marketer/{k}"},"manufacturer":{"name":"F"},"introduction":[{"display_text":"<p>Intro {k}</p>"}],'
+    '"howToTake":[{"x":1},{"displayText":"With food"}],"mechanismOfAction":[],"quantities":[{"q":{k}}],"uses":["u{k}"],"benefits":[{"b":1}],"sideEffects":{"s":[]},"warning":[],"expertAdvice":["t"],"drugInteraction":null,"faqs":[{"q":"w"}],"references":["r"],"factBox":{"f":1}},'
+    '"authoredBy":{"authors":[{"role":"Written By","name":" W{k} ","qualifications":"MD"},{"role":"Reviewed By","name":"R"}],"lastUpdated":{"date":"2024-01-{k}"}},"substitute":[{"s":{k}}],"relatedDoctor":[],"relatedLabTest":["l"],"breadcrumbs":[1,2],"metaData":{"title":" T {k} ","description":"D"}}}}',
+    '{"drugPage":{"drugNotFound":false,"drugInfo":{"sku":{"id":"s{k}","quantities":[],"quantityProduct":{"p":"{k}"},"name":"<b>x</b>"},"skuFactBox":{"g":{k}},"metaData":{"meta_desc":" d "}}}}',
+)
+DRUG_CELLS = {
+    "sku_id": ("{k}", "s{k}"), "name": ("Name {k}", "<b>x</b>"), "slug": ("slug-{k}", ""), "prescription_required": ("True", "False"), "salt_composition": ("Comp  {k} & mg", ""), "storage": ("Below {k}", ""), "marketer_name": ("M {k}", ""), "marketer_address": ("A", ""), "marketer_url": ("/marketer/{k}", ""),
+    "manufacturer_name": ("F", ""), "price": ("{k}.5", ""), "discounted_price": ("9", ""), "discount_percent": ("10", ""), "per_unit_price": ("1 / unit", ""), "in_stock": ("False", "False"), "available": ("True", "False"), "therapeutic_class": ("CLASS", ""), "introduction_text": ("Intro {k}", ""),
+    "how_to_use_text": ("With food", ""), "how_it_works_text": ("", ""), "missed_dose_text": ("Take  it", ""), "written_by": ("W{k}", ""), "written_by_qualifications": ("MD", ""), "reviewed_by": ("R", ""), "reviewed_by_qualifications": ("", ""), "last_updated": ("2024-01-{k}", ""),
+    "pack_info": ('[{"q":{k}}]', '{"p":"{k}"}'), "uses_json": ('["u{k}"]', ""), "benefits_json": ('[{"b":1}]', ""), "side_effects_json": ('{"s":[]}', ""), "safety_advice_json": ("[]", ""), "quick_tips_json": ('["t"]', ""), "fact_box_json": ('{"f":1}', '{"g":{k}}'), "substitutes_json": ('[{"s":{k}}]', ""),
+    "drug_interactions_json": ("", ""), "faqs_json": ('[{"q":"w"}]', ""), "references_json": ('["r"]', ""), "related_doctors_json": ("[]", ""), "related_lab_tests_json": ('["l"]', ""), "breadcrumbs_json": ("[1,2]", ""), "meta_title": ("T {k}", ""), "meta_description": ("D", "d"),
+}
+CELLS_SQL = ", ".join(f"CASE kind WHEN 5 THEN replace('{a}', '{{k}}', k) WHEN 6 THEN replace('{b}', '{{k}}', k) ELSE '' END AS {name}" for name, (a, b) in DRUG_CELLS.items())
+
+
+@query(f"""WITH p AS (SELECT p_partkey::VARCHAR AS k, (p_partkey + p_size) % 7 AS kind FROM part)
+    SELECT 'u' || k AS url, CASE WHEN kind = 4 THEN '0' ELSE '200' END AS fetch_http_status, list_extract(['no_preloaded_state', 'drug_not_found', 'no_drug_info', 'no_sku', 'fetch_error', 'ok', 'ok'], (kind + 1)::INT) AS fetch_status,
+    CASE kind WHEN 0 THEN 'PRELOADED_STATE not found or invalid' WHEN 4 THEN 'timeout ' || k ELSE '' END AS fetch_error, {CELLS_SQL} FROM p""")
 def x8_c9_drug_pages(spark, sf):
-    """Each part as a drug page of some completeness, read back."""
-    say = lambda *parts: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
-    sku = F.to_json(F.struct(c("p_partkey").alias("id"), c("p_name").alias("name"), F.array("p_type").alias("uses")))
-    n = c("p_partkey") % 4
-    state = F.when(n == 1, '{"drugPage":{"drugNotFound":true}}').when(n == 2, '{"drugPage":{"drugInfo":{}}}').otherwise(say('{"drugPage":{"drugInfo":{"sku":', sku, "}}}"))
-    html = F.when(n == 0, "<p>none").otherwise(say("<script>window.PRELOADED_STATE = [", state, "];</script>"))
-    part = Tables(spark, sf).part.select(F.concat(F.lit("u"), c("p_partkey").cast("string")).alias("url"), html.alias("html"), F.lit(200).alias("status"))
-    return pages.drug_rows(part, "url", "html", "status").select("url", "fetch_status", "name", "sku_id", "uses_json")
+    """Each part as a drug page of some completeness, or as one that was not fetched, read back in all columns."""
+    kind = (c("p_partkey") + c("p_size")) % 7
+    state = varied((None, '{"drugPage":{"drugNotFound":true}}', '{"drugPage":{"drugInfo":[{k}]}}', '{"drugPage":{"drugInfo":{"x":{k}}}}', None, *DRUG_STATES), kind, c("p_partkey"))
+    html = F.when(kind == 0, say("<p>none ", c("p_partkey"))).when(kind == 4, F.lit(None)).when(kind == 6, say("<script>var a=1; window.PRELOADED_STATE = [", F.to_json(F.array(state)).substr(F.lit(2), F.length(F.to_json(F.array(state))) - 2), "];</script>")).otherwise(say("<script>window.PRELOADED_STATE = [", state, "];</script>"))
+    rows = Tables(spark, sf).part.select(say("u", c("p_partkey")).alias("url"), html.alias("html"), F.when(kind == 4, 0).otherwise(200).alias("status"), F.when(kind == 4, say("timeout ", c("p_partkey"))).alias("error"))
+    return pages.drug_rows(rows, "url", "html", "status", "error")
 
 
 @query("""WITH e AS (SELECT *, (event_id + user_id) % 6 AS k FROM events)
@@ -709,12 +735,68 @@ def v1_normalise(spark, sf):
     return d.select("event_id", at("$.service.staff_friendliness").alias("friendliness"), at("$.dishes[0].portion").alias("portion"), at("$.bar").isNotNull().alias("has_bar"))
 
 
-LEGAL = {"service": ["staff_friendliness"], "bar": ["alcohol_identity_signal"], "dishes": ["name"]}
+#: A schema as models are declared in, with a reference, a union, a list of objects, enums and required fields.
+SCHEMA = {
+    "type": "object",
+    "required": ["service"],
+    "$defs": {"Dish": {"type": "object", "properties": {"name": {"type": "string"}, "portion": {"anyOf": [{"enum": ["small", "adequate"], "type": "string"}, {"type": "null"}]}}, "required": ["name"]}},
+    "properties": {
+        "schema_version": {"type": "string"},
+        "service": {"type": "object", "properties": {"staff_friendliness": {"enum": ["warm", "polite"], "type": "string"}, "rank": {"type": "integer"}}},
+        "dishes": {"anyOf": [{"type": "array", "items": {"$ref": "#/$defs/Dish"}}, {"type": "null"}]},
+    },
+}
+RULES = nested.schema_rules(SCHEMA)
+CHECKED = (
+    '{"service":{"staff_friendliness":"warm","rank":{k}},"dishes":[{"name":"n{k}"}]}', '{"service":{"staff_friendliness":"odd","made_up":1},"schema_version":"3"}', '{"bar":{"x":{k}},"dishes":[{"portion":"huge"},{"name":"b","portion":null,"size":{k}}]}',
+    "broken {k}", '{"service":{"rank":"{k}"},"dishes":null}', '{"service":null,"dishes":{"name":{k}}}', "[{k}]",
+)
+DOCS = sql_varied(CHECKED, "event_id * 3 + user_id", "event_id")
+DOC_CTE = f"e AS (SELECT event_id, {DOCS} AS t FROM events), d AS (SELECT event_id, t::JSON AS d FROM e WHERE json_valid(t) AND json_type(CASE WHEN json_valid(t) THEN t ELSE 'null' END) = 'OBJECT')"
+
+
+def checked(t: Tables) -> DataFrame:
+    return t.events.select("event_id", varied(CHECKED, c("event_id") * 3 + c("user_id"), c("event_id")).alias("document"))
+
+
+def unknown_sql(legal: dict[str, list[str]], mark: str) -> str:
+    """Names that are not legal, by unnesting documents: sections, fields of sections, fields of lists' items."""
+    within = " ".join(f"WHEN '{s}' THEN [{', '.join(repr(f) for f in [*fields, 'span'])}]" for s, fields in legal.items())
+    known = ", ".join(f"'{s}'" for s in legal)
+    return f"""WITH {DOC_CTE}, s AS (SELECT event_id, d, unnest(json_keys(d)) AS k FROM d), v AS (SELECT event_id, k, json_extract(d, '$."' || k || '"') AS v FROM s),
+    f AS (SELECT k, '' AS m, unnest(json_keys(v)) AS f FROM v WHERE k IN ({known}) AND json_type(v) = 'OBJECT' UNION ALL SELECT k, '{mark}', unnest(json_keys(i)) FROM (SELECT k, unnest(from_json(v, '["JSON"]')) AS i FROM v WHERE k IN ({known}) AND json_type(v) = 'ARRAY') WHERE json_type(i) = 'OBJECT')
+    SELECT item, count(*) AS n FROM (SELECT k AS item FROM s WHERE k NOT IN ({known}) UNION ALL SELECT k || m || '.' || f FROM f WHERE NOT list_contains(CASE k {within} ELSE [] END, f)) GROUP BY 1"""
+
 
+LEGAL = nested.legal_fields(RULES)
+LEGAL_B = nested.legal_fields(nested.schema_rules(SCHEMA, legal_scalars=True))
 
-@query("SELECT 'service.made_up' AS item, count(*) AS n FROM events WHERE event_id % 4 = 1 UNION ALL SELECT 'dishes[].portion_size', count(*) FROM events WHERE event_id % 4 = 3")
-def v2_unknown_fields(spark, sf):
-    return aggregate.item_histogram(drafts(Tables(spark, sf)).select(nested.unknown_fields(c("document"), LEGAL).alias("u")), "u")
+
+@query(unknown_sql(LEGAL, "[]"))
+def v2a_unknown_fields(spark, sf):
+    return aggregate.item_histogram(checked(Tables(spark, sf)).select(nested.unknown_fields(c("document"), LEGAL).alias("u")), "u")
+
+
+@query(unknown_sql(LEGAL_B, ""))
+def v2b_unknown_fields(spark, sf):
+    return aggregate.item_histogram(checked(Tables(spark, sf)).select(nested.unknown_fields(c("document"), LEGAL_B, "").alias("u")), "u")
+
+
+SERVICE = "json_extract(d, '$.service')"
+DISH = "SELECT event_id, unnest(from_json(CASE WHEN json_type(json_extract(d, '$.dishes')) = 'ARRAY' THEN json_extract(d, '$.dishes') ELSE '[]' END, '[\"JSON\"]')) AS i FROM d"
+
+
+@query(f"""WITH {DOC_CTE}, i AS ({DISH})
+    SELECT event_id, 'service' AS path, 'missing' AS kind, NULL::VARCHAR AS value FROM d WHERE coalesce(json_type({SERVICE}), 'NULL') = 'NULL'
+    UNION ALL SELECT event_id, 'dishes[].name', 'missing', NULL FROM i WHERE json_extract(i, '$.name') IS NULL
+    UNION ALL SELECT event_id, 'service.staff_friendliness', 'enum', json_extract_string(d, '$.service.staff_friendliness') FROM d WHERE json_extract_string(d, '$.service.staff_friendliness') NOT IN ('warm', 'polite')
+    UNION ALL SELECT event_id, 'service.rank', 'type', json_extract_string(d, '$.service.rank') FROM d WHERE json_type(json_extract(d, '$.service.rank')) = 'VARCHAR'
+    UNION ALL SELECT event_id, 'dishes', 'type', json_extract(d, '$.dishes')::VARCHAR FROM d WHERE json_type(json_extract(d, '$.dishes')) = 'OBJECT'
+    UNION ALL SELECT event_id, 'dishes[].portion', 'enum', json_extract_string(i, '$.portion') FROM i WHERE json_extract_string(i, '$.portion') NOT IN ('small', 'adequate')""")
+def v3_validated(spark, sf):
+    rules = spark.createDataFrame(RULES, "path string, rule string, value string")
+    found = nested.validated(checked(Tables(spark, sf)), "event_id", "document", rules)
+    return found.select("event_id", "path", "kind", F.replace("value", F.lit(": "), F.lit(":")).alias("value"))
 
 
 @query("SELECT event_id, 'service.staff_friendliness' AS path, list_extract(['friendly', 'warm', 'professional', 'odd'], (event_id % 4 + 1)::INT) AS value FROM events WHERE event_id % 4 <> 1")
@@ -723,7 +805,6 @@ def v3_enum_violations(spark, sf):
     return nested.enum_violations(drafts(Tables(spark, sf)), "event_id", "document", domain)
 
 
-#: Validation messages: one block or more, with and without a readable detail.
 MESSAGES = (
     "service.noise\n  Input should be 'a', 'b' or 'c' [type=enum, input_value='z{k}', input_type=str]\ndishes.{k}.name\n  Field required [type=missing, input_value={}, input_type=dict]",
     "pydantic_validation: 2 errors\nbar\n  Input should be a valid dictionary or instance of Bar [type=model_type, input_value='none{k}', input_type=str]",
@@ -1025,6 +1106,15 @@ def i5_by_report(spark, sf):
     return ingest.by_report(report, ["F", "P"]).select("normalized_url", "link")
 
 
+@query("""WITH r AS (SELECT user_id, event_id, event_id // 40 AS known, event_type = 'purchase' AS clicked FROM events), i AS (SELECT *, CASE WHEN known = lag(known, 1, 0) OVER (PARTITION BY user_id ORDER BY event_id) AND NOT clicked THEN 1 ELSE 0 END AS idle FROM r),
+    s AS (SELECT *, (sum(idle) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) = 2)::INT AS stuck FROM i), o AS (SELECT *, coalesce(max(stuck) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ended FROM s)
+    SELECT user_id, event_id FROM o WHERE ended = 0""")
+def i7_until_stagnant(spark, sf):
+    """Events as rounds of their users: a run ends after two rounds that knew no more and clicked on nothing."""
+    rounds = Tables(spark, sf).events.select("user_id", "event_id", F.floor(c("event_id") / 40).alias("known"), (c("event_type") == "purchase").alias("clicked"))
+    return ingest.until_stagnant(rounds, "user_id", "event_id", "known", "clicked", 2).select("user_id", "event_id")
+
+
 @query("WITH a AS (SELECT p_partkey, 'large' AS label FROM part WHERE p_size > 40 ORDER BY p_name, p_partkey LIMIT 1), b AS (SELECT p_partkey, 'cheap' AS label FROM part WHERE p_retailprice < 2000 AND p_partkey NOT IN (SELECT p_partkey FROM a) ORDER BY p_name, p_partkey LIMIT 1), d AS (SELECT p_partkey, 'any' AS label FROM part WHERE p_partkey NOT IN (SELECT p_partkey FROM a UNION SELECT p_partkey FROM b) ORDER BY p_name, p_partkey LIMIT 1) SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM d")
 def t7_showcase(spark, sf):
     part = Tables(spark, sf).part.select("p_partkey", "p_name", "p_size", "p_retailprice")

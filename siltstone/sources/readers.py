@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 #: Texts that count as missing in CSV files.
 NA = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
@@ -101,6 +105,48 @@ def fetched(requests: DataFrame, pages: DataFrame, key: str = "url") -> DataFram
     return joined.select(*[c for c in requests.columns], F.when(F.col("__there"), 200).alias("status"), "html", F.when(F.col("__there").isNull(), "not stored").alias("error"))
 
 
+def urlopen_page(url: str, timeout: float = 30.0) -> tuple[int, str]:
+    """Status and text of an address, by the standard library."""
+    from urllib.error import HTTPError
+    from urllib.request import urlopen
+
+    try:
+        with urlopen(url, timeout=timeout) as answer:
+            return answer.status, answer.read().decode(answer.headers.get_content_charset() or "utf-8", "replace")
+    except HTTPError as e:
+        return e.code, ""
+
+
+def http_pages(requests: DataFrame, key: str = "url", get: Callable[[str], tuple[int, str]] = urlopen_page, tries: int = 3, wait: float = 1.0, pause: float = 0.0) -> DataFrame:
+    """Requests with status, html and error, fetched by their tasks. After a status of 500 or more or an exception a task waits ``wait`` times the
+    attempt's number and tries again, ``tries`` times at most; the last failure stands. ``pause`` seconds lie between a task's requests."""
+
+    def fetch(url: str) -> tuple[int | None, str | None, str | None]:
+        status, error = None, "no address"
+        for attempt in range(1, tries + 1) if url else ():
+            try:
+                status, page = get(url)
+                if status < 500:
+                    return status, page, None if status < 400 else f"status {status}"
+                error = f"status {status}"
+            except Exception as e:  # whatever the address does is that row's error
+                status, error = None, f"{type(e).__name__}: {e}"
+            if attempt < tries:
+                time.sleep(wait * attempt)
+        return status, None, error
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n in range(batch.num_rows):
+                row = batch.slice(n, 1)
+                status, html, error = fetch(row.column(place)[0].as_py())
+                yield pa.RecordBatch.from_arrays([*row.columns, pa.array([status], pa.int32()), pa.array([html], pa.string()), pa.array([error], pa.string())], names=[*row.schema.names, "status", "html", "error"])
+                time.sleep(pause)
+
+    place = requests.columns.index(key)
+    return requests.mapInArrow(run, StructType([*requests.schema, StructField("status", IntegerType()), StructField("html", StringType()), StructField("error", StringType())]))
+
+
 def extracted(df: DataFrame, prompt: Column, recorded: DataFrame, key: str) -> DataFrame:
     """A model's answers from a recorded table (key, answer); answers that are no JSON object become a parse error, whole."""
     answers = df.withColumn("prompt", prompt).join(recorded.select(key, "answer"), key, "left")

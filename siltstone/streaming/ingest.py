@@ -80,6 +80,17 @@ def crawl(links: DataFrame, start: list[str], most_pages: int | None = None, kee
             visited = visited.checkpoint()
 
 
+def until_stagnant(rounds: DataFrame, run: str, order: str, known: str, acted: str | None = None, most: int = 4) -> DataFrame:
+    """The rounds of each run up to the ``most``-th in a row that knew no more than the one before (and in which nothing was ``acted`` on)."""
+    w = Window.partitionBy(run).orderBy(order)
+    idle = F.coalesce(F.col(known) == F.lag(known, 1, 0).over(w), F.lit(False))
+    idle = idle if acted is None else idle & ~F.coalesce(F.col(acted), F.lit(False))
+    marked = rounds.withColumn("__idle", idle.cast("int"))
+    last = marked.withColumn("__row", F.sum("__idle").over(w.rowsBetween(1 - most, 0)))
+    ended = last.withColumn("__over", F.coalesce(F.max((F.col("__row") == most).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return ended.filter("__over = 0").drop("__idle", "__row", "__over")
+
+
 def windowed_counts(events: DataFrame, at: str, kind: str, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Counts and sums by time window and kind, on a stream or a table. An extension: the scripts this replaces had no windows."""
     own = events.schema[at].dataType

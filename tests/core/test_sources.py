@@ -205,3 +205,62 @@ def test_evidence(spark):
     assert r.distribution == {"loud": 2, "low": 1} and r["mode"] == "loud" and r.evidence_n == 3 and 0 < r.confidence < 1
     assert dedupe.row_index(df.filter("v is not null").withColumn("k", F.monotonically_increasing_id()), ["k"]).count() == 3
     assert pages.page_title(F.lit("x")) is not None
+
+
+def test_http_pages(spark):
+    """Failures are tried again, three times at most; the last one stands."""
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+    from threading import Thread
+
+    asked = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            asked.append(self.path)
+            status = {"/ok": 200, "/gone": 404, "/down": 503}.get(self.path, 200 if asked.count(self.path) > 1 else 500)
+            self.send_response(status)
+            self.end_headers()
+            self.wfile.write(b"caf\xc3\xa9")
+
+        def log_message(self, *args):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    requests = spark.createDataFrame([(f"{base}{p}", p) for p in ("/ok", "/gone", "/down", "/late")] + [(None, "none"), ("http://127.0.0.1:1/x", "refused")], "url string, path string")
+    got = {r.path: r for r in readers.http_pages(requests, wait=0.01).collect()}
+    server.shutdown()
+    assert (got["/ok"].status, got["/ok"].html, got["/ok"].error) == (200, "café", None) and got["/late"].status == 200
+    assert got["/gone"].status == 404 and got["/down"].error == "status 503" and got["none"].error == "no address" and "URLError" in got["refused"].error
+    assert asked.count("/down") == 3 and asked.count("/gone") == 1 and asked.count("/late") == 2
+
+
+def test_pages_that_raise(spark):
+    """A page that can't be read is a row with its keys and the error; the others' rows stay."""
+
+    def read(page):
+        if page == "bad":
+            raise ValueError("no page")
+        return [{"topic_id": int(page)}] * 2
+
+    df = spark.createDataFrame([(1, "5"), (2, "bad"), (3, None), (4, "7")], "k int, html string")
+    got = pages.rows_of(df.filter("html is not null"), ["k"], "html", read, "topic_id bigint", most_bytes=0).collect()
+    assert sorted((r.k, r.topic_id, r.error) for r in got if r.topic_id) == [(1, 5, None), (1, 5, None), (4, 7, None), (4, 7, None)]
+    assert [(r.k, r.error) for r in got if r.error] == [(2, "ValueError: no page")]
+
+
+def test_schema_rules():
+    from siltstone.operators import nested
+
+    schema = {"$defs": {"A": {"type": "object", "properties": {"next": {"$ref": "#/$defs/A"}, "kind": {"const": "x"}}}}, "type": "object", "required": ["a"], "properties": {"a": {"allOf": [{"$ref": "#/$defs/A"}]}, "n": {"type": ["integer", "null"]}, "gone": {"$ref": "#/$defs/B"}}}
+    rules = nested.schema_rules(schema)
+    assert ("a", "required", None) in rules and ("a.kind", "enum", "x") in rules and ("n", "type", "null") in rules and ("a.next", "field", None) in rules
+    assert nested.legal_fields(rules) == {"a": ["kind", "next"]}
+    assert nested.legal_fields(nested.schema_rules(schema, legal_scalars=True)) == {"a": ["kind", "next"], "gone": [], "n": []}
+
+
+def test_normalised_dish_function():
+    from siltstone.operators import nested
+
+    assert nested.normalised({"dishes": [{"name": "a", "dish_function": ""}, {"dish_function": "main"}, {"dish_function": None}]}, []) == {"dishes": [{"name": "a"}, {"dish_function": "main"}, {}]}
