@@ -29,7 +29,7 @@ def shared_dir(spark: SparkSession, what: str) -> str:
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def bounded_batches(df: DataFrame, most: int = 4 << 20) -> DataFrame:
+def bounded_batches(df: DataFrame, most: int = 1 << 20) -> DataFrame:
     """``df``, once its session hands rows to Python in batches of at most about ``most`` bytes (a smaller setting stays): texts may be long.
 
     The setting stays in the session, as Spark reads it when the plan runs.
@@ -111,7 +111,7 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Parts of the batches whose texts (in ``column``) come to about ``most_bytes``, with those texts; a longer text stands alone."""
     for batch in batches:
         texts = batch.column(column)

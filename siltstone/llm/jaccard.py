@@ -154,7 +154,7 @@ def packed(rows: DataFrame, column: str, ranges: int, pieces: int = 2048) -> Dat
                     sent.add(owner)
                 waiting.append((owner, 0, np.frombuffer(data, U)))
                 size += len(data)
-                if size > 4 << 20:
+                if size > 2 << 20:
                     yield packed_batch(waiting, ranges)
                     waiting, size = [], 0
         yield packed_batch(waiting, ranges)

@@ -181,8 +181,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
         place = F.struct(F.xxhash64("key"), F.xxhash64("places"))
         sizes = found.select(place.alias("place"), F.octet_length("places").alias("size")).orderBy("place").limit(most_rows).collect()
         last = [r.place for r, total in zip(sizes, accumulate(r["size"] for r in sizes), strict=True) if total <= 4 * most_places][-1:]
-        got = found.filter(place <= F.struct(*map(F.lit, last[0]))).orderBy(place).limit(most_rows).select("places", "label").collect() if last else []
-    return fit([np.frombuffer(r.places, np.uint32) for r in got], [r.label for r in got], buckets)
+        got = found.filter(place <= F.struct(*map(F.lit, last[0]))).orderBy(place).limit(most_rows).select("places", "label").toArrow().to_pydict() if last else {"places": [], "label": []}
+    return fit([np.frombuffer(p, np.uint32) for p in got["places"]], got["label"], buckets)
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", out: str = "quality_score") -> DataFrame:

@@ -21,6 +21,7 @@ from siltstone.llm.common import ascii_lower, keyed, located, original, shared_d
 
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",  # a task's store gives its memory back when the task has ended
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
