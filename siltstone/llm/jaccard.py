@@ -387,6 +387,7 @@ def other_pairs(classes: DataFrame, percent: int, sets: DataFrame) -> DataFrame:
     marked = classes.join(some, "owner", "left_semi").join(sketches(sets), "owner").select("*", F.posexplode("tokens").alias("at", "token"))
     earlier = [f"earlier{k}_" for k in range(EARLIER)]
     known = marked.select("token", "owner", "root", "n", "m", *[f"bits{k}_" for k in range(SKETCH)], *[F.get("tokens", F.col("at") - 1 - k).alias(c) for k, c in enumerate(earlier)]).join(lists, "token")
+    known = stored(known, "contested")  # so that both sides of the join are dealt for it alone, and a frequent shingle's rows can be split
     left = known.filter("root <> main")
     right = known.select([F.col(c).alias(f"{c}2") for c in known.columns])
     once = (F.col("root2") == F.col("main2")) | (F.col("owner") < F.col("owner2"))
