@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,8 +31,8 @@ TRIGGERS = {
     "visit_day": r"\b(weekend|weekday|monday|tuesday|wednesday|thursday|friday|saturday|sunday)\b",
     "review_language": "[ऀ-ॿಀ-೿஀-௿]",
 }
-#: Any of the words: most texts have none.
-ANY_TRIGGER = "|".join(p.removeprefix(r"\b(").removesuffix(r")\b") for p in TRIGGERS.values() if p.startswith(r"\b"))
+#: By field the longest run of letters of each of its words: a text without any of these runs has none of the words.
+RUNS = {n: sorted({max(re.findall("[a-z]+", word), key=len) for word in p.removeprefix(r"\b(").removesuffix(r")\b").split("|")}) for n, p in TRIGGERS.items() if p.startswith(r"\b")}
 DISHES = r"(?U)\b(biryani|dosa|idli|paneer|chicken|mutton|fish|thali|pizza|pasta|burger|roll|momos|noodles|curry|dal|roti|naan|dessert|starter|main|appetizer)\b"
 CONTRAST = r"(?U)\b(but|however|whereas|while|unlike|except|only the|rest was)\b"
 
@@ -54,12 +56,17 @@ def review_effort(text: Column) -> Column:
 
 
 def triggers(text: Column, extra: Column | None = None) -> Column:
-    """Sorted names of the fields whose words occur, with ``extra`` names. The words are looked for one by one only where any occurs."""
+    """Sorted names of the fields whose words occur, with ``extra`` names. Words are looked for only where a run of their letters occurs."""
     raw = F.coalesce(text, F.lit(""))
-    tests = {name: raw.rlike(f"(?iuU){pattern}") for name, pattern in TRIGGERS.items()}
-    of = lambda names: F.array_compact(F.array(*[F.when(tests[n], n) for n in names]))
-    script = [n for n, p in TRIGGERS.items() if not p.startswith(r"\b")]
-    fired = F.when(raw.rlike(rf"(?iuU)\b(?:{ANY_TRIGGER})\b"), of(TRIGGERS)).otherwise(of(script))
+    runs = F.array_distinct(F.split(F.translate(F.lower(raw), "ſ", "s"), "[^a-z]+"))  # the long s counts as an s where case doesn't
+
+    def found(own: Column) -> Column:
+        there = {n: F.arrays_overlap(own, F.array(*map(F.lit, keys))) for n, keys in RUNS.items()}
+        tests = {n: raw.rlike(f"(?iuU){p}") for n, p in TRIGGERS.items()}
+        return F.array_compact(F.array(*[F.when(F.when(there[n], test) if n in there else test, n) for n, test in tests.items()]))
+
+    # Bound once by the transform, the runs are not made again for each field.
+    fired = F.get(F.transform(F.array(runs), found), F.lit(0))
     return F.array_sort(F.array_distinct(F.concat(fired, extra) if extra is not None else fired))
 
 
