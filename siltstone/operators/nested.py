@@ -7,6 +7,7 @@ fields and the enum domains.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -336,8 +337,25 @@ def describe_schema(schema, indent: int = 0) -> str:
     return "\n".join(out)
 
 
+def field_specification(rules: list[tuple[str, str, str | None]], sections: tuple[str, ...] = ()) -> str:
+    """What a prompt says of the fields of some sections (all, if none is named): types, legal values, and which are required; a line a field."""
+    paths = [p for p, rule, _ in rules if rule == "type"]
+    tops = sections or tuple(sorted({re.split(r"[.\[]", p)[0] for p in paths}))
+    out = []
+    for top in tops:
+        for path in sorted({p for p in paths if re.split(r"[.\[]", p)[0] == top}):
+            of = lambda wanted: [v for p, rule, v in rules if p == path and rule == wanted]  # noqa: B023, E731
+            kinds = [k for k in of("type") if k not in ("null", "array")]
+            if kinds:
+                values = " | ".join(of("enum"))
+                name = path if "." not in path else "  " * path.count(".") + path.rsplit(".", 1)[1]
+                out.append(f"{name}: {' or '.join(kinds)}{f' ({values})' if values else ''}{', required' if of('required') and '.' in path else ''}")
+    return "\n".join(out)
+
+
 def prompt(rating: Column, fired: Column, text: Column) -> Column:
     """What a model is asked about one review."""
     shown = F.regexp_replace(F.format_string("%.2f", rating.cast("double")), r"\.?0+$", "")
+    shown = F.when(rating.isNotNull(), shown)
     names = F.when(F.size(fired) > 0, F.array_join(fired, ", ")).otherwise("none")
     return F.concat_ws("\n", F.concat(F.lit("Rating: "), F.coalesce(shown, F.lit("none"))), F.concat(F.lit("Triggers: "), names), F.lit("Review:"), F.coalesce(text, F.lit("")))

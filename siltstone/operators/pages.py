@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType, _parse_datatype_string
 
 from siltstone.functions.dom import Node, number_in, parse, scripts
 from siltstone.functions.jsons import assigned, balanced, json_strings, preloaded_state
@@ -222,6 +222,12 @@ def number_of_pages(state: object) -> int | None:
     return None
 
 
+@F.pandas_udf(IntegerType())
+def pages_declared(pages):
+    """``number_of_pages`` of the state that a page carries."""
+    return pages.map(lambda page: number_of_pages(assigned(page or "", "PRELOADED_STATE"))).astype("Int32")
+
+
 def card_fields(text: Column, junk_users: tuple[str, ...] = ()) -> Column:
     """A review card's lines as user, rating, date and text: what stands before the DINING or DELIVERY line, and between it and the votes."""
     rows = F.filter(F.transform(F.split(text, "\n"), lambda s: F.trim(s)), lambda s: s != "")

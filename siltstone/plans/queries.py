@@ -852,11 +852,47 @@ def v7_compact(spark, sf):
     return nested.compact(Tables(spark, sf).events.select("event_id", doc.alias("doc")), "doc", ["event_id"])
 
 
-@query("SELECT event_id % 4 = 1 AS odd, 'Rating: 4.5' || chr(10) || 'Triggers: ' || CASE WHEN event_id % 4 = 1 THEN 'a, b' ELSE 'none' END || chr(10) || 'Review:' || chr(10) || event_type AS prompt, count(*) AS n FROM events GROUP BY ALL")
+@query("""SELECT event_id, 'Rating: ' || CASE WHEN event_id % 5 = 0 THEN 'none' ELSE regexp_replace(printf('%.2f', (user_id % 10) / 4.0), '[.]?0+$', '') END || chr(10) || 'Triggers: ' || CASE event_id % 4 WHEN 1 THEN 'a, b' WHEN 2 THEN event_type ELSE 'none' END || chr(10) || 'Review:' || chr(10) || CASE WHEN user_id % 7 = 0 THEN '' ELSE event_type || chr(10) || event_id END AS prompt FROM events""")
 def f31_prompt(spark, sf):
-    odd = c("event_id") % 4 == 1
-    asked = nested.prompt(F.lit(4.5), F.when(odd, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array().cast("array<string>")), c("event_type"))
-    return Tables(spark, sf).events.groupBy(odd.alias("odd"), asked.alias("prompt")).agg(counted())
+    """Ratings, triggers and texts of all kinds, null ones too."""
+    k = c("event_id") % 4
+    fired = F.when(k == 1, F.array(F.lit("a"), F.lit("b"))).when(k == 2, F.array("event_type")).when(k == 3, F.array().cast("array<string>"))
+    asked = nested.prompt(F.when(c("event_id") % 5 > 0, (c("user_id") % 10) / 4.0), fired, F.when(c("user_id") % 7 > 0, say(c("event_type"), "\n", c("event_id"))))
+    return Tables(spark, sf).events.select("event_id", asked.alias("prompt"))
+
+
+@query("SELECT unnest(['service: object', '  rank: integer', '  staff_friendliness: string (polite | warm)', 'dishes[]: object', '  name: string, required', '  portion: string (adequate | small)']) AS line")
+def f32_field_specification(spark, sf):
+    rows = spark.createDataFrame([(nested.field_specification(RULES, ("service", "dishes")),)], "spec string")
+    return rows.select(F.explode(F.split("spec", "\n")).alias("line"))
+
+
+@query("SELECT o_orderkey, count(l_orderkey) < o_custkey % 6 AS short FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey, o_custkey")
+def q11_declared_shortfall(spark, sf):
+    t = Tables(spark, sf)
+    found = joins.lookup_count(t.orders.select("o_orderkey", "o_custkey"), t.lineitem, "o_orderkey", "l_orderkey", "found")
+    return found.select("o_orderkey", audit.declared_shortfall(c("o_custkey") % 6, c("found")).alias("short"))
+
+
+@query("SELECT count(*) AS unmatched FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey * 2 FROM part)")
+def q12_unmatched(spark, sf):
+    joined = j1_many_to_one(spark, sf)
+    return spark.createDataFrame([(joins.unmatched(joined),)], "unmatched bigint")
+
+
+SECTIONS_X7 = ("SECTION_REVIEWS", "SECTION_REVIEWS_DINING", "SECTION_OTHER_REVIEWS", "SECTION_MENU", "section_my_reviews_x")
+
+
+@query("""SELECT o_orderkey, CASE WHEN k = 3 OR o_custkey % 4 = 3 THEN NULL WHEN o_custkey % 4 = 2 THEN o_orderkey % 9 + 1 ELSE o_orderkey % 9 + 2 END AS n FROM (SELECT *, (o_orderkey + o_custkey) % 5 AS k FROM orders)""")
+def x7_number_of_pages(spark, sf):
+    """States that declare their pages at a restaurant, at the current page, in sections of several names, or nowhere."""
+    section = F.get(F.array(*[F.lit(x) for x in SECTIONS_X7]), ((c("o_orderkey") + c("o_custkey")) % 5).cast("int"))
+    of = lambda n: say('{"sections":{"', section, '":{"numberOfPages":', n, '},"SECTION_X":{"numberOfPages":99}}}')
+    kind = c("o_custkey") % 4
+    k = c("o_orderkey") % 9
+    pages_ = F.when(kind == 3, say('{"current":', c("o_orderkey"), "}")).when(kind == 2, say('{"restaurant":[1],"current":', of(k + 1), "}")).otherwise(say('{"restaurant":{"', c("o_orderkey"), '":', of(k + 2), '},"current":', of(k + 1), "}"))
+    html = say("<script>window.__PRELOADED_STATE__ = ", F.concat(F.lit('{"pages":'), pages_, F.lit("}")), ";</script>")
+    return Tables(spark, sf).orders.select("o_orderkey", pages.pages_declared(html).alias("n"))
 
 
 # ---- audits ----
