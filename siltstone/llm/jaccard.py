@@ -12,10 +12,12 @@ their first n - ceil(t n) + l shingles (and m likewise) share at least l. That i
 
 Candidates are verified on whole sets. Each shingle's list is first compared with its most central class only (a star); components
 found thereby are taken as done, and only pairs from different components are enumerated, until nothing is left: a group of
-near copies costs a link for each member, not for each pair, and no link between components is lost.
+near copies costs a link for each member, not for each pair, and no link between components is lost. Members that link to neither centre nor
+each other but come near it are compared pair by pair, each pair once.
 
 Null and blank texts have no set, link with nothing and are their own component. Texts of fewer words than ``width`` are one
-shingle. Repeated rows share a class. A component's id is its smallest non-null key. Sets are compared by 64-bit hashes.
+shingle. Repeated rows share a class. A component's id is its smallest non-null key. Sets are compared by 64-bit hashes. An empty table gives
+no rows. A very long text is one set, held in memory by the task that reads it. Rows travel in a struct, so columns of any names pass by.
 """
 
 from __future__ import annotations
