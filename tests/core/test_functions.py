@@ -161,6 +161,8 @@ def test_article(spark):
     row = pages.article_row(html)
     assert row == {"title": "Longer title", "meta_description": "d", "h1": "H", "article_text": long.strip(), "json_ld": '[{"a": 1}]', "error": None}
     assert pages.article_row("<body><div>ab</div><div>abc</div></body>")["article_text"] == "abc"
+    cut = pages.article_row('<title>a&amp;&amp</title><meta name="description" content="m&amp"><h1>b&lt;&lt</h1><div>R&amp;D &notin; &notx; &#65; AT&T &copy=\ue000</div><script type="application/ld+json">{"u":"?a&amp"}</script>')
+    assert cut == {"title": "a&&amp", "meta_description": "m&amp", "h1": "b<&lt", "article_text": "a&&amp\nb<&lt\nR&D ∉ &notx; A AT&T &copy=\ue000", "json_ld": '[{"u": "?a&amp"}]', "error": None}
     df = spark.createDataFrame([(1, '<a href="/x">x</a> https://h.org/y <a href="/x">again</a>')], "id int, html string")
     assert {r.link for r in pages.links(df, "html", ["id"]).collect()} == {"/x", "https://h.org/y"}
 
