@@ -92,8 +92,14 @@ def sitemap_urls(spark: SparkSession, start: str, locate=lambda loc: loc) -> Dat
 
 
 def page_cache(spark: SparkSession, root: str) -> DataFrame:
-    """topic_id, post_offset and html of cached pages at ``root``/<topic>/<offset>.html."""
-    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.html").load(root)
+    """topic_id, post_offset and html of cached pages at ``root``/<topic>/<offset>.html. A task lists the folders of many topics."""
+    tasks = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(tasks, None)
+    spark.conf.set(tasks, str(min(int(before or 10_000), 16 * spark.sparkContext.defaultParallelism)))  # else some thousands, most of one folder
+    try:
+        rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.html").load(root)
+    finally:
+        spark.conf.unset(tasks) if before is None else spark.conf.set(tasks, before)
     place = lambda n: F.regexp_extract("path", r"/(\d+)/(\d+)\.html$", n).try_cast("bigint")
     return rows.select(place(1).alias("topic_id"), place(2).alias("post_offset"), F.decode("content", "UTF-8").alias("html"))
 

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import json
+import os
+import uuid
+from collections.abc import Iterator
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,10 +53,58 @@ def csv_files(df: DataFrame, path: str, key: str) -> None:
 
 
 def text_files(df: DataFrame, path: str, name: str, body: str) -> None:
-    """One file a record, under ``name``: ``body`` and a line end."""
+    """One file a record, under ``name``: ``body`` and a line end. '/' in names makes folders; records of one name share its file.
+
+    On a file system that is mounted everywhere the tasks write each file under its own name; elsewhere Spark does, and the driver renames.
+    """
     rows = df.select(F.col(name).alias("name"), F.coalesce(F.col(body), F.lit("")).alias("value"))
-    rows.write.mode("overwrite").partitionBy("name").text(path)
-    renamed(df.sparkSession, path, "name", "")
+    root = mounted(df.sparkSession, path)
+    if root is None:
+        rows.write.mode("overwrite").partitionBy("name").text(path)
+        return renamed(df.sparkSession, path, "name", "")
+    if not rows.groupBy("name").count().filter("count > 1").isEmpty():
+        rows = rows.repartition("name").sortWithinPartitions("name")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        draft, goal, file = f".{uuid.uuid4().hex}", None, None  # files appear whole, also if a task is repeated
+        for batch in batches:
+            for own, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                place = os.path.join(root, own.lstrip("/"))
+                if place != goal:
+                    if file:
+                        file.close()
+                        os.replace(file.name, goal)
+                    goal = place
+                    os.makedirs(os.path.dirname(goal), exist_ok=True)
+                    file = open(os.path.join(os.path.dirname(goal), draft), "wb")
+                file.write(text.as_buffer())
+                file.write(b"\n")
+        if file:
+            file.close()
+            os.replace(file.name, goal)
+        yield from ()
+
+    unnamed = F.lit("__HIVE_DEFAULT_PARTITION__")  # as Spark's writer calls it
+    conf, most = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(most, None)
+    conf.set(most, str(4 << 20))
+    try:
+        named = rows.select(F.coalesce(F.nullif("name", F.lit("")), unnamed).alias("name"), F.col("value").cast("binary").alias("value"))
+        named.mapInArrow(write, "done int").write.format("noop").mode("overwrite").save()
+    finally:
+        conf.unset(most) if before is None else conf.set(most, before)
+
+
+def mounted(spark: SparkSession, path: str) -> str | None:
+    """The folder ``path``, made anew, as the operating system calls it; None (and nothing is made) if it lies in another file system."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(conf)
+    if files.getUri().getScheme() != "file":
+        return None
+    files.delete(at, True)
+    files.mkdirs(at)
+    return files.makeQualified(at).toUri().getPath()
 
 
 def sorted_lines(df: DataFrame, column: str, path: str, one_file: bool = False) -> None:

@@ -66,6 +66,22 @@ def test_page_cache_and_forum(spark, tmp_path):
     assert {r.url: (r.status, r.error) for r in readers.fetched(asked, stored).collect()} == {"u": (200, None), "v": (None, "not stored")}
 
 
+def test_text_files(spark, tmp_path, monkeypatch):
+    """One file a record, written by the tasks: the driver renames none. Names that come again lose no record, old files go."""
+    monkeypatch.setattr(sinks, "renamed", lambda *a: pytest.fail("the driver renames"))
+    df = spark.createDataFrame([(f"{k}/0.html", f"é\n{k}") for k in range(300)] + [("7/10.html", None), ("a b%/c.html", "x"), ("8/0.html", "again"), (None, "n")], "name string, html string").repartition(3)
+    for rows, most in ((df, 303), (df.filter("html <> 'again'"), 302), (df.filter("name like '1/%'"), 1)):
+        sinks.text_files(rows, f"file://{tmp_path}/cache", "name", "html")
+        got = {str(p.relative_to(tmp_path / "cache")): p.read_text() for p in (tmp_path / "cache").rglob("*") if p.is_file()}
+        want = {}
+        for r in rows.collect():
+            want.setdefault(r.name or "__HIVE_DEFAULT_PARTITION__", []).append((r.html or "") + "\n")
+        assert got.keys() == want.keys() and len(got) == most
+        assert all(got[k] in ("".join(v), "".join(v[::-1])) for k, v in want.items())
+    pages = readers.page_cache(spark, str(tmp_path / "cache"))
+    assert [tuple(r) for r in pages.collect()] == [(1, 0, "é\n1\n")]
+
+
 def test_model_answers(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, text string")
     recorded = spark.createDataFrame([(1, ' {"x": 1} '), (2, "sorry")], "id int, answer string")
