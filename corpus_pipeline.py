@@ -9,31 +9,49 @@ Nulls and empty tables pass through every stage as the operators' docstrings say
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm import jaccard, nbsvm, packing, secrets, stream_dedup
-from siltstone.llm.common import stored, table
+from siltstone.llm.common import collect_garbage, stored, table
 from siltstone.llm.queries import tokenizer_path
 
 LEAST_QUALITY = 0.3
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+
+def from_rest(stage: Stage) -> Stage:
+    """``stage``, begun with small heaps: what the stages before it left there doesn't add to its own memory."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        collect_garbage(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+@from_rest
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = nbsvm.train(docs, table(spark, sf_dir, "labels"))
     score = "quality_score" + "_" * max((len(c) for c in docs.columns), default=0)  # no column of the table has so long a name
     return nbsvm.scored(docs, model, out=score).filter(F.col(score) >= LEAST_QUALITY).drop(score)
 
 
+@from_rest
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return stream_dedup.deduplicated(docs)
 
 
+@from_rest
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return jaccard.one_of_each(docs)
 
 
+@from_rest
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     clean = secrets.redact(docs)
     if "n_chars" in docs.columns:
@@ -41,12 +59,13 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return clean
 
 
+@from_rest
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     packed = packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), most_words=1 << 17)  # workers hold earlier stages' libraries too
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("quality classifier", quality_classifier),
     ("exact dedup", exact_dedup),
     ("n-gram Jaccard join", jaccard_join),

@@ -34,6 +34,16 @@ def test_columns(stages):
     assert all(c == stages[1][0] for c in stages[1][:-1]) and all(len(r) for r in stages[0])
 
 
+def test_stages_begin_with_small_heaps(spark):
+    collectors = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    full = lambda: sum(c.getCollectionCount() for c in collectors if "Old" in c.getName() or "MarkSweep" in c.getName())
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    for _, stage in corpus_pipeline.STAGES[3:]:
+        before = full()
+        stage(spark, docs, "")
+        assert full() > before
+
+
 def test_dedup_stage(stages):
     before, after = stages[0][1:3]
     best = {}
