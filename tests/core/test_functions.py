@@ -1,11 +1,13 @@
 """Expressions, parsers and normalisers on hand-written cases."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from siltstone.functions import classify, dates, jsons, text, urls
+from siltstone.functions.dom import parse
 from siltstone.operators import nested, pages
 
 
@@ -167,6 +169,20 @@ def test_article(spark):
     assert {r.link for r in pages.links(df, "html", ["id"]).collect()} == {"/x", "https://h.org/y"}
 
 
+def test_article_of_many_blocks(spark):
+    """The longest block counts wherever it stands: behind many others, within them, around them."""
+    long, others = "the story " * 12, "".join(f"<div>note {k}</div>" for k in range(300))
+    shapes = {1: f"<div>{long}</div>{others}", 2: f"{others}<div>{long}</div>", 3: others + "<section>" * 90 + f"<div>{long}</div>", 4: f"{others}<main><p>{long}</p></main>", 5: others + "<div>" * 90 + long, 6: f"{others}<article>short</article><article>{long}</article>"}
+    df = spark.createDataFrame([(k, f"<body>{html}</body>") for k, html in shapes.items()], "id int, html string")
+    assert {r.id: r.article_text for r in pages.article_pages(df, "html", ["id"]).collect()} == dict.fromkeys(shapes, long.strip())
+    deal = random.Random(5)
+    marks = ("<div>", "</div>", "<div>", "</div>", "<p>", "</p>", "<main>", "</main>", "<article>", "</article>", "<section>", "</section>", "<br>", "<style>p{color:red}</style>", "a", "bc", " ", "def g")
+    for _ in range(300):
+        root = parse("<body>" + "".join(deal.choices(marks, k=deal.randrange(400))))
+        blocks = [n for n in root.first("body").walk() if n.tag in ("article", "main", "div")]
+        assert pages.visible_text(root, 10_000) == max((b.text("\n", strip=True) for b in blocks), key=len, default="")
+
+
 @pytest.mark.parametrize(
     "page, want",
     [
